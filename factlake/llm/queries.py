@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, secrets
+from . import packing, quality, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,19 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
 
+def tokenizer(name: str) -> str:
+    """The path of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scan, op9_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scan, op3_best_fit_packing, op9_quality_rules)}
