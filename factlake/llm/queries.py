@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, secrets
+from . import huffman, packing, quality, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,8 +27,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scan, op3_best_fit_packing, op9_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scan, op3_best_fit_packing, op7_token_files, op9_quality_rules)}
