@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import huffman, neardup, packing, quality, secrets
+from . import huffman, lm, neardup, packing, quality, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
@@ -39,4 +43,4 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scan, op3_best_fit_packing, op7_token_files, op8_minhash_near_dedup, op9_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_best_fit_packing, op7_token_files, op8_minhash_near_dedup, op9_quality_rules)}
