@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import huffman, lm, neardup, packing, quality, secrets
+from . import decontaminate, huffman, lm, neardup, packing, quality, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,4 +43,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_best_fit_packing, op7_token_files, op8_minhash_near_dedup, op9_quality_rules)}
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_best_fit_packing, op7_token_files, op8_minhash_near_dedup, op9_quality_rules, op10_benchmark_decontamination)}
