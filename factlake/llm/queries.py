@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, huffman, lm, neardup, packing, quality, secrets
+from . import decontaminate, huffman, licenses, lm, neardup, packing, quality, secrets, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,14 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -47,4 +55,4 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_best_fit_packing, op7_token_files, op8_minhash_near_dedup, op9_quality_rules, op10_benchmark_decontamination)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_best_fit_packing, op4_license_scan, op5_toxicity, op7_token_files, op8_minhash_near_dedup, op9_quality_rules, op10_benchmark_decontamination)}
