@@ -50,13 +50,13 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     prefix = common.mix(raw + np.uint64(257))
     rolled = np.zeros(len(raw), np.uint64)
     for n in range(1, max(GRAMS) + 1):
+        if n > len(raw):
+            break
         rolled[: len(raw) - n + 1] = rolled[: len(raw) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + prefix[n - 1 :]
         if n in GRAMS:
-            m = len(raw) - n + 1
-            if m > 0:
-                at = np.flatnonzero(word[:m] == word[n - 1 :])
-                owners.append(word[at])
-                buckets.append(common.mix(rolled[at] + np.uint64(n)) % np.uint64(BUCKETS))
+            at = np.flatnonzero(word[: len(raw) - n + 1] == word[n - 1 :])
+            owners.append(word[at])
+            buckets.append(common.mix(rolled[at] + np.uint64(n)) % np.uint64(BUCKETS))
     first = np.cumsum(size) - size
     weight = prefix * common.mix(np.arange(len(raw), dtype=np.uint64) - np.repeat(first, size).astype(np.uint64) + np.uint64(1))
     owners.append(np.arange(len(words)))
