@@ -24,6 +24,8 @@ the name of a class that has other ids; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,19 +42,20 @@ SKETCH, INDEXED, SALTS, ORDERS = 64, 32, 64, 8
 #: below the threshold.
 ESTIMATE = 0.5
 
-_memo = common.Generations(300_000)
+def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words (A-Z lowered) one text after another as numbers, the hash of
+    each number's word, and each text's count of words."""
+    cut = [t.lower().split() for t in texts]
+    n = np.array([len(c) for c in cut], np.int64)
+    ids: dict = defaultdict(itertools.count().__next__)
+    codes = np.fromiter(map(ids.__getitem__, itertools.chain.from_iterable(cut)), np.int64, int(n.sum()))
+    return codes, np.fromiter(map(xxhash.xxh3_64_intdigest, ids), np.uint64, len(ids)), n
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (A-Z lowered) one text after another, and each text's number."""
-    cut = [t.lower().split() for t in texts]
-    new = _memo.missing(set().union(*cut))
-    _memo.learn(zip(new, map(xxhash.xxh3_64_intdigest, new), strict=True))
-    known = _memo.young.__getitem__
-    n = np.array([len(c) for c in cut], np.int64)
-    out = np.fromiter((known(w) for c in cut for w in c), np.uint64, int(n.sum()))
-    _memo.age()
-    return out, n
+    """Hashes of all words one text after another, and each text's count of words."""
+    codes, hashes, n = word_codes(texts)
+    return hashes[codes], n
 
 
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
