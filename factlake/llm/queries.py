@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, huffman, licenses, lm, neardup, packing, quality, secrets, toxicity
+from . import decontaminate, extract, huffman, licenses, lm, neardup, packing, quality, secrets, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -55,4 +59,4 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_best_fit_packing, op4_license_scan, op5_toxicity, op7_token_files, op8_minhash_near_dedup, op9_quality_rules, op10_benchmark_decontamination)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_best_fit_packing, op4_license_scan, op5_toxicity, op6_html_extraction, op7_token_files, op8_minhash_near_dedup, op9_quality_rules, op10_benchmark_decontamination)}
