@@ -211,18 +211,21 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "
     return out.withColumnRenamed("doc_id", key)
 
 
+def _cleaner(shared):
+    def clean(column: pa.Array) -> pa.Array:
+        texts = common.blobs(column)
+        out = np.ones(len(texts), bool)
+        for a, b in common.groups(texts):
+            out[[a + h[0] for h in shared.value.hits(texts[a:b])]] = False
+        return pa.array(out)
+
+    return clean
+
+
 def clean_only(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents that no item contaminates, with all their columns."""
     common.ship(docs.sparkSession)
     for m in matchers(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(m)
-
-        def clean(column: pa.Array, s=shared) -> pa.Array:
-            texts = common.blobs(column)
-            out = np.ones(len(texts), bool)
-            for a, b in common.groups(texts):
-                out[[a + h[0] for h in s.value.hits(texts[a:b])]] = False
-            return pa.array(out)
-
-        docs = docs.where(F.arrow_udf(clean, "boolean")(F.col(text)))
+        docs = docs.where(F.arrow_udf(_cleaner(shared), "boolean")(F.col(text)))
     return docs

@@ -205,3 +205,20 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     component = F.coalesce(F.col("component"), F.col("id"))
     kind = docs.select(key).schema[0].dataType
     return found.select(F.col("id").cast(kind).alias(key), F.col("n").alias("n_shingles"), component.cast(kind).alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+
+
+def first_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs``, all columns, without near-duplicates of a kept document: the one
+    with the least id stays, rows repeated under one id stay once. Rows with a
+    null id name nothing and stay. Only rows that may go are shuffled."""
+    spark = docs.sparkSession
+    found = near_duplicates(docs, text, key, words, percent)
+    folder = common.scratch(spark)
+    ids = found.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("bigint").alias("id")).agg(F.count("*").alias("rows"), F.min("kept").alias("kept"))
+    touched = common.written(ids.where((F.col("rows") > 1) | ~F.col("kept")).select("id", "kept"), f"{folder}/touched")
+    may = idsets.maybe_in(touched.select("id"))(F.xxhash64(F.col(key).cast("bigint")))
+    apart = docs.where(F.col(key).isNull() | ~may)
+    one = Window.partitionBy("_id").orderBy(F.xxhash64(text))
+    near = docs.where(F.col(key).isNotNull() & may).withColumn("_id", F.col(key).cast("bigint")).join(touched.select(F.col("id").alias("_id"), F.col("kept").alias("_kept")), "_id", "left")
+    near = near.where("coalesce(_kept, true)").withColumn("_n", F.row_number().over(one)).where("_n = 1").select(*docs.columns)
+    return apart.select(*docs.columns).union(near)
