@@ -208,11 +208,11 @@ MATRIX = [[1.2, 0.1, 3.0], [0.05, 1.1, -2.0], [0.0001, 0.0002, 1.0]]
 
 
 @query(
-    "WITH b AS (SELECT l_orderkey, l_linenumber AS t, CAST(l_linenumber * 12 AS DOUBLE) AS x, l_quantity AS y FROM lineitem), h AS (SELECT l_orderkey, t, (1.2 * x + 0.1 * y + 3.0) / (0.0001 * x + 0.0002 * y + 1.0) AS hx, (0.05 * x + 1.1 * y - 2.0) / (0.0001 * x + 0.0002 * y + 1.0) AS hy FROM b), "
+    "WITH b AS (SELECT l_orderkey, l_linenumber AS t, CAST(l_linenumber * 12 AS DOUBLE) AS x, max(l_quantity) AS y FROM lineitem GROUP BY ALL), h AS (SELECT l_orderkey, t, (1.2 * x + 0.1 * y + 3.0) / (0.0001 * x + 0.0002 * y + 1.0) AS hx, (0.05 * x + 1.1 * y - 2.0) / (0.0001 * x + 0.0002 * y + 1.0) AS hy FROM b), "
     "g AS (SELECT l_orderkey, min(t) AS t0, max(t) AS t1, arg_min(hx, t) AS x0, arg_max(hx, t) AS x1, arg_min(hy, t) AS y0, arg_max(hy, t) AS y1 FROM h GROUP BY 1) SELECT l_orderkey, round_even(sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)) / 10.0 / (t1 - t0) * 3.6 * 1000, 0) / 1000 AS kmh FROM g WHERE t1 > t0"
 )
 def bev_speed(spark: SparkSession, d: str) -> DataFrame:
-    b = table(spark, d, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("t"), (F.col("l_linenumber") * 12.0).alias("x"), F.col("l_quantity").alias("y"))
+    b = table(spark, d, "lineitem").groupBy("l_orderkey", F.col("l_linenumber").alias("t")).agg(F.max("l_quantity").alias("y")).withColumn("x", F.col("t") * 12.0)
     hx, hy = S.homography(F.col("x"), F.col("y"), MATRIX)
     g = N.first_last(b.select("l_orderkey", "t", hx.alias("hx"), hy.alias("hy")), ["l_orderkey"], "t", ["hx", "hy", "t"]).where("last_t > first_t")
     dx, dy = F.col("last_hx") - F.col("first_hx"), F.col("last_hy") - F.col("first_hy")
