@@ -29,7 +29,7 @@ from . import common
 
 #: Parameters: the sample's bound for each label, hash buckets, dimensions,
 #: n-gram lengths in bytes, words in a window, and the training's course.
-SAMPLE, BUCKETS, DIMENSIONS, GRAMS, WINDOW = 2500, 1 << 16, 8, (3, 4, 5, 6), 3
+SAMPLE, BUCKETS, DIMENSIONS, GRAMS, WINDOW = 2000, 1 << 16, 8, (3, 4, 5, 6), 3
 EPOCHS, RATE, DECAY, SEED = 30, 0.01, 1e-5, 7
 #: The start's scale, and the documents that count as half evidence.
 START, SHRINK = 6.0, 8.0
@@ -89,12 +89,12 @@ def means(values: np.ndarray, starts: np.ndarray, end: int) -> np.ndarray:
 def evidence(which: np.ndarray, label: np.ndarray, doc: np.ndarray, bucket: np.ndarray, per_word: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Where training starts: each bucket's smoothed log-odds from the number of
     documents of either label that hold it, shrunk where these are few."""
-    pairs = np.unique(doc * np.int64(len(per_word)) + which)
+    pairs = np.unique(doc * np.int64(len(per_word)) + which)  # (document, word)
     doc, word = pairs // len(per_word), pairs % len(per_word)
     first = np.cumsum(per_word) - per_word
     found = [np.zeros(BUCKETS), np.zeros(BUCKETS)]
-    for a in range(0, len(word), 1 << 18):
-        d, w = doc[a : a + (1 << 18)], word[a : a + (1 << 18)]
+    for a in range(0, len(word), 1 << 15):
+        d, w = doc[a : a + (1 << 15)], word[a : a + (1 << 15)]
         size = per_word[w]
         spots = np.repeat(first[w] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
         held = np.unique(np.repeat(d, size) * np.int64(BUCKETS) + bucket[spots])
@@ -108,16 +108,22 @@ def evidence(which: np.ndarray, label: np.ndarray, doc: np.ndarray, bucket: np.n
 def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
     """A number for each bucket and the bias: the log-odds of a window are the
     bias and the mean of its words' means."""
-    keep = [i for i, t in enumerate(texts) if split(t)]
+    ids: dict = defaultdict(itertools.count().__next__)
+    coded = [np.fromiter(map(ids.__getitem__, split(t)), np.int32) for t in texts]
+    keep = [i for i, c in enumerate(coded) if len(c)]
     share = float(labels.mean()) if len(labels) else 0.0
     bias = float(np.log((share + 1e-9) / (1 - share + 1e-9)))
     if not keep or len(set(labels[keep].tolist())) < 2:
         return np.zeros(BUCKETS, np.float32), bias
-    docs, y = [split(texts[i]) for i in keep], labels[keep].astype(np.float64)
-    ids: dict = defaultdict(itertools.count().__next__)
+    docs, y = [coded[i] for i in keep], labels[keep].astype(np.float64)
     n = np.array([len(d) for d in docs], np.int64)
-    which = np.fromiter(map(ids.__getitem__, itertools.chain.from_iterable(docs)), np.int64, int(n.sum()))
-    bucket, per_word = grams(list(ids))
+    which = np.concatenate(docs)
+    words, parts = list(ids), []
+    for i in range(0, len(words), 20_000):
+        bucket, many = grams(words[i : i + 20_000])
+        parts.append((bucket.astype(np.int32), many))
+    bucket, per_word = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    del coded, words, parts
     at = np.cumsum(per_word) - per_word
     starts, many = windows(n)
     ends = np.append(starts[1:], len(which))
