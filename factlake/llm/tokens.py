@@ -16,6 +16,7 @@ import os
 import re
 from array import array
 
+import numpy as np
 from tokenizers import Tokenizer
 
 from . import common
@@ -27,12 +28,20 @@ WHITE = "\t-\r " + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
 _CHUNKS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Entries in each half of a worker's memo; about 200 bytes each.
 MEMO = 600_000
+#: Chunks encoded together, their greatest length, and what may follow a word's letters.
+TOGETHER, LONG, MARKS = 128, 64, "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _loaded: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """``ids(texts)``: each text's ids as packed unsigned 32-bit integers."""
+    """``ids(texts)``: each text's ids as packed unsigned 32-bit integers.
+
+    Unknown chunks are encoded many at a time, because a call costs as much as
+    some words. Where a chunk's ids end is known without asking: byte-level
+    tokens have the lengths of their bytes, and tokens with a word-end mark end
+    the pieces that a word of letters with punctuation after it consists of.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -40,17 +49,70 @@ class Encoder:
         self.memo = common.Generations(MEMO)
         a, b, both = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in ("ab", "cd", " \tAB\n  Cd "))
         self.plain = both == a + b
+        vocabulary = self.tokenizer.get_vocab()
+        size = max(vocabulary.values()) + 1
+        self.ends, self.bytes = np.zeros(size, bool), np.zeros(size, np.int64)
+        for token, i in vocabulary.items():
+            self.ends[i], self.bytes[i] = token.endswith("</w>"), len(token)
 
     def cut(self, text: bytes) -> list:
         return text.lower().split() if self.plain else _CHUNKS.findall(text.decode("utf-8", "replace"))
 
+    def simple(self, chunk: str) -> int:
+        """Pieces of a chunk that may be encoded next to others; 0 if it may not."""
+        if not self.plain:
+            return int(chunk[0] in WHITE and chunk[-1] not in WHITE)
+        core = chunk.rstrip(MARKS)
+        return (core.isalpha() and core == core.lower() and core.lower().isalpha()) * (1 + (len(core) < len(chunk)))
+
+    def together(self, chunks: list[str], pieces: list[int]) -> list[bytes] | None:
+        """The ids of simple chunks; None if they don't fall apart as foreseen."""
+        whole = (" " if self.plain else "").join(chunks)
+        ids = np.array(self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, np.uint32)
+        if self.plain:
+            ends, want = np.flatnonzero(self.ends[ids]) + 1, np.cumsum(pieces)
+            if len(ends) != want[-1]:
+                return None
+            stop = ends[want - 1]
+        else:
+            at, want = np.cumsum(self.bytes[ids]), np.cumsum([len(c.encode()) for c in chunks])
+            stop = np.searchsorted(at, want) + 1
+            if len(ids) < stop[-1] or (at[stop - 1] != want).any():
+                return None
+        raw, edges = ids.tobytes(), [0, *(4 * stop).tolist()]
+        return [raw[i:j] for i, j in zip(edges, edges[1:], strict=False)]
+
+    def each(self, strings: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+
+    def learn(self, new: list) -> None:
+        alone, run, pieces = [], [], []
+
+        def flush() -> None:
+            if run:
+                texts = [x.decode() for x in run] if self.plain else list(run)
+                self.memo.learn(zip(run, self.together(texts, pieces) or self.each(texts), strict=True))
+                run.clear()
+                pieces.clear()
+
+        for c in new:
+            text = c.decode("utf-8", "replace") if self.plain else c
+            n = self.simple(text) if len(text) <= LONG else 0
+            if n:
+                run.append(c)
+                pieces.append(n)
+                if len(run) == TOGETHER:
+                    flush()
+            else:
+                alone.append((c, text))
+        flush()
+        for i in range(0, len(alone), 4096):
+            part = alone[i : i + 4096]
+            self.memo.learn(zip((c for c, _ in part), self.each([t for _, t in part]), strict=True))
+
     def ids(self, texts: list[bytes]) -> list[bytes]:
         cut = [self.cut(t) for t in texts]
-        new = self.memo.missing(set().union(*cut))
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            strings = [x.decode("utf-8", "replace") for x in part] if self.plain else part
-            self.memo.learn((c, array("I", e.ids).tobytes()) for c, e in zip(part, self.tokenizer.encode_batch_fast(strings, add_special_tokens=False), strict=True))
+        self.learn(self.memo.missing(set().union(*cut)))
         known = self.memo.young.__getitem__
         out = [b"".join(map(known, chunks)) for chunks in cut]
         self.memo.age()
