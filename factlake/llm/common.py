@@ -99,14 +99,24 @@ class Generations:
     """A bounded memo: when the young half is full, the old half is forgotten.
 
     It holds at most 2 * ``size`` entries and only ever saves work; what it
-    returns does not depend on what it remembers.
+    returns does not depend on what it remembers. A worker runs one operator
+    after another: the memo in use is the only one that keeps anything.
     """
 
+    in_use: Generations | None = None
+
     def __init__(self, size: int):
         self.size, self.young, self.old = size, {}, {}
 
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
     def missing(self, keys) -> list:
         """Those of the distinct ``keys`` not known; known old ones get young."""
+        if Generations.in_use is not self:
+            if Generations.in_use:
+                Generations.in_use.clear()
+            Generations.in_use = self
         young, old, out = self.young, self.old, []
         for k in keys - young.keys():
             v = old.get(k)

@@ -45,7 +45,7 @@ UNITS = frozenset(
 )
 NAME, NUM, UNIT = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b"\0name", b"\0number", b"\0unit"))
 PACK = struct.Struct("<QQQ").pack
-_memo = common.Generations(300_000)
+_memo = common.Generations(120_000)
 
 
 def core_of(word: bytes) -> bytes:

@@ -27,7 +27,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one cor
 WHITE = "\t-\r " + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _CHUNKS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Entries in each half of a worker's memo; about 200 bytes each.
-MEMO = 600_000
+MEMO = 250_000
 #: Chunks encoded together, their greatest length, and what may follow a word's letters.
 TOGETHER, LONG, MARKS = 128, 64, "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 

@@ -36,7 +36,7 @@ START, SHRINK = 6.0, 8.0
 FOLDS, HELD, LIMIT = 3, 1, 0.7
 EDGE = b".,;:!?\"'()[]{}*#$%&|"
 
-_memo = common.Generations(400_000)
+_memo = common.Generations(200_000)
 _memo_of: list = [None]
 
 
