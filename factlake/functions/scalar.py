@@ -74,3 +74,49 @@ def confidence_class(share: Column, high: float = 0.7, medium: float = 0.35) ->
 def bucket(v: Column, low: float, high: float, labels: tuple[str, str, str]) -> Column:
     """Three ways; both limits belong to the middle."""
     return F.when(v < low, labels[0]).when(v > high, labels[2]).otherwise(labels[1])
+
+
+def angle(dx: Column, dy: Column) -> Column:
+    return F.degrees(F.atan2(dy, dx))
+
+
+def angle_delta(a: Column, b: Column) -> Column:
+    """Circular difference, 0 to 180."""
+    d = F.abs(a - b) % 360
+    return F.least(d, 360 - d)
+
+
+def relative_position(x: Column, y: Column, width: Column, height: Column) -> Column:
+    """3 x 2 position class: limits at 0.4 and 0.6 across, 0.65 down."""
+    across = F.when(x < 0.4 * width, "left").when(x > 0.6 * width, "right").otherwise("centre")
+    return F.concat_ws("-", across, F.when(y >= 0.65 * height, "near").otherwise("far"))
+
+
+def movement(dx: Column, dy: Column, step: float = 20.0) -> Column:
+    """Lateral when it dominates and exceeds ``step``; else by the vertical change."""
+    return F.when((F.abs(dx) > F.abs(dy)) & (F.abs(dx) > step), "lane_change").when(dy > step, "approach").when(dy < -step, "depart").otherwise("keep")
+
+
+def padded(box: list[Column], width: Column, height: Column, ratio: float = 0.35, least: int = 8) -> list[Column]:
+    """A box grown by a share of its sides, at least ``least``, and clipped."""
+    px = F.greatest(F.lit(least), F.rint((box[2] - box[0]) * ratio).cast("int"))
+    py = F.greatest(F.lit(least), F.rint((box[3] - box[1]) * ratio).cast("int"))
+    return [F.greatest(F.lit(0), box[0] - px), F.greatest(F.lit(0), box[1] - py), F.least(width, box[2] + px), F.least(height, box[3] + py)]
+
+
+def safe_id(text: Column, length: int = 48) -> Column:
+    return F.left(F.regexp_replace(text, r"[^\p{L}\p{N}]", "_"), F.lit(length))
+
+
+def last_number(text: Column) -> Column:
+    return F.get(F.reverse(F.regexp_extract_all(text, F.lit(r"\d+"), F.lit(0))), F.lit(0)).try_cast("bigint")
+
+
+def frame_of(seconds: Column, fps: Column, frames: Column) -> Column:
+    """The nearest frame (half-even) within the clip; 0 without frames."""
+    return F.greatest(F.lit(0), F.least(frames - 1, F.rint(seconds * fps).cast("bigint")))
+
+
+def share(n: Column, d: Column, digits: int = 4) -> Column:
+    """n / d, rounded half-even; null where d is not positive."""
+    return F.when(d > 0, F.rint(n * 10.0**digits / d) / 10**digits)

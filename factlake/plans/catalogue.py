@@ -413,3 +413,94 @@ def json_guard(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def image_metrics(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", DOC.image_metrics(F.col("text").cast("binary"), F.lit(16)).alias("m")).select("doc_id", "m.*")
+
+
+PART = "CAST(p_size * 13 % 640 AS BIGINT) AS x, CAST(p_partkey * 7 % 360 AS BIGINT) AS y"
+
+
+def _points(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select("p_partkey", (F.col("p_size") * 13 % 640).cast("bigint").alias("x"), (F.col("p_partkey") * 7 % 360).alias("y"))
+
+
+@query(f"WITH p AS (SELECT p_partkey, {PART} FROM part) SELECT p_partkey, CASE WHEN x < 0.4 * 640 THEN 'left' WHEN x > 0.6 * 640 THEN 'right' ELSE 'centre' END || '-' || CASE WHEN y >= 0.65 * 360 THEN 'near' ELSE 'far' END AS place FROM p")
+def relative_position(spark: SparkSession, d: str) -> DataFrame:
+    return _points(spark, d).select("p_partkey", S.relative_position(F.col("x"), F.col("y"), F.lit(640), F.lit(360)).alias("place"))
+
+
+@query(f"WITH p AS (SELECT p_partkey, {PART} FROM part), m AS (SELECT *, x - lag(x) OVER w AS dx, y - lag(y) OVER w AS dy FROM p WINDOW w AS (PARTITION BY p_partkey % 10 ORDER BY p_partkey)) SELECT p_partkey, CASE WHEN abs(dx) > abs(dy) AND abs(dx) > 20 THEN 'lane_change' WHEN dy > 20 THEN 'approach' WHEN dy < -20 THEN 'depart' ELSE 'keep' END AS movement FROM m WHERE dx IS NOT NULL")
+def movement_class(spark: SparkSession, d: str) -> DataFrame:
+    p = N.with_previous(_points(spark, d).withColumn("track", F.col("p_partkey") % 10), ["track"], ["p_partkey"], {"x": "x0", "y": "y0"}).where("x0 IS NOT NULL")
+    return p.select("p_partkey", S.movement(F.col("x") - F.col("x0"), F.col("y") - F.col("y0")).alias("movement"))
+
+
+@query(f"WITH p AS (SELECT p_partkey, {PART} FROM part) SELECT p_partkey, greatest(0, x - greatest(8, CAST(round_even(40 * 0.35, 0) AS INTEGER))) AS x1, greatest(0, y - greatest(8, CAST(round_even(10 * 0.35, 0) AS INTEGER))) AS y1, least(640, x + 40 + greatest(8, CAST(round_even(40 * 0.35, 0) AS INTEGER))) AS x2, least(360, y + 10 + greatest(8, CAST(round_even(10 * 0.35, 0) AS INTEGER))) AS y2 FROM p")
+def padded_crop(spark: SparkSession, d: str) -> DataFrame:
+    x, y = F.col("x"), F.col("y")
+    box = S.padded([x, y, x + 40, y + 10], F.lit(640).cast("bigint"), F.lit(360).cast("bigint"))
+    return _points(spark, d).select("p_partkey", *[c.alias(n) for c, n in zip(box, ("x1", "y1", "x2", "y2"), strict=True)])
+
+
+@query(f"WITH {EV_SQL}, x AS (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY us, event_id) AS v0, us - lag(us) OVER (PARTITION BY user_id ORDER BY us, event_id) AS gap FROM ev) SELECT user_id, event_id, 'occluded' AS rule FROM x WHERE value < 0.45 * v0 UNION ALL SELECT user_id, event_id, 'reappeared' FROM x WHERE gap > {15 * HOUR}")
+def occlusion_rules(spark: SparkSession, d: str) -> DataFrame:
+    x = N.with_previous(events(spark, d), ["user_id"], ["us", "event_id"], {"value": "v0", "us": "u0"})
+    rules = {"occluded": (F.col("value") < 0.45 * F.col("v0"), F.lit(0)), "reappeared": (F.col("us") - F.col("u0") > 15 * HOUR, F.lit(0))}
+    return EV.rule_union(x, rules).select("user_id", "event_id", "rule")
+
+
+@query(f"WITH {EV_SQL} SELECT user_id, count(*) FILTER (k >= 60) AS lit, count(*) FILTER (k BETWEEN 20 AND 59) AS off, count(*) FILTER (k < 20) AS missing, CASE WHEN count(*) >= 3 AND count(*) FILTER (k >= 60) >= 2 AND count(*) FILTER (k < 60) >= 1 THEN '점멸' ELSE '확인불가' END AS state FROM ev GROUP BY user_id")
+def flashing_state(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("k")
+    lit, flash = F.count_if(k >= 60), F.when((F.count("*") >= 3) & (F.count_if(k >= 60) >= 2) & (F.count_if(k < 60) >= 1), "점멸").otherwise(S.UNKNOWN)
+    return events(spark, d).groupBy("user_id").agg(lit.alias("lit"), F.count_if(k.between(20, 59)).alias("off"), F.count_if(k < 20).alias("missing"), flash.alias("state"))
+
+
+@query("SELECT l_suppkey, round_even(median(l_linenumber), 0) AS lanes, median(l_quantity) AS gap, round_even(median(l_quantity) / 3.2 * 1000, 0) / 1000 AS px_per_metre, CASE WHEN count(*) >= 3 THEN 'medium' ELSE 'low' END AS confidence FROM lineitem GROUP BY 1")
+def lane_summary(spark: SparkSession, d: str) -> DataFrame:
+    gap = F.median("l_quantity")
+    return table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.rint(F.median("l_linenumber")).alias("lanes"), gap.alias("gap"), S.rint(gap / 3.2, 3).alias("px_per_metre"), F.when(F.count("*") >= 3, "medium").otherwise("low").alias("confidence"))
+
+
+@query(f"WITH {EV_SQL}, m AS (SELECT user_id, event_type AS message, 0 AS o, event_id FROM ev WHERE k < 20 UNION ALL SELECT user_id, event_type, 1, event_id FROM ev WHERE value > 80 UNION ALL SELECT user_id, 'late', 2, event_id FROM ev WHERE k > 90), f AS (SELECT user_id, message, min((o, event_id)) AS o FROM m GROUP BY ALL) SELECT user_id, string_agg(message, '; ' ORDER BY o) AS uncertainties FROM f GROUP BY user_id")
+def uncertainty_union(spark: SparkSession, d: str) -> DataFrame:
+    e, k = events(spark, d), F.col("k")
+    rules = {"0": (k < 20, F.col("event_type")), "1": (F.col("value") > 80, F.col("event_type")), "2": (k > 90, F.lit("late"))}
+    m = EV.rule_union(e, rules).groupBy("user_id", F.col("score").alias("message")).agg(F.min(F.struct("rule", "event_id")).alias("o"))
+    return m.groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "message"))), lambda x: x["message"]), "; ").alias("uncertainties"))
+
+
+@query("SELECT p_partkey, left(regexp_replace(p_name || ' ' || p_type, '[^\\p{L}\\p{N}]', '_', 'g'), 48) AS id, CAST(regexp_extract_all(p_brand || '-' || p_partkey, '\\d+')[-1] AS BIGINT) AS number FROM part")
+def safe_ids(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part")
+    return p.select("p_partkey", S.safe_id(F.concat_ws(" ", "p_name", "p_type")).alias("id"), S.last_number(F.concat_ws("-", "p_brand", F.col("p_partkey").cast("string"))).alias("number"))
+
+
+@query(f"WITH {EV_SQL} SELECT event_id, greatest(0, least(899, CAST(round_even((us % {HOUR}) / 60000000.0::DOUBLE * 15.0, 0) AS BIGINT))) AS frame FROM ev")
+def second_to_frame(spark: SparkSession, d: str) -> DataFrame:
+    return events(spark, d).select("event_id", S.frame_of((F.col("us") % HOUR) / 60000000.0, F.lit(15.0), F.lit(900).cast("bigint")).alias("frame"))
+
+
+@query(f"WITH {EV_SQL}, p AS (SELECT user_id, event_id, us, value, lag(value) OVER w AS v0, lag(us) OVER w AS u0 FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id)), s AS (SELECT user_id, event_id, us, degrees(atan2(value - v0, (us - u0) / 3600000000.0)) AS a FROM p WHERE us > u0), t AS (SELECT *, abs(a - lag(a) OVER (PARTITION BY user_id ORDER BY us, event_id)) % 360 AS d FROM s) SELECT user_id, event_id, least(d, 360 - d) >= 90 AS sharp FROM t WHERE least(d, 360 - d) >= 60")
+def direction_change(spark: SparkSession, d: str) -> DataFrame:
+    p = N.with_previous(events(spark, d), ["user_id"], ["us", "event_id"], {"value": "v0", "us": "u0"}).where("us > u0")
+    s = p.withColumn("a", S.angle((F.col("us") - F.col("u0")) / 3600000000.0, F.col("value") - F.col("v0")))
+    t = N.with_previous(s, ["user_id"], ["us", "event_id"], {"a": "a0"}).withColumn("d", S.angle_delta(F.col("a"), F.col("a0"))).where("d >= 60")
+    return t.select("user_id", "event_id", (F.col("d") >= 90).alias("sharp"))
+
+
+@query("WITH s AS (SELECT o_custkey, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS f FROM orders GROUP BY 1) SELECT c_custkey, CASE WHEN n > 0 THEN round_even(f * 10000.0 / n, 0) / 10000 END AS fill FROM customer LEFT JOIN s ON c_custkey = o_custkey")
+def fill_rates(spark: SparkSession, d: str) -> DataFrame:
+    s = table(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("f"))
+    return table(spark, d, "customer").join(s, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", S.share(F.col("f"), F.col("n")).alias("fill"))
+
+
+@query(f"WITH {EV_SQL}, g AS (SELECT user_id, count(DISTINCT event_type) AS n, count(*) FILTER (k >= 35) AS seen, CAST(sum(k) AS BIGINT) AS s, count(*) AS c FROM ev GROUP BY 1) SELECT user_id, round_even(least(1.0, greatest(0.0, 0.45 * (s / (100.0 * c)) + 0.35 * (seen / CAST(c AS DOUBLE)) + 0.20 * least(1.0, n / 3.0))) * 1000, 0) / 1000 AS quality FROM g")
+def reading_quality(spark: SparkSession, d: str) -> DataFrame:
+    g = events(spark, d).groupBy("user_id").agg(F.count_distinct("event_type").alias("n"), F.count_if(F.col("k") >= 35).alias("seen"), F.sum("k").alias("s"), F.count("*").alias("c"))
+    q = 0.45 * (F.col("s") / (100.0 * F.col("c"))) + 0.35 * (F.col("seen") / F.col("c").cast("double")) + 0.20 * F.least(F.lit(1.0), F.col("n") / 3.0)
+    return g.select("user_id", S.rint(S.clamp(q, 0.0, 1.0), 3).alias("quality"))
+
+
+@query("SELECT doc_id, upper(text) LIKE '%STOP%' OR text LIKE '%정지%' AS stop, len(list_distinct(string_split(text, chr(10)))) AS lines FROM documents")
+def text_flags(spark: SparkSession, d: str) -> DataFrame:
+    t = F.col("text")
+    return table(spark, d, "documents").select("doc_id", (F.upper(t).contains("STOP") | t.contains("정지")).alias("stop"), F.size(F.array_distinct(F.split(t, "\n"))).cast("bigint").alias("lines"))
