@@ -8,13 +8,15 @@ of similarity s, an entry is shared wherever two neighbours are both common, so
 a similar pair misses all INDEXED - 1 lists with a chance of about 5e-10 at
 s = 0.8 and never when the sets are small.
 
-A list is not turned into all pairs. Each of its salted parts elects a member,
-and those elect one of them, by an order that differs between lists; members
-are compared with the elected. The union sketch estimates a pair's similarity;
-what may reach the threshold is verified on full sets. Similarity distance is a
-metric: who is within 0.2 of someone in an elected member's 0.2-ball is within
-0.4 of the elected. So a second round compares those between 0.6 and 0.8 with
-the ball of the elected where their components still differ.
+Each of a list's salted parts elects a member, and those elect one of them, by
+an order that differs between lists; members are compared with the elected. The
+links of this round join most of what belongs together. Then every list whose
+members are not yet in one component is resolved: its members meet in blocks, and
+all pairs of different components are compared, first by bitmaps of the sketches,
+then by the union sketch, which estimates a pair's similarity; what may reach the
+threshold is verified on full sets, the likeliest first, as pairs that have come
+into one component by then need no comparison. So a pair that shares a list is
+left uncompared only when it is connected anyway.
 
 Defined cases: a text without words (null, empty, white space) has an empty
 set and is linked with nothing; with fewer words than a shingle, the sequence
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common, idsets
@@ -41,6 +43,11 @@ SKETCH, INDEXED, SALTS, ORDERS = 64, 32, 64, 8
 #: A pair is verified from this estimate on: over five standard deviations
 #: below the threshold.
 ESTIMATE = 0.5
+#: Estimates from which on pairs are verified, the likeliest first.
+TIERS = (0.8, 0.7, ESTIMATE)
+#: Members of a list that meet as a block, bits of a sketch's bitmap, and pairs
+#: that are compared at a time.
+BLOCK, BITMAP, PAIRS = 512, 1024, 1 << 18
 
 def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All words (A-Z lowered) one text after another as numbers, the hash of
@@ -138,6 +145,71 @@ def elected_pairs(entries: DataFrame) -> DataFrame:
     return pairs.select(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b")).distinct()
 
 
+def bitmaps(sketches: list[bytes]) -> np.ndarray:
+    """A row of BITMAP bits for each sketch: one for each value."""
+    out = np.zeros((len(sketches), BITMAP), bool)
+    for row, x in zip(out, sketches, strict=True):
+        row[(np.frombuffer(x, np.uint64) % np.uint64(BITMAP)).astype(np.int64)] = True
+    return np.packbits(out, axis=1)
+
+
+def _bitmaps(sketch: pa.Array) -> pa.Array:
+    return pa.array([x.tobytes() for x in bitmaps(sketch.to_pylist())], pa.binary())
+
+
+def may_link(n: np.ndarray, bits: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether pairs of rows may have an estimate of ESTIMATE or more: values of
+    one sketch that share a bit are made up for."""
+    least, most = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+    shared = np.bitwise_count(bits[a] & bits[b]).sum(1, dtype=np.int64)
+    lost = (np.minimum(n, SKETCH) - np.bitwise_count(bits).sum(1, dtype=np.int64))[a]
+    return (least * 100 >= most * percent) & (shared + lost >= ESTIMATE * np.minimum(most, SKETCH))
+
+
+def _cross(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of different components that may link, from rows (key, i, j,
+    block, id, label, n, bits) in order of key, i and j."""
+
+    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        key, i, j, block, ids, label, n = (rows[c].to_numpy() for c in ("key", "i", "j", "block", "id", "label", "n"))
+        bits = np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint64).reshape(len(ids), -1)
+        at = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]), [True])))
+        left, right, held = [], [], 0
+
+        def compared() -> pa.RecordBatch:
+            x, y = np.concatenate(left), np.concatenate(right)
+            apart = (label[x] != label[y]) & ((i[x] == j[x]) | (block[x] != block[y]))
+            x, y = x[apart], y[apart]
+            near = may_link(n, bits, x, y, percent)
+            x, y = ids[x[near]], ids[y[near]]
+            distinct = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(distinct[:, 0]), pa.array(distinct[:, 1])], ["a", "b"])
+
+        for start, end in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            for k in range(start, end - 1):
+                left.append(np.full(end - k - 1, k))
+                right.append(np.arange(k + 1, end))
+                held += end - k - 1
+                if held >= PAIRS:
+                    yield compared()
+                    left, right, held = [], [], 0
+        if held:
+            yield compared()
+
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        last = len(rows) - 1
+        same = np.logical_and.reduce([rows[c].to_numpy() == rows[c][last].as_py() for c in ("key", "i", "j")]) if last >= 0 else np.zeros(0, bool)
+        whole = len(rows) - int(same.sum())
+        if whole:
+            yield from pairs(rows.slice(0, whole))
+        rest = rows.slice(whole).combine_chunks()
+    if rest is not None and len(rest):
+        yield from pairs(rest)
+
+
 class Search:
     """The tables that both rounds use."""
 
@@ -156,12 +228,16 @@ class Search:
         keys = F.arrow_udf(_keys, "array<bigint>")
         return elected_pairs(self.sketches.select("id", F.explode(keys("sketch")).alias("key")))
 
-    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs (a, b) that may matter, with common and union size of the full sets."""
+    def near(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs (a, b) that may reach the threshold, with their estimates."""
         side = lambda s: self.sketches.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
         estimate = F.arrow_udf(_estimate, "double")
-        near = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("n_a", "n_b") * 2 >= F.greatest("n_a", "n_b"))
-        near = common.written(near.where(estimate("sketch_a", "sketch_b") >= ESTIMATE).select("a", "b", "n_a", "n_b"), f"{self.folder}/near{name}")
+        near = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
+        near = near.select("a", "b", "n_a", "n_b", estimate("sketch_a", "sketch_b").alias("estimate"))
+        return common.written(near.where(F.col("estimate") >= ESTIMATE), f"{self.folder}/near{name}")
+
+    def links(self, near: DataFrame, name: str) -> DataFrame:
+        """The pairs (a, b) that reach the threshold on full sets."""
         ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
         ids = common.written(ids, f"{self.folder}/ids{name}")
         words = self.words
@@ -170,28 +246,39 @@ class Search:
         both = near.join(full.select(F.col("id").alias("a"), F.col("members").alias("members_a")), "a").join(full.select(F.col("id").alias("b"), F.col("members").alias("members_b")), "b")
         inter = F.arrow_udf(_common, "bigint")
         found = both.select("a", "b", "n_a", "n_b", inter("members_a", "members_b").alias("inter")).withColumn("total", F.col("n_a") + F.col("n_b") - F.col("inter"))
-        return common.written(found.select("a", "b", "inter", "total").distinct(), f"{self.folder}/verified{name}")
-
-    def linked(self) -> Column:
-        return F.col("inter") * 100 >= F.col("total") * self.percent
+        return common.written(found.where(F.col("inter") * 100 >= F.col("total") * self.percent).select("a", "b").distinct(), f"{self.folder}/links{name}")
+
+    def unresolved(self, labels: DataFrame) -> DataFrame:
+        """Pairs (a, b) of different components that share a list and may link."""
+        keys, bits, percent = F.arrow_udf(_keys, "array<bigint>"), F.arrow_udf(_bitmaps, "binary"), self.percent
+        labelled = self.sketches.join(labels.withColumnRenamed("node", "id"), "id", "left").select("id", "n", "sketch", F.coalesce("label", "id").alias("label"))
+        labelled = common.written(labelled.select("id", "n", "label", keys("sketch").alias("keys"), bits("sketch").alias("bits")), f"{self.folder}/labelled")
+        size = labelled.select(F.explode("keys").alias("key"), "label").groupBy("key").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
+        mixed = common.written(size.where("low <> high").select("key", F.ceil(F.col("rows") / BLOCK).alias("blocks")), f"{self.folder}/mixed")
+        probe = idsets.maybe_in(mixed.select("key"), "key")
+        rows = labelled.select(F.explode("keys").alias("key"), "id", "label", "n", "bits").where(probe(F.xxhash64("key"))).join(mixed, "key")
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+        rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "label", "n", "bits")
+        rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        return rows.mapInArrow(lambda it: _cross(it, percent), "a long, b long").distinct()
 
     def run(self) -> DataFrame:
         """(class, component): every class that has words."""
-        first = self.verified(self.candidates(), "1")
-        links = first.where(self.linked()).select("a", "b")
+        first = self.near(self.candidates(), "1")
+        links = self.links(first, "1")
         labels = idsets.components(links, f"{self.folder}/c1")
-        # within twice the distance of the threshold, and not yet connected
-        ring = first.where(~self.linked() & (F.col("inter") * 100 >= F.col("total") * (2 * self.percent - 100)))
-        ring = ring.select("a", "b").union(ring.select("b", "a")).toDF("x", "pivot")
-        of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
-        ring = ring.join(of("x"), "x", "left").join(of("pivot"), "pivot").where("NOT label_x <=> label_pivot").select("x", "pivot", F.coalesce("label_x", "x").alias("label_x"))
-        ring = common.written(ring, f"{self.folder}/ring")
-        if ring.limit(1).count():
-            ball = links.union(links.select("b", "a")).toDF("pivot", "y")
-            second = ring.join(ball, "pivot").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-            more = self.verified(second, "2").where(self.linked()).select("a", "b")
+        rest = self.near(self.unresolved(labels).join(first, ["a", "b"], "left_anti"), "2")
+        for tier, low in enumerate(TIERS, 2):
+            of = lambda c, known=labels: known.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
+            apart = rest.where(F.col("estimate") >= low).join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(label_a, a) <> coalesce(label_b, b)").select("a", "b", "n_a", "n_b")
+            apart = common.written(apart, f"{self.folder}/apart{tier}")
+            if not apart.limit(1).count():
+                continue
+            more = self.links(apart, str(tier))
+            rest = rest.where(F.col("estimate") < low)
             if more.limit(1).count():
-                labels = idsets.components(links.union(more), f"{self.folder}/c2")
+                links = links.union(more)
+                labels = idsets.components(links, f"{self.folder}/c{tier}")
         named = self.classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select("class", F.coalesce("label", "id").alias("component"))
         return common.written(named, f"{self.folder}/components")
 

@@ -200,6 +200,20 @@ def test_near_duplicates_equal_brute_force(spark, documents, words):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got.collect()} == brute_components(rows, words, 80)
 
 
+def test_near_duplicates_of_a_star(spark):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(400)}" for _ in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 1001):
+        w = list(base)
+        for at in rng.sample(range(0, 300, 5), 6):
+            w[at + 2] = f"new{i}x{at}"
+        rows.append((i, " ".join(w)))
+    rows = [((i * 7919) % 10007, t) for i, t in rows]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got.collect()} == brute_components(rows, 5, 80)
+
+
 def test_near_duplicates_odd_rows(odd):
     got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in neardup.near_duplicates(odd, words=2).collect()}
     assert got == {1: (1, True), None: (None, True), 2: (2, True), 3: (3, True), 4: (3, False), 5: (5, True), 6: (5, False), 7: (7, True)}
