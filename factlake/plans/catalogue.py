@@ -161,6 +161,12 @@ def cluster_1d(spark: SparkSession, d: str) -> DataFrame:
     return N.clusters(events(spark, d).where("event_id % 7 = user_id % 7"), ["user_id"], "k", 5)
 
 
+@query()
+def cluster_1d_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The clusters over all events; ``cluster_1d`` and its SQL see a seventh."""
+    return N.clusters(events(spark, d), ["user_id"], "k", 5)
+
+
 @query(f"WITH {EV_SQL}, x AS (SELECT *, sum(k) OVER w AS s, count(k) OVER w AS n FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING)) SELECT user_id, count(k) AS n, bool_or(s < 0.35 * 100 * n) AS ever_low, CASE WHEN sum(k) >= 0.7 * 100 * count(k) THEN 'high' WHEN sum(k) >= 0.35 * 100 * count(k) THEN 'medium' ELSE 'low' END AS confidence FROM x GROUP BY user_id")
 def running_conf(spark: SparkSession, d: str) -> DataFrame:
     return N.running_mean_flag(events(spark, d), ["user_id"], ["us", "event_id"], "k", 35.0, 70.0)
