@@ -6,7 +6,10 @@ of the benchmark are hash-joined with those of all documents. Where windows
 meet, the values behind the placeholders are compared along the alignment: each
 benchmark value must stand for one document value throughout, as it does when a
 question was re-parameterised; windows that break this don't count. A document
-is contaminated by an item when at least COVERAGE of the item's windows count.
+is contaminated by an item when at least COVERAGE of the item's windows count, or
+RUN of them in a row. A capitalised word that opens a sentence may be a name or
+not: windows stand in both forms on both sides. A form with too few literal words
+counts only where such words are the same.
 
 The benchmark is the stated query set: it is sent to the workers in blocks of
 at most BLOCK_BYTES of text, each of which meets all documents.
@@ -33,7 +36,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
-WINDOW, COVERAGE, BLOCK_BYTES = 8, 0.5, 16 << 20
+WINDOW, COVERAGE, RUN, BLOCK_BYTES = 8, 0.5, 13, 16 << 20
+#: Windows whose forms are made at a time.
+FORMS = 1 << 14
 PUNCTUATION = b".,;:!?\"'()[]{}<>*#$%&|/\\~`^_=+-"
 NUMBER = re.compile(rb"[+-]?\d[\d.,:/]*(?:st|nd|rd|th)?")
 #: Words for numbers and units, lower case.
@@ -91,10 +96,34 @@ class Template:
         unit = np.zeros(len(flags), bool)
         unit[1:] = (flags[1:] & 4 > 0) & (flags[:-1] & 2 > 0) & (self.doc[1:] == self.doc[:-1])
         self.hash[unit] = UNIT
+        self.open = (starts & (first != later))[keep] & ~unit
         self.slot = (self.hash == NAME) | (self.hash == NUM) | (self.hash == UNIT)
         self.words = list(ids)
-
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        self.opens = np.concatenate(([0], np.cumsum(self.open)))
+
+    def forms(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Starts of windows, their hashes, and which words (a bit for each) are
+        taken for names although they open a sentence: all forms."""
+        at, raw = self.windows(size, False)
+        for k in range(0, len(at), FORMS):
+            a, h = at[k : k + FORMS], raw[k : k + FORMS]
+            yield a, common.mix(h), np.zeros(len(a), np.int64)
+            some = np.flatnonzero(self.opens[a + size] > self.opens[a])
+            a, h, named = a[some], h[some], np.zeros(len(some), np.int64)
+            if not len(a):
+                continue
+            factor = np.uint64(1)
+            name = common.mix(np.array([NAME]))
+            for i in reversed(range(size)):
+                at_i = np.flatnonzero(self.open[a + i])
+                b = a[at_i]
+                a, h = np.concatenate((a, b)), np.concatenate((h, h[at_i] + factor * (name - common.mix(self.hash[b + i]))))
+                named = np.concatenate((named, named[at_i] | 1 << i))
+                factor = np.multiply(np.array([factor]), np.uint64(0x9E3779B97F4A7C15))[0]
+            new = named > 0
+            yield a[new], common.mix(h[new]), named[new]
+
+    def windows(self, size: int, final: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Starts of windows within one text, and their hashes."""
         m = len(self.hash) - size + 1
         if m < 1:
@@ -105,7 +134,7 @@ class Template:
         for i in range(size):
             h *= np.uint64(0x9E3779B97F4A7C15)
             h += mixed[i : i + m]
-        return at, common.mix(h[at])
+        return at, common.mix(h[at]) if final else h[at]
 
 
 class Matcher:
@@ -115,8 +144,10 @@ class Matcher:
         self.ids = [i for i, _ in items]
         t = Template([x for _, x in items])
         self.words = [[] for _ in items]
-        for d, w, s in zip(t.doc.tolist(), t.word.tolist(), t.slot.tolist(), strict=True):
+        self.openers = [[] for _ in items]
+        for d, w, s, o in zip(t.doc.tolist(), t.word.tolist(), t.slot.tolist(), t.open.tolist(), strict=True):
             self.words[d].append(core_of(t.words[w]) if s else None)
+            self.openers[d].append(core_of(t.words[w]) if o else None)
         n = np.bincount(t.doc, minlength=len(items))
         first = np.cumsum(n) - n
         self.tables = {}
@@ -127,46 +158,65 @@ class Matcher:
             fits = np.minimum(WINDOW, n)[t.doc[at]] == size
             good = np.bincount(t.doc[at[literal & fits]], minlength=len(items))
             use = fits & (literal | (good[t.doc[at]] == 0))
-            at, h = at[use], h[use]
-            self.total += np.bincount(t.doc[at], minlength=len(items))
+            self.total += np.bincount(t.doc[at[use]], minlength=len(items))
+            used = np.zeros(len(t.hash), bool)
+            used[at[use]] = True
+            at, h, named = (np.concatenate(x) for x in zip(*t.forms(size), strict=True)) if len(at) else (at, h, at)
+            at, h, named = at[used[at]], h[used[at]], named[used[at]]
+            literals = np.add.reduce([~t.slot[at + i] for i in range(size)], dtype=np.int64) - np.bitwise_count(named)
+            weak = (named > 0) & (literals * 2 < size)
             order = np.argsort(h, kind="stable")
-            self.tables[size] = h[order], t.doc[at[order]], (at - first[t.doc[at]])[order]
+            self.tables[size] = h[order], t.doc[at[order]], (at - first[t.doc[at]])[order], named[order], weak[order]
 
     def hits(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
         """(text, item, windows that count, slots compared, slots changed)."""
         t = Template(texts)
-        found: dict[tuple[int, int], dict[int, list[tuple[int, int, int]]]] = {}
-        for size, (known, item, place) in self.tables.items():
-            at, h = t.windows(size)
-            low, high = np.searchsorted(known, h, "left"), np.searchsorted(known, h, "right")
-            for i in np.flatnonzero(high > low).tolist():
-                for k in range(low[i], high[i]):
-                    pair = (int(t.doc[at[i]]), int(item[k]))
-                    found.setdefault(pair, {}).setdefault(int(at[i]) - int(place[k]), []).append((int(at[i]), int(place[k]), size))
+        found: dict[tuple[int, int], dict[int, dict[int, tuple[int, int, int]]]] = {}
+        for size, (known, item, place, named, weak) in self.tables.items():
+            for at, h, _ in t.forms(size):
+                low, high = np.searchsorted(known, h, "left"), np.searchsorted(known, h, "right")
+                for i in np.flatnonzero(high > low).tolist():
+                    for k in range(low[i], high[i]):
+                        start, j, p, form = int(at[i]), int(item[k]), int(place[k]), int(named[k])
+                        if weak[k] and any(form >> x & 1 and self.openers[j][p + x] != core_of(t.words[t.word[start + x]]) for x in range(size)):
+                            continue
+                        line = found.setdefault((int(t.doc[start]), j), {}).setdefault(start - p, {})
+                        if p not in line or form < line[p][2]:
+                            line[p] = start, size, form
         out = []
         for (doc, item), lines in found.items():
-            counted, compared, changed = set(), 0, 0
+            counted, compared, changed, longest = set(), 0, 0, 0
             for windows in lines.values():
-                ok, n, other = self.consistent(t, item, windows)
+                ok, n, other = self.consistent(t, item, [(at, p, size, form) for p, (at, size, form) in windows.items()])
                 counted |= ok
                 compared, changed = compared + n, changed + other
-            if len(counted) >= COVERAGE * self.total[item]:
+                longest = max(longest, self.run(ok))
+            if len(counted) >= COVERAGE * self.total[item] or longest >= RUN:
                 out.append((doc, item, len(counted), compared, changed))
         return out
 
-    def consistent(self, t: Template, item: int, windows: list[tuple[int, int, int]]) -> tuple[set[int], int, int]:
+    @staticmethod
+    def run(places: set[int]) -> int:
+        """The most windows that follow one another."""
+        best = n = 0
+        for p in sorted(places):
+            n = n + 1 if p - 1 in places else 1
+            best = max(best, n)
+        return best
+
+    def consistent(self, t: Template, item: int, windows: list[tuple[int, int, int, int]]) -> tuple[set[int], int, int]:
         """Along one alignment: item windows without a broken slot, slots, changed slots."""
         values: dict[bytes, Counter] = defaultdict(Counter)
         slots: dict[int, tuple[bytes, bytes]] = {}
-        for at, place, size in windows:
+        for at, place, size, form in windows:
             for i in range(size):
-                own = self.words[item][place + i]
+                own = self.openers[item][place + i] if form >> i & 1 else self.words[item][place + i]
                 if own is not None and place + i not in slots:
                     slots[place + i] = own, core_of(t.words[t.word[at + i]])
                     values[own][slots[place + i][1]] += 1
         best = {own: c.most_common(1)[0][0] for own, c in values.items()}
         broken = {p for p, (own, other) in slots.items() if best[own] != other}
-        ok = {place for _, place, size in windows if not any(p in broken for p in range(place, place + size))}
+        ok = {place for _, place, size, _ in windows if not any(p in broken for p in range(place, place + size))}
         return ok, len(slots), sum(own != other for own, other in slots.values())
 
 

@@ -207,6 +207,19 @@ def test_templates(text, hit):
     assert any(h[1] == 0 for h in m.hits([text.encode()])) == hit
 
 
+TOM = "Tom has 5 apples. Tom buys 3 pears. Tom eats 2 plums. How much fruit does Tom have left today?"
+LONG = " ".join(f"word{'abcdefghijklmnopqrstuvwxyz'[i % 26] * (1 + i // 26)}" for i in range(59))
+
+
+@pytest.mark.parametrize(("item", "text", "hit"), [
+    (TOM, TOM.replace("Tom", "Ann").replace("5", "7"), True), (TOM, TOM, True), ("What is the capital of France?", "Question: What is the capital of France?", True),
+    ("What is 5 + 3?", "Question: What is 5 + 3?", True), ("What is 5 + 3?", "Question: This is 5 + 3?", False),
+    (LONG, "Before. " + " ".join(LONG.split()[:25]) + " after.", True), (LONG, "Before. " + " ".join(LONG.split()[:12]) + " after.", False),
+])
+def test_openings_and_long_runs(item, text, hit):
+    assert bool(decontaminate.Matcher([(1, item.encode())]).hits([text.encode()])) == hit
+
+
 def test_slots_must_be_consistent():
     item = "The shop of {} sold the boat of {} and the old car of {} near the house of {} today."
     m = decontaminate.Matcher([(1, item.format(*["Alice"] * 4).encode())])
