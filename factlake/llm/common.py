@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import sys
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
@@ -69,6 +71,35 @@ def ship(spark: SparkSession) -> None:
     sc._factlake_shipped = True
 
 
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], by: str, how: str, parts: int = 16) -> DataFrame:
+    """``left`` with the one row of the far smaller ``right`` that has its key. One
+    key may stand in a third of the left rows, so these are dealt to ``parts`` parts
+    by a hash of ``by``, and the right row goes to each."""
+    copies = right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return left.withColumn("_part", F.pmod(F.xxhash64(by), F.lit(parts)).cast("int")).join(copies, [*on, "_part"], how).drop("_part")
+
+
+_working: list = ["", None]
+
+
+def working(name: str, release: Callable[[], None] | None = None) -> None:
+    """An operator's function starts in this Python worker, which runs one operator
+    after another: what another one kept is released and its memory given back."""
+    if _working[0] == name:
+        return
+    if _working[1]:
+        _working[1]()
+    if Generations.in_use:
+        Generations.in_use.clear()
+        Generations.in_use = None
+    _working[:] = [name, release]
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps or returns memory by itself
+        pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -39,6 +39,12 @@ def only(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     return df.where(probe(F.xxhash64(F.col(key).cast("bigint")))).join(ids.withColumnRenamed("id", key), key, "left_semi")
 
 
+def relabelled(nodes: DataFrame, moved: DataFrame, by: str) -> DataFrame:
+    """``nodes`` (label, ...) with labels replaced as ``moved`` (node, label) says."""
+    to = moved.select(F.col("node").alias("label"), F.col("label").alias("_to"))
+    return common.spread_join(nodes, to, ["label"], by, "left").withColumn("label", F.coalesce("_to", "label")).drop("_to")
+
+
 def components(edges: DataFrame, folder: str) -> DataFrame:
     """(node, label): the least node reachable along ``edges`` (a, b).
 
@@ -51,8 +57,9 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     for i in itertools.count(1):
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         step = common.written(labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")), f"{folder}/step{i}")
-        far = step.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        labels = common.written(step.join(far, "label").select("node", "old", F.least("label", "far").alias("label")), f"{folder}/labels{i}")
+        used = step.select(F.col("label").alias("node")).distinct()
+        moved = step.select("node", "label").where("node <> label").join(used, "node", "left_semi")
+        labels = common.written(relabelled(step, moved, "node"), f"{folder}/labels{i}")
         changed = labels.where("old <> label").count()
         labels = labels.select("node", "label")
         if not changed:

@@ -9,19 +9,24 @@ a similar pair misses all INDEXED - 1 lists with a chance of about 5e-10 at
 s = 0.8 and never when the sets are small.
 
 Each of a list's salted parts elects a member, and those elect one of them, by
-an order that differs between lists; members are compared with the elected. The
-links of this round join most of what belongs together. Then every list whose
-members are not yet in one component is resolved: its members meet in blocks, and
-all pairs of different components are compared, first by bitmaps of the sketches,
-then by the union sketch, which estimates a pair's similarity; what may reach the
-threshold is verified on full sets, the likeliest first, as pairs that have come
-into one component by then need no comparison. So a pair that shares a list is
-left uncompared only when it is connected anyway.
+an order that differs between lists; members are compared with the elected, by
+the union sketch and then on full sets. The links of this round join most of
+what belongs together. Then every list whose members are not yet in one component
+is resolved: its members meet in blocks, and all pairs of different components
+are compared, each pair in the least list that it shares, first by bitmaps of the
+sketches, then by the union sketch. Members that have a partner left meet once
+more, with their full sets, and all their pairs are verified inside the block:
+only links that join components leave it, at most one fewer than its members. So
+a pair that shares a list is left unverified only where it is connected anyway
+or its union sketch is five standard deviations below the threshold, and what is
+shuffled grows with the members of lists, not with their pairs.
 
 Defined cases: a text without words (null, empty, white space) has an empty
 set and is linked with nothing; with fewer words than a shingle, the sequence
-is one shingle; repeated rows have one id and one class; a null id is never
-the name of a class that has other ids; an empty table gives an empty result.
+is one shingle; repeated rows have one id and one class; rows of one id but of
+different texts are searched, and judged, each by its text; a row with a null id
+links others but is never the name of a component that has ids; an empty table
+gives an empty result. The key is a whole number.
 """
 
 from __future__ import annotations
@@ -40,14 +45,18 @@ from . import common, idsets
 
 #: Values in a sketch, values that are indexed, parts of a list, election orders.
 SKETCH, INDEXED, SALTS, ORDERS = 64, 32, 64, 8
+FILL = np.uint64(2**64 - 1)
 #: A pair is verified from this estimate on: over five standard deviations
 #: below the threshold.
 ESTIMATE = 0.5
-#: Estimates from which on pairs are verified, the likeliest first.
-TIERS = (0.8, 0.7, ESTIMATE)
 #: Members of a list that meet as a block, bits of a sketch's bitmap, and pairs
 #: that are compared at a time.
-BLOCK, BITMAP, PAIRS = 512, 1024, 1 << 18
+BLOCK, BITMAP, PAIRS = 1024, 1024, 1 << 17
+#: Bytes of full sets that meet as a block, and shared values handled at a time.
+BLOCK_BYTES, COLUMNS = 8 << 20, 2048
+#: Numbers from here on stand for classes without an id of their own.
+UNNAMED = 1 << 62
+
 
 def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All words (A-Z lowered) one text after another as numbers, the hash of
@@ -94,6 +103,7 @@ def list_keys(values: np.ndarray) -> np.ndarray:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    common.working("neardup")
     for batch in batches:
         texts = common.blobs(batch.column(1))
         for a, b in common.groups(texts):
@@ -102,18 +112,32 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
                 [
                     batch.column(0).slice(a, b - a),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                    pa.array([class_of(s) for s in sets], pa.binary()),
                     pa.array([s[:SKETCH].tobytes() for s in sets], pa.binary()),
                 ],
                 ["id", "n", "class", "sketch"],
             )
 
 
+def class_of(members: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(members.tobytes()) if len(members) else None
+
+
 def _full(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    common.working("neardup")
     for batch in batches:
         texts = common.blobs(batch.column(1))
         for a, b in common.groups(texts):
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([s.tobytes() for s in shingle_sets(texts[a:b], words)], pa.binary())], ["id", "members"])
+            sets = shingle_sets(texts[a:b], words)
+            yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["class", "members"])
+
+
+def _classes(words: int):
+    def classes(column: pa.Array) -> pa.Array:
+        texts = common.blobs(column)
+        return pa.array([class_of(s) for a, b in common.groups(texts) for s in shingle_sets(texts[a:b], words)], pa.binary())
+
+    return classes
 
 
 def _keys(sketch: pa.Array) -> pa.Array:
@@ -145,73 +169,183 @@ def elected_pairs(entries: DataFrame) -> DataFrame:
     return pairs.select(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b")).distinct()
 
 
-def bitmaps(sketches: list[bytes]) -> np.ndarray:
-    """A row of BITMAP bits for each sketch: one for each value."""
-    out = np.zeros((len(sketches), BITMAP), bool)
+def padded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of SKETCH values; the greatest number fills up."""
+    out = np.full((len(sketches), SKETCH), FILL, np.uint64)
     for row, x in zip(out, sketches, strict=True):
-        row[(np.frombuffer(x, np.uint64) % np.uint64(BITMAP)).astype(np.int64)] = True
-    return np.packbits(out, axis=1)
+        row[: len(x) // 8] = np.frombuffer(x, np.uint64)
+    return out
 
 
-def _bitmaps(sketch: pa.Array) -> pa.Array:
-    return pa.array([x.tobytes() for x in bitmaps(sketch.to_pylist())], pa.binary())
+def bitmaps(values: np.ndarray) -> np.ndarray:
+    """A row of BITMAP bits for each padded sketch: one for each value."""
+    out = np.zeros((len(values), BITMAP), bool)
+    row, at = np.nonzero(values != FILL)
+    out[row, (values[row, at] % np.uint64(BITMAP)).astype(np.int64)] = True
+    return np.packbits(out, axis=1).view(np.uint64)
 
 
 def may_link(n: np.ndarray, bits: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Whether pairs of rows may have an estimate of ESTIMATE or more: values of
     one sketch that share a bit are made up for."""
     least, most = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+    out = least * 100 >= most * percent
+    a, b, most = a[out], b[out], most[out]
     shared = np.bitwise_count(bits[a] & bits[b]).sum(1, dtype=np.int64)
     lost = (np.minimum(n, SKETCH) - np.bitwise_count(bits).sum(1, dtype=np.int64))[a]
-    return (least * 100 >= most * percent) & (shared + lost >= ESTIMATE * np.minimum(most, SKETCH))
+    out[out] = shared + lost >= ESTIMATE * np.minimum(most, SKETCH)
+    return out
 
 
-def _cross(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of different components that may link, from rows (key, i, j,
-    block, id, label, n, bits) in order of key, i and j."""
+def estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``union_estimate`` of rows of padded sketches."""
+    both = np.sort(np.concatenate((x, y), 1), 1)
+    real = both != FILL
+    again = np.zeros(both.shape, bool)
+    again[:, 1:] = (both[:, 1:] == both[:, :-1]) & real[:, 1:]
+    rank = np.cumsum(real & ~again, 1)
+    return (again & (rank <= SKETCH)).sum(1) / np.maximum(1, np.minimum(rank[:, -1], SKETCH))
+
+
+def first_shared(keys: np.ndarray, own: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the list ``own`` is the least that rows ``a`` and ``b`` share."""
+    out = np.zeros(len(a), bool)
+    for i in range(0, len(a), 4096):
+        x, y, k = keys[a[i : i + 4096]], keys[b[i : i + 4096]], own[a[i : i + 4096], None]
+        before = x < k  # keys fill up with the greatest number, which is never before
+        out[i : i + 4096] = ~((x[:, :, None] == y[:, None, :]).any(2) & before).any(1)
+    return out
+
+
+def runs(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Ordered rows in tables that hold whole runs of equal ``by``, one or more."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        if not len(rows):
+            continue
+        last = len(rows) - 1
+        same = np.logical_and.reduce([rows[c].to_numpy() == rows[c][last].as_py() for c in by])
+        whole = len(rows) - int(same.sum())
+        if whole:
+            yield rows.slice(0, whole)
+        rest = rows.slice(whole).combine_chunks()
+    if rest is not None and len(rest):
+        yield rest
 
-    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+
+def edges_of(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows begin, and the end."""
+    change = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(np.concatenate(([True], change, [True])))
+
+
+def _cross(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """(key, id) of members that may link with one of another component there,
+    from rows (key, i, j, block, id, label, n, sketch) in order of key, i and j."""
+    for rows in runs(batches, ("key", "i", "j")):
         key, i, j, block, ids, label, n = (rows[c].to_numpy() for c in ("key", "i", "j", "block", "id", "label", "n"))
-        bits = np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint64).reshape(len(ids), -1)
-        at = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]), [True])))
+        values = padded(rows["sketch"].to_pylist())
+        bits = bitmaps(values)
+        lists = np.full((len(values), INDEXED), np.iinfo(np.int64).max)
+        for row, v in enumerate(values):
+            own = list_keys(v[v != FILL])
+            lists[row, : len(own)] = own
+        found = np.zeros(len(ids), bool)
         left, right, held = [], [], 0
 
-        def compared() -> pa.RecordBatch:
+        def compared() -> None:
             x, y = np.concatenate(left), np.concatenate(right)
             apart = (label[x] != label[y]) & ((i[x] == j[x]) | (block[x] != block[y]))
             x, y = x[apart], y[apart]
-            near = may_link(n, bits, x, y, percent)
-            x, y = ids[x[near]], ids[y[near]]
-            distinct = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(distinct[:, 0]), pa.array(distinct[:, 1])], ["a", "b"])
+            for test in (lambda a, b: may_link(n, bits, a, b, percent), lambda a, b: first_shared(lists, key, a, b), lambda a, b: estimates(values[a], values[b]) >= ESTIMATE):
+                near = test(x, y)
+                x, y = x[near], y[near]
+            found[x] = found[y] = True
 
+        at = edges_of(key, i, j)
         for start, end in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             for k in range(start, end - 1):
                 left.append(np.full(end - k - 1, k))
                 right.append(np.arange(k + 1, end))
                 held += end - k - 1
                 if held >= PAIRS:
-                    yield compared()
+                    compared()
                     left, right, held = [], [], 0
         if held:
-            yield compared()
+            compared()
+        yield pa.RecordBatch.from_arrays([pa.array(key[found]), pa.array(ids[found])], ["key", "id"])
+
+
+def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of ``left`` with ``right`` sets, exactly: a
+    product of membership matrices over the values that several sets hold."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, which, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(n > 1) - 1
+    several = n[which] > 1
+    owner, column = owner[several], number[which[several]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)))
+    for low in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (low, low + COLUMNS))
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[a:b], column[a:b] - low] = 1
+        out += held[left] @ held[right].T
+    return out.astype(np.int64)
+
+
+def joining(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
+    """Of links between rows ``x`` and ``y``, pairs of labels that join them all."""
+    parent: dict[int, int] = {}
+
+    def root(a: int) -> int:
+        while parent.get(a, a) != a:
+            parent[a] = a = parent.get(parent[a], parent[a])
+        return a
+
+    out = []
+    for a, b in zip(label[x].tolist(), label[y].tolist(), strict=True):
+        p, q = root(a), root(b)
+        if p != q:
+            parent[max(p, q)] = min(p, q)
+            out.append((a, b))
+    return out
+
+
+def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of labels that links join, from rows (key, i, j, block, id,
+    label, members) in order of key, i and j."""
+    for rows in runs(batches, ("key", "i", "j")):
+        key, i, j, block, label = (rows[c].to_numpy() for c in ("key", "i", "j", "block", "label"))
+        sets = [np.frombuffer(x, np.uint64) for x in rows["members"].to_pylist()]
+        n = np.array([len(s) for s in sets], np.int64)
+        out = []
+        at = edges_of(key, i, j)
+        for start, end in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            left, right = start + np.flatnonzero(block[start:end] == i[start]), start + np.flatnonzero(block[start:end] == j[start])
+            if len(left) * len(right) < 2 or (label[start:end] == label[start]).all():
+                continue
+            shared = overlaps(sets[start:end], left - start, right - start)
+            linked = (shared * 100 >= (n[left][:, None] + n[right] - shared) * percent) & (label[left][:, None] != label[right])
+            a, b = np.nonzero(linked)
+            out += joining(label, left[a], right[b])
+        a, b = zip(*out, strict=True) if out else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    rest = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        rows = rows if rest is None else pa.concat_tables([rest, rows])
-        last = len(rows) - 1
-        same = np.logical_and.reduce([rows[c].to_numpy() == rows[c][last].as_py() for c in ("key", "i", "j")]) if last >= 0 else np.zeros(0, bool)
-        whole = len(rows) - int(same.sum())
-        if whole:
-            yield from pairs(rows.slice(0, whole))
-        rest = rows.slice(whole).combine_chunks()
-    if rest is not None and len(rest):
-        yield from pairs(rest)
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows (key, id, blocks, ...) dealt out so that any two of a key meet in one
+    (key, i, j): ``block`` is a row's own, i and j the two that meet."""
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    return rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "blocks")
 
 
 class Search:
-    """The tables that both rounds use."""
+    """The tables of a search. Nodes of the graph are classes, by number: the least
+    id of the class; where that names another class too or is null, a hash."""
 
     def __init__(self, docs: DataFrame, text: str, key: str, words: int, percent: int):
         self.folder = common.scratch(docs.sparkSession)
@@ -219,67 +353,79 @@ class Search:
         self.docs = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
         sketches = self.docs.mapInArrow(lambda it: _sketches(it, words), "id long, n long, class binary, sketch binary")
         self.sets = common.written(sketches, f"{self.folder}/sets")
-        named = common.written(self.sets.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("id")), f"{self.folder}/classes")
-        self.classes = named
-        first = self.sets.where("n >= 4").join(named, ["class", "id"]).dropDuplicates(["id"])
-        self.sketches = common.written(first.select("id", "n", "sketch"), f"{self.folder}/sketches")
+        named = self.sets.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        apart = F.lit(UNNAMED) + F.shiftrightunsigned(F.xxhash64("class"), 2)
+        own = F.row_number().over(Window.partitionBy("id").orderBy("class")) == 1
+        # a null id would be one window's hot key
+        some = named.where("id IS NOT NULL").withColumn("node", F.when(own, F.col("id")).otherwise(apart))
+        self.classes = common.written(some.union(named.where("id IS NULL").withColumn("node", apart)), f"{self.folder}/classes")
+        self.sketches = self.classes.where("n >= 4").select(F.col("node").alias("id"), "n", "sketch")
 
     def candidates(self) -> DataFrame:
         keys = F.arrow_udf(_keys, "array<bigint>")
         return elected_pairs(self.sketches.select("id", F.explode(keys("sketch")).alias("key")))
 
-    def near(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs (a, b) that may reach the threshold, with their estimates."""
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) that may reach the threshold."""
         side = lambda s: self.sketches.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
         estimate = F.arrow_udf(_estimate, "double")
         near = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
-        near = near.select("a", "b", "n_a", "n_b", estimate("sketch_a", "sketch_b").alias("estimate"))
-        return common.written(near.where(F.col("estimate") >= ESTIMATE), f"{self.folder}/near{name}")
+        return common.written(near.where(estimate("sketch_a", "sketch_b") >= ESTIMATE).select("a", "b", "n_a", "n_b"), f"{self.folder}/near")
 
-    def links(self, near: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b) that reach the threshold on full sets."""
-        ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-        ids = common.written(ids, f"{self.folder}/ids{name}")
+    def full(self, nodes: DataFrame, name: str) -> DataFrame:
+        """(id, members): the full sets of some nodes (one column ``id``)."""
+        nodes = common.written(nodes, f"{self.folder}/ids{name}")
         words = self.words
-        full = idsets.only(self.docs, "id", ids).select("id", "text").mapInArrow(lambda it: _full(it, words), "id long, members binary")
-        full = common.written(full, f"{self.folder}/full{name}")
+        wanted = common.written(self.classes.join(nodes.withColumnRenamed("id", "node"), "node", "left_semi").select("class", "node"), f"{self.folder}/wanted{name}")
+        # one row of each class: the set of rows that share an id is told apart by its class
+        ids = self.classes.join(nodes.withColumnRenamed("id", "node"), "node", "left_semi").select("id").distinct()
+        probe = idsets.maybe_in(ids.select(F.coalesce("id", F.lit(0)).alias("id")))
+        some = self.docs.where(probe(F.xxhash64(F.coalesce("id", F.lit(0).cast("bigint")))))
+        sets = some.select("id", "text").mapInArrow(lambda it: _full(it, words), "class binary, members binary")
+        return common.written(sets.join(wanted, "class").groupBy("class").agg(F.first("node").alias("id"), F.first("members").alias("members")).drop("class"), f"{self.folder}/full{name}")
+
+    def links(self, near: DataFrame) -> DataFrame:
+        """The pairs (a, b) that reach the threshold on full sets."""
+        full = self.full(near.select(F.col("a").alias("id")).union(near.select("b")).distinct(), "1")
         both = near.join(full.select(F.col("id").alias("a"), F.col("members").alias("members_a")), "a").join(full.select(F.col("id").alias("b"), F.col("members").alias("members_b")), "b")
         inter = F.arrow_udf(_common, "bigint")
         found = both.select("a", "b", "n_a", "n_b", inter("members_a", "members_b").alias("inter")).withColumn("total", F.col("n_a") + F.col("n_b") - F.col("inter"))
-        return common.written(found.where(F.col("inter") * 100 >= F.col("total") * self.percent).select("a", "b").distinct(), f"{self.folder}/links{name}")
+        return common.written(found.where(F.col("inter") * 100 >= F.col("total") * self.percent).select("a", "b").distinct(), f"{self.folder}/links")
 
     def unresolved(self, labels: DataFrame) -> DataFrame:
-        """Pairs (a, b) of different components that share a list and may link."""
-        keys, bits, percent = F.arrow_udf(_keys, "array<bigint>"), F.arrow_udf(_bitmaps, "binary"), self.percent
+        """(key, id, label): members of lists that may link with one of another
+        component there, each pair in one of the lists that it shares."""
+        keys, percent = F.arrow_udf(_keys, "array<bigint>"), self.percent
         labelled = self.sketches.join(labels.withColumnRenamed("node", "id"), "id", "left").select("id", "n", "sketch", F.coalesce("label", "id").alias("label"))
-        labelled = common.written(labelled.select("id", "n", "label", keys("sketch").alias("keys"), bits("sketch").alias("bits")), f"{self.folder}/labelled")
+        labelled = common.written(labelled.select("*", keys("sketch").alias("keys")), f"{self.folder}/labelled")
         size = labelled.select(F.explode("keys").alias("key"), "label").groupBy("key").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
         mixed = common.written(size.where("low <> high").select("key", F.ceil(F.col("rows") / BLOCK).alias("blocks")), f"{self.folder}/mixed")
         probe = idsets.maybe_in(mixed.select("key"), "key")
-        rows = labelled.select(F.explode("keys").alias("key"), "id", "label", "n", "bits").where(probe(F.xxhash64("key"))).join(mixed, "key")
-        rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-        rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "label", "n", "bits")
-        rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        return rows.mapInArrow(lambda it: _cross(it, percent), "a long, b long").distinct()
+        rows = labelled.select(F.explode("keys").alias("key"), "id", "label", "n", "sketch").where(probe(F.xxhash64("key"))).join(mixed, "key")
+        rows = in_blocks(rows).select("key", "i", "j", "block", "id", "label", "n", "sketch").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        found = rows.mapInArrow(lambda it: _cross(it, percent), "key long, id long").distinct()
+        return common.written(found.join(labelled.select("id", "label", "n"), "id"), f"{self.folder}/unresolved")
+
+    def joined(self, rest: DataFrame) -> DataFrame:
+        """Pairs (a, b) of labels that links among the unresolved members join."""
+        percent = self.percent
+        blocks = rest.groupBy("key").agg(F.ceil(F.greatest(F.sum("n") * 8 / BLOCK_BYTES, F.count("*") / BLOCK)).alias("blocks"))
+        full = self.full(rest.select("id").distinct(), "2")
+        rows = in_blocks(rest.join(blocks, "key").select("key", "id", "label", "blocks"))
+        rows = rows.join(full, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "block", "id", "label", "members")
+        return common.written(rows.mapInArrow(lambda it: _verify(it, percent), "a long, b long").distinct(), f"{self.folder}/joined")
 
     def run(self) -> DataFrame:
-        """(class, component): every class that has words."""
-        first = self.near(self.candidates(), "1")
-        links = self.links(first, "1")
-        labels = idsets.components(links, f"{self.folder}/c1")
-        rest = self.near(self.unresolved(labels).join(first, ["a", "b"], "left_anti"), "2")
-        for tier, low in enumerate(TIERS, 2):
-            of = lambda c, known=labels: known.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
-            apart = rest.where(F.col("estimate") >= low).join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(label_a, a) <> coalesce(label_b, b)").select("a", "b", "n_a", "n_b")
-            apart = common.written(apart, f"{self.folder}/apart{tier}")
-            if not apart.limit(1).count():
-                continue
-            more = self.links(apart, str(tier))
-            rest = rest.where(F.col("estimate") < low)
-            if more.limit(1).count():
-                links = links.union(more)
-                labels = idsets.components(links, f"{self.folder}/c{tier}")
-        named = self.classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select("class", F.coalesce("label", "id").alias("component"))
+        """(class, component): every class that has words, with the least id that
+        it reaches; null where none has one."""
+        labels = idsets.components(self.links(self.near(self.candidates())), f"{self.folder}/c1")
+        more = idsets.components(self.joined(self.unresolved(labels)), f"{self.folder}/c2")
+        first = self.classes.join(labels, "node", "left").select("class", "id", F.coalesce("label", "node").alias("label"))
+        last = idsets.relabelled(first, more, "class")
+        last = common.written(last, f"{self.folder}/labels")
+        # components without an id for a number are few: their least id, if any
+        unnamed = last.where(F.col("label") >= UNNAMED).groupBy("label").agg(F.min("id").alias("least"))
+        named = last.join(unnamed, "label", "left").select("class", F.when(F.col("label") < UNNAMED, F.col("label")).otherwise(F.col("least")).alias("component"))
         return common.written(named, f"{self.folder}/components")
 
 
@@ -296,16 +442,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
 
 def first_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, percent: int = 80) -> DataFrame:
     """``docs``, all columns, without near-duplicates of a kept document: the one
-    with the least id stays, rows repeated under one id stay once. Rows with a
-    null id name nothing and stay. Only rows that may go are shuffled."""
+    with the least id stays. Rows with one id are judged each by its text; of rows
+    that stand for one component one stays, and rows with a null id, which name
+    nothing, stay. Only rows that may go are shuffled."""
     spark = docs.sparkSession
-    found = near_duplicates(docs, text, key, words, percent)
-    folder = common.scratch(spark)
-    ids = found.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("bigint").alias("id")).agg(F.count("*").alias("rows"), F.min("kept").alias("kept"))
-    touched = common.written(ids.where((F.col("rows") > 1) | ~F.col("kept")).select("id", "kept"), f"{folder}/touched")
-    may = idsets.maybe_in(touched.select("id"))(F.xxhash64(F.col(key).cast("bigint")))
-    apart = docs.where(F.col(key).isNull() | ~may)
-    one = Window.partitionBy("_id").orderBy(F.xxhash64(text))
-    near = docs.where(F.col(key).isNotNull() & may).withColumn("_id", F.col(key).cast("bigint")).join(touched.select(F.col("id").alias("_id"), F.col("kept").alias("_kept")), "_id", "left")
-    near = near.where("coalesce(_kept, true)").withColumn("_n", F.row_number().over(one)).where("_n = 1").select(*docs.columns)
+    common.ship(spark)
+    search = Search(docs, text, key, words, percent)
+    components = search.run()
+    found = search.sets.where("id IS NOT NULL").select("id", "class").join(components, "class", "left").select("id", (F.col("id") == F.coalesce("component", "id")).alias("kept"))
+    ids = found.groupBy("id").agg(F.count("*").alias("rows"), F.min("kept").alias("kept"))
+    touched = common.written(ids.where((F.col("rows") > 1) | ~F.col("kept")).select("id"), f"{search.folder}/touched")
+    id_ = F.col(key).cast("bigint")
+    may = idsets.maybe_in(touched)(F.xxhash64(id_))
+    apart = docs.where(id_.isNull() | ~may)
+    row = F.struct(*docs.columns)
+    near = docs.where(id_.isNotNull() & may).select(id_.alias("_id"), row.alias("_row"), F.arrow_udf(_classes(words), "binary")(F.col(text)).alias("class"))
+    near = near.join(components, "class", "left").where(F.col("_id") == F.coalesce("component", "_id"))
+    # texts without words form no component: rows that repeat one id and nothing else are one
+    near = near.groupBy("_id", F.col("component").isNull().alias("_alone")).agg(F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row")).select("_row.*")
     return apart.select(*docs.columns).union(near)

@@ -31,7 +31,6 @@ def odd(spark):
 
 def ids_of(name, texts):
     t = Tokenizer.from_file(tokenizer(name))
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -214,6 +213,42 @@ def test_near_duplicates_of_a_star(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got.collect()} == brute_components(rows, 5, 80)
 
 
+def test_near_duplicates_of_a_family_of_families(spark):
+    """Documents of one block are similar, those of different blocks nearly so."""
+    rng, rows = random.Random(3), []
+    base = [f"w{i}" for i in range(300)]
+    for block in range(14):
+        for _ in range(60):
+            w = list(base)
+            w[20 * block : 20 * block + 20] = [f"u{len(rows)}x{k}" for k in range(20)]
+            rows.append((rng.randrange(1 << 40), " ".join(w)))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got.collect()}
+    assert found == brute_components(rows, 2, 80) and len({c for _, c, _ in found.values()}) == 14
+
+
+def test_in_block_verification_equals_sets():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(4, 300)).astype(np.uint64)) for _ in range(40)] + [np.arange(5000, dtype=np.uint64), np.arange(2500, 7500, dtype=np.uint64)]
+    left, right = np.arange(0, 20), np.arange(20, 42)
+    assert neardup.overlaps(sets, left, right).tolist() == [[len(np.intersect1d(sets[a], sets[b])) for b in right] for a in left]
+    packed = neardup.padded([s[: neardup.SKETCH].tobytes() for s in sets])
+    a, b = map(np.ravel, np.meshgrid(np.arange(42), np.arange(42)))
+    want = [neardup.union_estimate(sets[i][: neardup.SKETCH], sets[j][: neardup.SKETCH]) for i, j in zip(a, b, strict=True)]
+    assert neardup.estimates(packed[a], packed[b]).tolist() == want
+    bits, n = neardup.bitmaps(packed), np.array([len(s) for s in sets])
+    assert neardup.may_link(n, bits, a, b, 0)[np.array(want) >= neardup.ESTIMATE].all()
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    text = [" ".join(f"{c}{i}" for i in range(40)) for c in "abc"]
+    rows = [(1, text[0]), (2, text[0]), (2, text[1]), (3, text[1] + " more"), (4, text[2]), (4, text[2]), (None, text[2]), (None, "alone on its own here in a row")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["text"]) for r in neardup.first_of_each(df).collect()}
+    assert got == {(1, text[0]), (2, text[1]), (4, text[2]), (None, text[2]), (None, rows[-1][1])}
+    assert neardup.first_of_each(df).count() == 5 and neardup.first_of_each(df.limit(0)).count() == 0
+
+
 def test_near_duplicates_odd_rows(odd):
     got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in neardup.near_duplicates(odd, words=2).collect()}
     assert got == {1: (1, True), None: (None, True), 2: (2, True), 3: (3, True), 4: (3, False), 5: (5, True), 6: (5, False), 7: (7, True)}
