@@ -232,6 +232,7 @@ def matchers(benchmark: DataFrame, text: str = "text", key: str = "item_id") ->
 
 
 def _find(batches: Iterator[pa.RecordBatch], shared, kinds: tuple[pa.DataType, pa.DataType]) -> Iterator[pa.RecordBatch]:
+    common.working("decontaminate")
     m: Matcher = shared.value
     for batch in batches:
         texts = common.blobs(batch.column(1))
@@ -263,6 +264,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "
 
 def _cleaner(shared):
     def clean(column: pa.Array) -> pa.Array:
+        common.working("decontaminate")
         texts = common.blobs(column)
         out = np.ones(len(texts), bool)
         for a, b in common.groups(texts):

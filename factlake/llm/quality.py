@@ -114,6 +114,7 @@ def measured(texts: list[bytes]) -> list[np.ndarray | list]:
 
 
 def _measure(text: pa.Array) -> pa.Array:
+    common.working("quality")
     cols = measured(common.blobs(text))
     return pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, FIELDS, strict=True)], [n for n, _ in FIELDS])
 

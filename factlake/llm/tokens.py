@@ -6,7 +6,9 @@ cut where no tokenizer of the two kinds used here joins characters: before a
 run of white space that follows something else. A chunk's ids then do not
 depend on what stands around it, and a text's ids are those of its chunks in
 order. A tokenizer that drops white space and case has words as its chunks,
-with A-Z lowered. What the library itself returns for whole texts is the test's
+with A-Z lowered. A text that holds the string of a special token is encoded
+whole by the library, which gives it that token's id, unless special tokens are
+to count as text. What the library itself returns for whole texts is the test's
 standard.
 """
 
@@ -31,7 +33,7 @@ MEMO = 250_000
 #: Chunks encoded together, their greatest length, and what may follow a word's letters.
 TOGETHER, LONG, MARKS = 128, 64, "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
-_loaded: dict[str, Encoder] = {}
+_loaded: dict[tuple[str, bool], Encoder] = {}
 
 
 class Encoder:
@@ -43,9 +45,13 @@ class Encoder:
     the pieces that a word of letters with punctuation after it consists of.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.normalized for t in added):
+            raise ValueError("added tokens that are sought in normalised text aren't supported")
+        self.special = [] if special_as_text else [t.content.encode() for t in added]
         self.memo = common.Generations(MEMO)
         a, b, both = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in ("ab", "cd", " \tAB\n  Cd "))
         self.plain = both == a + b
@@ -111,16 +117,18 @@ class Encoder:
             self.memo.learn(zip((c for c, _ in part), self.each([t for _, t in part]), strict=True))
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        cut = [self.cut(t) for t in texts]
+        whole = [any(s in t for s in self.special) for t in texts]
+        cut = [[] if w else self.cut(t) for t, w in zip(texts, whole, strict=True)]
         self.learn(self.memo.missing(set().union(*cut)))
         known = self.memo.young.__getitem__
-        out = [b"".join(map(known, chunks)) for chunks in cut]
+        out = [self.each([t.decode("utf-8", "replace")])[0] if w else b"".join(map(known, chunks)) for t, w, chunks in zip(texts, whole, cut, strict=True)]
         self.memo.age()
         return out
 
 
-def encoder(path: str) -> Encoder:
-    """This worker's encoder for a vocabulary file; loaded once, kept for later tasks."""
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
+    """This worker's encoder for a vocabulary file, kept until another operator runs."""
+    common.working("tokens", _loaded.clear)
+    if (path, special_as_text) not in _loaded:
+        _loaded[path, special_as_text] = Encoder(path, special_as_text)
+    return _loaded[path, special_as_text]

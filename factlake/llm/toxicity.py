@@ -199,6 +199,7 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     shared = spark.sparkContext.broadcast(fit(docs, labels, text, key, label, sample))
 
     def judge(column: pa.Array) -> pa.Array:
+        common.working("toxicity")
         weights, bias = shared.value
         texts = common.blobs(column)
         return pa.array(np.concatenate([scores(texts[a:b], weights, bias) for a, b in common.groups(texts)] or [np.zeros(0)]))

@@ -10,9 +10,10 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from factlake.llm import decontaminate, extract, licenses, lm, quality, secrets, sql, tokens, toxicity
+from factlake.llm import common, decontaminate, extract, licenses, lm, quality, secrets, sql, tokens, toxicity
 from factlake.llm.queries import QUERIES, tokenizer
 
 from ..conftest import DATA
@@ -108,8 +109,7 @@ def test_secret_odd_rows(odd):
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_memo_gives_the_library_ids(name, documents):
     plain = Tokenizer.from_file(tokenizer(name))
-    plain.encode_special_tokens = True
-    texts = [t for _, t in documents] + [t or "" for t in ODD] + ["a   b", "  x \n\n y\x1c z w 's don't '  ", "́a ́b", "İΣ Σ.", "a<|endoftext|>b", "x\x85 y\xa0\xa0 z ***, no... (yes)"]
+    texts = [t for _, t in documents] + [t or "" for t in ODD] + ["a   b", "  x \n\n y\x1c z w 's don't '  ", "́a ́b", "İΣ Σ.", "a<|endoftext|>b", "a <|endoftext|> b<|startoftext|>", "<|endoftext|><|EndOfText|>", "x\x85 y\xa0\xa0 z ***, no... (yes)"]
     encoder = tokens.Encoder(tokenizer(name))
     for _ in range(2):  # unknown, then remembered
         got = encoder.ids([t.encode() for t in texts])
@@ -172,27 +172,80 @@ def test_wrapper_induction_finds_the_template(spark):
     assert got[10] == got[11] == ""
 
 
-def test_tree_matching_is_the_largest():
+def soup(i, article, extra=""):
+    return f"<html><body><div><div>Home</div><div>About us</div>{extra}</div><div><h2>Story {article}</h2><p>First words of {article}.</p><p>More of {article}, and more.</p></div><div>All rights kept</div></body></html>"
+
+
+def test_the_template_decides_where_no_kind_tells(spark):
+    rows = [(i, f"http://h.example/{i}", soup(i, f"a{i}")) for i in range(5)] + [(9, "http://other.example/", soup(9, "a9"))]
+    # a layout of near copies of one article has no wrapper that takes its text
+    rows += [(20 + i, f"http://copies.example/{i}", soup(i, "one").replace("More", f"More{i}")) for i in range(6)]
+    # another layout of the first host, and a hot layout whose chrome takes several values
+    rows += [(40 + i, f"http://h.example/s/{i}", f"<body><section><p>Shop {i % 2}</p></section><section><p>Item {i} is this one</p><p>It costs {i} coins</p></section></body>") for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extract.extract(df).collect()}
+    assert all(got[i] == f"Story a{i}\nFirst words of a{i}.\nMore of a{i}, and more." for i in range(5))
+    assert got[9].startswith("Home\nAbout us\nStory a9")  # one page: no wrapper, and no kind tells
+    assert all(got[20 + i].endswith(f"More{i} of one, and more.\nAll rights kept") for i in range(6))
+    assert all(got[40 + i] == f"Item {i} is this one\nIt costs {i} coins" for i in range(12))
+    p = df.withColumn("host", F.split("url", "/")[2]).withColumn("layout", extract.layout_of(F.col("html")))
+    assert all(r["template"] for r in extract.wrappers(p, str(common.scratch(spark))).collect())
+    assert extract.main_text(rows[0][2], None) != got[0]
+
+
+def test_texts_that_align_with_no_slot_follow_their_path():
+    pivot = extract.Pivot(soup(0, "a0"), (0, 1, 5))
+    assert extract.main_text(soup(1, "a1", "<div>Contact</div><div>Jobs</div>"), pivot) == "Story a1\nFirst words of a1.\nMore of a1, and more."
+
+
+def test_an_article_keeps_what_its_classes_name():
+    page = '<article><div class="entry-header"><h1>Title</h1></div><p>Body.</p><p class="skip-lines">P2</p><div class="share-buttons">Tell</div><div class="comments"><p>first!</p></div></article>'
+    assert extract.main_text(page, None) == "Title\nBody.\nP2"
+
+
+def test_extraction_of_odd_pages(spark):
+    deep, wide = "<div>" * 5000 + "deep" + "</div>" * 5000, "<ul>" + "".join(f"<li>w{i}</li>" for i in range(3000)) + "</ul>"
+    rows = [(i, "http://d.example/", x, "t") for i, x in enumerate([deep, deep.replace("deep", "other"), deep.replace("deep", "third"), wide, wide.replace("w1", "<p>w1</p>"), wide.replace("w2", "<p>w2</p>x"), "", None, "<", "plain"])] + [(None, None, "<p>no url</p>", None)] * 2
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = extract.extract(df).collect()
+    texts = {r["page_id"]: r["text"] for r in got}
+    assert len(got) == len(rows) and texts[0] == "deep" and texts[4].count("\n") == 2999 and texts[6] == texts[7] == "" and texts[9] == "plain" and texts[None] == "no url"
+    assert all(r["n_chars"] == len(r["text"]) for r in got)
+    assert extract.extract(df.limit(0)).count() == 0
+
+
+def brute_matching(a, b):
+    if a.tag != b.tag:
+        return 0
+    x, y = a.children, b.children
+    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i in range(len(x)):
+        for j in range(len(y)):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + brute_matching(x[i], y[j]))
+    return 1 + best[-1][-1]
+
+
+@pytest.mark.parametrize("cells", [extract.CELLS, 1])
+def test_tree_matching_is_the_largest(monkeypatch, cells):
+    monkeypatch.setattr(extract, "CELLS", cells)
+
     def tree(shape):
         n = extract.Node(shape[0], False, False)
         n.children = [tree(s) for s in shape[1:]]
         return n
-    def brute(a, b):
-        if a.tag != b.tag:
-            return 0
-        x, y = a.children, b.children
-        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for i in range(len(x)):
-            for j in range(len(y)):
-                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + brute(x[i], y[j]))
-        return 1 + best[-1][-1]
+
     rng = random.Random(4)
+
     def shape(depth):
-        return (rng.choice("ab"), *[shape(depth - 1) for _ in range(rng.randint(0, 3) if depth else 0)])
-    for _ in range(60):
-        a, b = tree(shape(3)), tree(shape(3))
-        pairs = []
-        assert extract.matching(a, b, pairs) == brute(a, b) == len(pairs)
+        return (rng.choice("ab"), *[shape(depth - 1) for _ in range(rng.randint(0, 4) if depth else 0)])
+
+    for _ in range(150):
+        a, b, shapes = tree(shape(3)), tree(shape(3)), extract.Shapes()
+        shapes.number(a)
+        shapes.number(b)
+        pairs = shapes.matched(a, b)
+        assert shapes.score(a.shape, b.shape) == brute_matching(a, b) == len(pairs)
+        assert len({id(x) for x, _ in pairs}) == len({id(y) for _, y in pairs}) == len(pairs) and all(x.tag == y.tag for x, y in pairs)
 
 
 ITEM = "The shop of Alice sold 12 apples for 3 dollars to Bob and then the shop of Alice gave 5 of the apples to an old friend at the market today."
