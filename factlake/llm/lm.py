@@ -1,27 +1,37 @@
 """LM scoring from a log-frequency Bloom filter of quantised n-gram counts.
 
-An n-gram of count c enters the filter once for each level 1..1+floor(log_B c),
-hashed together with the level. Probing level after level until one is missing
-gives the quantised count back; its mean stands for the count. The filter is
-broadcast, so its size is fixed (2**FILTER_BITS bits): n-grams enter from the
-least count on, LEAST or more, at which all levels fit. What it lacks backs off
-to smoothed unigrams, whose counts are exact:
-
-    P(w | h) = WEIGHT * min(1, c'(h w) / c'(h)) + (1 - WEIGHT) * (c(w) + 0.1) / (N + 0.1 (V + 1))
-
-with c' from the filter, and the unigram term alone where c'(h) is 0. Exact
-counts of words that make up 1/HEAVY of the corpus or more (at most HEAVY words)
-are broadcast too; those of other words meet their occurrences by hash bucket.
-
-N-grams are counted in packed columns: a shuffled row holds a bucket's sorted
-hashes and counts of one stretch of text, pre-aggregated. Words and n-grams are
-64-bit hashes; among a thousand million words the chance that any two share one
-is below 3 %.
-
-Defined cases: a null text is empty and consists of the end token; the context
-of a first word is the end token; repeated rows are scored, and learnt from,
-each; a null id belongs to the fold of ''; without training rows every count is
-0 and N is 0.
+A bigram of count c >= LEAST enters the filter once for each level
+1..1+floor(log_B c), hashed together with the level. Probing level after level until
+one is missing gives the quantised count back; its mean c' stands for the count:
+
+    P(w | h) = (c'(h w) + PRIOR * P(w)) / (C'(h) + PRIOR),   P(w) = (c(w) + 0.1) / (N + 0.1 (V + 1))
+
+C'(h) is the sum of c'(h w) over the stored bigrams of h, so that the probabilities
+of all words after h sum to 1 (V words and one for all others), but for false probes.
+As LEAST has two levels, a bigram that is not there is found with a chance of
+4**-PROBES at most. What the filter lacks, as
+bigrams seen once, leaves its mass to the unigrams, whose counts are exact. LEAST is a
+parameter of the model, the same at every size.
+
+The filter is broadcast. Its size is bounded (2**FILTER_BITS bits); where the bigrams
+outgrow it, those of the greatest counts are broadcast, and the others stay in blocks
+by hash, which are built where they are probed: only probes that the broadcast filter
+can't answer are sent there. So all bigrams are found at every size.
+
+Exact counts and sums C' of words that make up 1/HEAVY of the corpus or more (at most
+HEAVY words) are broadcast too; those of other words meet their occurrences by hash
+bucket. A word stands once as token and once as context in a sequence that is closed by
+the end token, so each occurrence adds log10(c' + PRIOR * P(w)) - log10(C'(w) + PRIOR).
+
+N-grams are counted in packed columns: a shuffled row holds a bucket's sorted hashes
+and counts of one stretch of text, pre-aggregated. Words are 64-bit hashes; the hash of
+a bigram is 32 bits of its context and 32 of the whole. Contexts that share their bits
+(0.1 % among ten million words) share C'.
+
+Defined cases: a null text is empty and consists of the end token; the context of a
+first word is the end token; repeated rows are scored, and learnt from, each; a null id
+belongs to the fold of ''; without training rows every count is 0 and N is 0; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -37,11 +47,11 @@ from pyspark.sql import functions as F
 from . import common
 from .neardup import word_codes
 
-FOLDS, BASE, LEAST, WEIGHT, HEAVY = 10, 1.5, 2, 0.4, 1 << 20
-#: The filter: its bits, the blocks it is built in, and probes for a level.
-FILTER_BITS, BLOCKS, PROBES = 28, 256, 6
-#: Levels that keep a false probe under about 1.6 %.
-CAPACITY = int(2**FILTER_BITS * 0.6931 / PROBES)
+FOLDS, BASE, LEAST, PRIOR, HEAVY = 10, 1.5, 2, 100.0, 1 << 20
+#: The broadcast filter: its bits, the blocks it is built in, and probes for a level.
+FILTER_BITS, BLOCKS, PROBES = 29, 256, 8
+#: Bits for a level that keep a false probe under about 0.4 %.
+LEVEL_BITS = PROBES / 0.6931
 #: Text bytes that a bucket of counts stands for, and n-grams merged before a shuffle.
 BUCKET_BYTES, STRETCH = 16 << 20, 1 << 21
 END = np.uint64(0x5EED0F0E4D000001)
@@ -78,8 +88,27 @@ def pairs_of(before: np.ndarray, token: np.ndarray, words: np.ndarray, **kinds:
     return pair_hash(words[distinct // many], words[distinct % many]), more
 
 
+def context(words: np.ndarray) -> np.ndarray:
+    """The 32 bits by which a word is known as a context."""
+    return common.mix(words) >> np.uint64(32)
+
+
 def pair_hash(before: np.ndarray, token: np.ndarray) -> np.ndarray:
-    return common.mix(before * np.uint64(3) + common.mix(token))
+    return context(before) << np.uint64(32) | common.mix(before * np.uint64(3) + common.mix(token)) >> np.uint64(32)
+
+
+def bucket_of(kind: int, hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Pairs are dealt by all their bits, words by those that contexts have."""
+    return ((context(hashes) if kind == WORD else common.mix(hashes)) % np.uint64(buckets)).astype(np.int64)
+
+
+def by_bucket(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The parts of some columns that belong to each bucket."""
+    order = np.argsort(bucket, kind="stable")
+    bucket, columns = bucket[order], [c[order] for c in columns]
+    at = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+    for i, j in zip(at, at[1:], strict=False):
+        yield int(bucket[i]), [c[i:j] for c in columns]
 
 
 def merged(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,12 +139,10 @@ def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
     def flush(kind: int) -> pa.RecordBatch:
         h, c = merged(np.concatenate([x for x, _ in held[kind]]), np.concatenate([y for _, y in held[kind]]))
         held[kind].clear()
-        bucket = (h % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        h, c, bucket = h[order], c[order], bucket[order]
-        at = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(at) - 1, kind, np.int32)), pa.array(bucket[at[:-1]]), pa.array([pack(h[i:j], c[i:j]) for i, j in zip(at, at[1:], strict=False)], pa.binary())], ["kind", "bucket", "packed"])
+        parts = [(b, pack(*x)) for b, x in by_bucket(bucket_of(kind, h, buckets), h, c)]
+        return pa.RecordBatch.from_arrays([pa.array([kind] * len(parts), pa.int32()), pa.array([b for b, _ in parts], pa.int64()), pa.array([x for _, x in parts], pa.binary())], ["kind", "bucket", "packed"])
 
+    common.working("lm")
     for batch in batches:
         texts = common.blobs(batch.column(0))
         for a, b in common.groups(texts):
@@ -143,197 +170,280 @@ def _total(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.table({"kind": pa.array([key[0].as_py()], pa.int32()), "bucket": pa.array([key[1].as_py()], pa.int64()), "packed": pa.array([pack(h, c)], pa.binary()), "n": [n], "tokens": [tokens], "by_level": pa.array([by_level.astype(np.int64)], pa.list_(pa.int64()))})
 
 
-def positions(hashes: np.ndarray, level: np.ndarray | int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A level's block of the filter, first place there and stride."""
-    x = common.mix(hashes + np.uint64(0x632BE59BD9B4E019) * np.asarray(level).astype(np.uint64))
-    return hashes >> np.uint64(56), x & np.uint64((1 << 32) - 1), x >> np.uint64(32) | np.uint64(1)
+def _masses(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(bucket, masses): sums of c' by context, of the pairs of some buckets."""
+    for batch in batches:
+        for packed in batch.column(0).to_pylist():
+            h, c = unpack(packed)
+            of, at = np.unique(h >> np.uint64(32), return_inverse=True)
+            mass = np.bincount(at, of_level(levels(c)), len(of))
+            parts = [(b, x.tobytes() + m.tobytes()) for b, (x, m) in by_bucket((of % np.uint64(buckets)).astype(np.int64), of, mass)]
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in parts], pa.int64()), pa.array([x for _, x in parts], pa.binary())], ["bucket", "masses"])
+
+
+def _vocabulary(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    """A bucket's words in order with their counts and masses, packed."""
+    got = [np.frombuffer(x, np.uint64) for x in right["masses"].to_pylist()]
+    of = np.concatenate([x[: len(x) // 2] for x in got]) if got else np.zeros(0, np.uint64)
+    mass = np.concatenate([x[len(x) // 2 :].view(np.float64) for x in got]) if got else np.zeros(0)
+    of, at = np.unique(of, return_inverse=True)
+    mass = np.bincount(at, mass, len(of))
+    h, c = unpack(left["packed"][0].as_py()) if len(left) else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    order = np.argsort(h)
+    h, c = h[order], c[order]
+    own = exact(of, mass, context(h), 0.0)
+    return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "words": pa.array([h.tobytes() + c.tobytes() + own.tobytes()], pa.binary())})
+
+
+def vocabulary(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, counts and masses of a bucket."""
+    n = len(packed) // 24
+    return np.frombuffer(packed, np.uint64, n), np.frombuffer(packed, np.int64, n, 8 * n), np.frombuffer(packed, np.float64, n, 16 * n)
+
+
+class Filter:
+    """Bits in ``blocks`` blocks of ``size`` bits; both are powers of two. No n-gram
+    in it has a level under ``lowest``: such a level is a false probe."""
 
+    def __init__(self, bits: np.ndarray, blocks: int, size: int, lowest: int = 1):
+        self.bits, self.blocks, self.size, self.lowest = bits, blocks, size, lowest
 
-BLOCK_BITS = FILTER_BITS - 8
+    @staticmethod
+    def positions(hashes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """First place in its block and stride of a level."""
+        x = common.mix(hashes + np.uint64(0x632BE59BD9B4E019 * level & (1 << 64) - 1))
+        return x & np.uint64((1 << 32) - 1), x >> np.uint64(32) | np.uint64(1)
+
+    @staticmethod
+    def block(hashes: np.ndarray, blocks: int) -> np.ndarray:
+        return common.mix(hashes) & np.uint64(blocks - 1)
+
+    @classmethod
+    def filled(cls, size: int, hashes: np.ndarray, level: np.ndarray) -> np.ndarray:
+        """One block's bits with all levels of its n-grams, packed."""
+        bits = np.zeros(size, bool)
+        for j in range(1, int(level.max(initial=0)) + 1):
+            hashes, level = hashes[level >= j], level[level >= j]
+            a, b = cls.positions(hashes, j)
+            for i in range(PROBES):
+                bits[(a + np.uint64(i) * b) & np.uint64(size - 1)] = True
+        return np.packbits(bits, bitorder="little")
+
+    @classmethod
+    def of(cls, hashes: np.ndarray, level: np.ndarray) -> Filter:
+        """A filter of one block for some n-grams, as large as they need."""
+        size = 1 << max(6, int(np.ceil(np.log2(max(1, level.sum()) * LEVEL_BITS))))
+        return cls(cls.filled(size, hashes, level), 1, size, int(level.min(initial=1 << 30)))
+
+    def counts(self, hashes: np.ndarray) -> np.ndarray:
+        """Quantised counts: level after level until a probe fails."""
+        level = np.zeros(len(hashes), np.int64)
+        live, j = np.arange(len(hashes)), 0
+        first = self.block(hashes, self.blocks) * np.uint64(self.size)
+        while len(live):
+            j += 1
+            at, stride = self.positions(hashes[live], j)
+            for i in range(PROBES):
+                place = first[live] + ((at + np.uint64(i) * stride) & np.uint64(self.size - 1))
+                hit = np.flatnonzero(self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
+                live, at, stride = live[hit], at[hit], stride[hit]
+            level[live] = j
+        return of_level(np.where(level < self.lowest, 0, level))
 
 
 def _entries(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """(block, hashes and levels) of the n-grams that enter the filter."""
+    """(block, hashes and levels) of the n-grams that enter the broadcast filter."""
     for batch in batches:
-        for packed in batch.column(1).to_pylist():
+        for packed in batch.column(0).to_pylist():
             h, c = unpack(packed)
             level = levels(c)
-            keep = (c >= LEAST) & (level >= least)
-            h, level = h[keep], level[keep]
-            order = np.argsort(h, kind="stable")
-            h, level = h[order], level[order]
-            block = (h >> np.uint64(56)).astype(np.int64)
-            at = np.flatnonzero(np.diff(block, prepend=-1, append=-1))
-            if len(at) > 1:
-                yield pa.RecordBatch.from_arrays([pa.array(block[at[:-1]]), pa.array([h[i:j].tobytes() + level[i:j].astype(np.uint8).tobytes() for i, j in zip(at, at[1:], strict=False)], pa.binary())], ["block", "entries"])
-
-
-def _build(key: tuple, rows: pa.Table) -> pa.Table:
-    bits = np.zeros(1 << BLOCK_BITS, bool)
-    for x in rows["entries"].to_pylist():
-        n = len(x) // 9
-        h, level = np.frombuffer(x, np.uint64, n), np.frombuffer(x, np.uint8, n, 8 * n)
-        for j in range(1, int(level.max(initial=0)) + 1):
-            h, level = h[level >= j], level[level >= j]
-            _, a, b = positions(h, j)
-            for i in range(PROBES):
-                bits[(a + np.uint64(i) * b) & np.uint64((1 << BLOCK_BITS) - 1)] = True
-    return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+            h, level = h[level >= least], level[level >= least].astype(np.uint8)
+            parts = [(b, x.tobytes() + y.tobytes()) for b, (x, y) in by_bucket(Filter.block(h, BLOCKS).astype(np.int64), h, level)]
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in parts], pa.int64()), pa.array([x for _, x in parts], pa.binary())], ["block", "entries"])
 
 
-def probe(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Quantised counts: level after level until a probe fails."""
-    level = np.zeros(len(hashes), np.int64)
-    live, j = np.arange(len(hashes)), 0
-    while len(live):
-        j += 1
-        block, at, stride = positions(hashes[live], j)
-        for i in range(PROBES):
-            place = block << np.uint64(BLOCK_BITS) | (at + np.uint64(i) * stride) & np.uint64((1 << BLOCK_BITS) - 1)
-            hit = np.flatnonzero(bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
-            live, block, at, stride = live[hit], block[hit], at[hit], stride[hit]
-        level[live] = j
-    return of_level(level)
+def _build(key: tuple, rows: pa.Table, size: int) -> pa.Table:
+    got = rows["entries"].to_pylist()
+    h = np.concatenate([np.frombuffer(x, np.uint64, len(x) // 9) for x in got])
+    level = np.concatenate([np.frombuffer(x, np.uint8, len(x) // 9, len(x) // 9 * 8) for x in got])
+    return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([Filter.filled(size, h, level).tobytes()], pa.binary())})
 
 
 class Model:
-    """What the workers get: totals, counts of heavy words, the filter's bits."""
+    """What the workers get: totals, counts and masses of heavy words, the filter.
+    ``beyond`` is the level from which on n-grams are in it; None: all are."""
 
-    def __init__(self, tokens: int, distinct: int, words: np.ndarray, counts: np.ndarray, bits: np.ndarray):
-        self.tokens, self.distinct, self.words, self.counts, self.bits = tokens, distinct, words, counts, bits
+    def __init__(self, tokens: int, distinct: int, words: np.ndarray, counts: np.ndarray, masses: np.ndarray, held: Filter, beyond: int | None):
+        self.tokens, self.distinct, self.words, self.counts, self.masses, self.held, self.beyond = tokens, distinct, words, counts, masses, held, beyond
         self.total = tokens + 0.1 * (distinct + 1)
 
+    def terms(self, count: np.ndarray, mass: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What occurrences add to the base score and to the score."""
+        unigram = (count + 0.1) / self.total
+        return np.log10(unigram), np.log10(pair + PRIOR * unigram) - np.log10(mass + PRIOR)
+
 
-def learn(docs: DataFrame, folder: str, heavy_words: int = HEAVY) -> tuple[Model, DataFrame]:
-    """Count the texts (one column) and build the model; with all word counts by bucket."""
+def learn(docs: DataFrame, folder: str, heavy_words: int = HEAVY, filter_bits: int = FILTER_BITS) -> tuple[Model, DataFrame, DataFrame, int]:
+    """Count the texts (one column) and build the model; with the vocabulary and the
+    pairs by bucket, and the number of buckets."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(docs.columns[0]))).first()[0] or 0
     buckets = max(16, -(-size // BUCKET_BYTES))
     rows = docs.mapInArrow(lambda it: _count(it, buckets), "kind int, bucket long, packed binary")
     totals = common.written(rows.groupBy("kind", "bucket").applyInArrow(_total, _TOTALS), f"{folder}/totals")
-    words = totals.where(F.col("kind") == WORD)
+    words, pairs = totals.where(F.col("kind") == WORD), totals.where(F.col("kind") == PAIR)
     n = words.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    masses = pairs.select("packed").mapInArrow(lambda it: _masses(it, buckets), "bucket long, masses binary")
+    known = words.select("bucket", "packed").groupBy("bucket").cogroup(masses.groupBy("bucket")).applyInArrow(_vocabulary, "bucket long, words binary")
+    known = common.written(known, f"{folder}/vocabulary")
     # a row for each level: there are some sixty
-    by_level = dict(totals.select(F.posexplode("by_level")).groupBy("pos").agg(F.sum("col")).collect())
-    least, held = 1, sum(k * v for k, v in by_level.items())
-    while held > CAPACITY:
-        held -= least * by_level.get(least, 0)
+    by_level = dict(pairs.select(F.posexplode("by_level")).groupBy("pos").agg(F.sum("col")).collect())
+    least, wanted = 1, sum(k * v for k, v in by_level.items())
+    bits = min(filter_bits, max(16, int(np.ceil(np.log2(max(1, wanted) * LEVEL_BITS)))))
+    while wanted * LEVEL_BITS > 1 << bits:
+        wanted -= least * by_level.get(least, 0)
         least += 1
-    blocks = totals.select("bucket", "packed").mapInArrow(lambda it: _entries(it, least), "block long, entries binary").groupBy("block").applyInArrow(_build, "block long, bits binary").toArrow()
-    bits = np.zeros((BLOCKS, 1 << BLOCK_BITS - 3), np.uint8)
-    for block, x in zip(blocks["block"].to_pylist(), blocks["bits"].to_pylist(), strict=True):
-        bits[block] = np.frombuffer(x, np.uint8)
-    tokens = n[0]
-    many = -(-tokens // heavy_words)
+    block = (1 << bits) // BLOCKS
+    blocks = pairs.select("packed").mapInArrow(lambda it: _entries(it, least), "block long, entries binary").groupBy("block").applyInArrow(lambda k, t: _build(k, t, block), "block long, bits binary").toArrow()
+    held = np.zeros((BLOCKS, block >> 3), np.uint8)
+    for i, x in zip(blocks["block"].to_pylist(), blocks["bits"].to_pylist(), strict=True):
+        held[i] = np.frombuffer(x, np.uint8)
+    many = -(-n[0] // heavy_words)
 
     def heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for packed in batch.column(0).to_pylist():
-                h, c = unpack(packed)
+                h, c, m = vocabulary(packed)
                 keep = c >= many
-                yield pa.RecordBatch.from_arrays([pa.array([pack(h[keep], c[keep])], pa.binary())], ["packed"])
+                yield pa.RecordBatch.from_arrays([pa.array([h[keep].tobytes() + c[keep].tobytes() + m[keep].tobytes()], pa.binary())], ["words"])
 
-    top = [unpack(x) for x in words.select("packed").mapInArrow(heavy, "packed binary").toArrow()["packed"].to_pylist()]
-    h = np.concatenate([x for x, _ in top]) if top else np.zeros(0, np.uint64)
-    c = np.concatenate([y for _, y in top]) if top else np.zeros(0, np.int64)
+    top = [vocabulary(x) for x in known.select("words").mapInArrow(heavy, "words binary").toArrow()["words"].to_pylist()]
+    h, c, m = (np.concatenate([x[i] for x in top]) if top else np.zeros(0, kind) for i, kind in enumerate((np.uint64, np.int64, np.float64)))
     order = np.argsort(h)
-    return Model(tokens, n[1], h[order], c[order], bits.ravel()), words.select("bucket", "packed").withColumn("buckets", F.lit(buckets))
+    model = Model(n[0], n[1], h[order], c[order], m[order], Filter(held.ravel(), BLOCKS, block, max(least, int(levels(np.array([LEAST]))[0]))), least if least > 1 else None)
+    return model, known, pairs.select("bucket", "packed"), buckets
 
 
-def exact(words: np.ndarray, counts: np.ndarray, sought: np.ndarray) -> np.ndarray:
-    """Counts of ``sought`` among sorted ``words``; -1 where absent."""
+def exact(words: np.ndarray, values: np.ndarray, sought: np.ndarray, absent: float = -1) -> np.ndarray:
+    """The values of ``sought`` among sorted ``words``."""
     if not len(words):
-        return np.full(len(sought), -1, np.int64)
+        return np.full(len(sought), absent, values.dtype)
     i = np.minimum(np.searchsorted(words, sought), len(words) - 1)
-    return np.where(words[i] == sought, counts[i], -1)
+    return np.where(words[i] == sought, values[i], absent)
 
 
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """Sums over heavy words; of other tokens the word and its bigram's share
-    (-1: back off) for the exact counts to come."""
+    """Sums over what the broadcast model answers. Left are ``tail``, other words
+    with the c' of their bigram, and ``open``, bigrams that the broadcast filter
+    lacks, with their words."""
+    common.working("lm")
     m: Model = shared.value
     row = TaskContext.get().partitionId() << 36
     for batch in batches:
         texts = common.blobs(batch.column(2))
         for a, b in common.groups(texts):
             token, before, words, n = sequences(texts[a:b])
-            count = exact(m.words, m.counts, words)[token]
-            whole = probe(m.bits, words)[before]
+            count, mass = exact(m.words, m.counts, words)[token], exact(m.words, m.masses, words, 0.0)[token]
             pairs, of = pairs_of(before, token, words, return_inverse=True)
-            share = np.where(whole > 0, np.minimum(1.0, probe(m.bits, pairs)[of] / np.maximum(whole, 1.0)), -1.0)
-            heavy = count >= 0
-            unigram = (np.maximum(count, 0) + 0.1) / m.total
+            pair = m.held.counts(pairs)[of]
+            unanswered = pair == 0 if m.beyond else np.zeros(len(token), bool)
+            heavy = (count >= 0) & ~unanswered
+            tail = (count < 0) & ~unanswered
+            base, score = (np.where(heavy, x, 0.0) for x in m.terms(np.maximum(count, 0), mass, pair))
             first = np.cumsum(n) - n
-            base = np.add.reduceat(np.where(heavy, np.log10(unigram), 0.0), first)
-            score = np.add.reduceat(np.where(heavy, np.log10(smoothed(share, unigram)), 0.0), first)
-            known = np.add.reduceat(np.where(heavy, count > 0, 0).astype(np.int64), first)
-            tails = []
-            for i, k in zip(first.tolist(), n.tolist(), strict=True):
-                left = ~heavy[i : i + k]
-                tails.append(words[token[i : i + k][left]].tobytes() + share[i : i + k][left].astype(np.float32).tobytes())
+            sums = [np.add.reduceat(x, first) for x in (np.where(heavy, count > 0, 0).astype(np.int64), base, score)]
+            ends = np.cumsum(n)
+            tails, opens = [], []
+            for i, k in zip(first.tolist(), ends.tolist(), strict=True):
+                left, left_open = np.flatnonzero(tail[i:k]) + i, np.flatnonzero(unanswered[i:k]) + i
+                tails.append(words[token[left]].tobytes() + pair[left].astype(np.float32).tobytes())
+                opens.append(pairs[of[left_open]].tobytes() + words[token[left_open]].tobytes())
             rows = b - a
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, rows), batch.column(1).slice(a, rows), pa.array(np.arange(row, row + rows)), pa.array(n), pa.array(known), pa.array(base), pa.array(score), pa.array(tails, pa.binary())], ["doc_id", "held_out", "row", "n_tokens", "known", "base", "score", "tail"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(a, rows), batch.column(1).slice(a, rows), pa.array(np.arange(row, row + rows)), pa.array(n), *map(pa.array, sums), pa.array(tails, pa.binary()), pa.array(opens, pa.binary())],
+                ["doc_id", "held_out", "row", "n_tokens", "known", "base", "score", "tail", "open"],
+            )
             row += rows
 
 
-def smoothed(share: np.ndarray, unigram: np.ndarray) -> np.ndarray:
-    return np.where(share < 0, unigram, WEIGHT * share + (1 - WEIGHT) * unigram)
+_SUMS = "row long, known long, base double, score double"
+
 
+def summed(row: np.ndarray, count: np.ndarray, base: np.ndarray, score: np.ndarray) -> list[np.ndarray]:
+    """The columns of _SUMS: occurrences added up by row."""
+    rows, at = np.unique(row, return_inverse=True)
+    return [rows, np.bincount(at, count > 0, len(rows)).astype(np.int64), np.bincount(at, base, len(rows)), np.bincount(at, score, len(rows))]
 
-def _tails(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Occurrences of other words by bucket: (bucket, rows, words and shares)."""
+
+def _sought(batches: Iterator[pa.RecordBatch], kind: int, buckets: int, width: int) -> Iterator[pa.RecordBatch]:
+    """(bucket, sought): rows, hashes and what goes with them, by the hashes' bucket."""
     for batch in batches:
         parts, rows = batch.column(1).to_pylist(), batch.column(0).to_numpy()
         for a, b in common.groups(parts, 8 << 20):
-            n = np.array([len(x) // 12 for x in parts[a:b]])
+            n = np.array([len(x) // (8 + width) for x in parts[a:b]])
             if not n.sum():
                 continue
-            word = np.concatenate([np.frombuffer(x, np.uint64, len(x) // 12) for x in parts[a:b]])
-            share = np.concatenate([np.frombuffer(x, np.float32, len(x) // 12, len(x) // 12 * 8) for x in parts[a:b]])
-            row = np.repeat(rows[a:b], n)
-            bucket = (word % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            word, share, row, bucket = word[order], share[order], row[order], bucket[order]
-            at = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[at[:-1]]), pa.array([row[i:j].tobytes() + word[i:j].tobytes() + share[i:j].tobytes() for i, j in zip(at, at[1:], strict=False)], pa.binary())], ["bucket", "sought"])
-
-
-def score(docs: DataFrame, text: str = "text", key: str = "doc_id", folds: int = FOLDS, heavy_words: int = HEAVY) -> DataFrame:
+            h = np.concatenate([np.frombuffer(x, np.uint64, k) for x, k in zip(parts[a:b], n, strict=True)])
+            more = np.concatenate([np.frombuffer(x, f"V{width}", k, 8 * k) for x, k in zip(parts[a:b], n, strict=True)])
+            out = [(i, r.tobytes() + x.tobytes() + y.tobytes()) for i, (r, x, y) in by_bucket(bucket_of(kind, h, buckets), np.repeat(rows[a:b], n), h, more)]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], ["bucket", "sought"])
+
+
+def _met(table: pa.Table, kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, hashes and what goes with them, of a bucket."""
+    got, size = table["sought"].to_pylist(), 16 + kind.itemsize
+    read = lambda t, at: np.concatenate([np.frombuffer(x, t, len(x) // size, len(x) // size * at) for x in got]) if got else np.zeros(0, t)
+    return read(np.int64, 0), read(np.uint64, 8), read(kind, 16)
+
+
+def _answered(left: pa.Table, right: pa.Table, m: Model) -> pa.Table:
+    """Bigrams of one bucket through its part of the filter: heavy words are added up,
+    other words go on as tails with the c' found."""
+    row, pair, word = _met(left, np.dtype(np.uint64))
+    h, c = unpack(right["packed"][0].as_py()) if len(right) else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    level = levels(c)
+    c2 = Filter.of(h[level < m.beyond], level[level < m.beyond]).counts(pair)
+    count = exact(m.words, m.counts, word)
+    heavy = count >= 0
+    sums = summed(row[heavy], count[heavy], *m.terms(count[heavy], exact(m.words, m.masses, word[heavy], 0.0), c2[heavy]))
+    tails = [(r, w.tobytes() + k.astype(np.float32).tobytes()) for r, (w, k) in by_bucket(row[~heavy], word[~heavy], c2[~heavy])]
+    n, t = len(sums[0]), len(tails)
+    return pa.table({"row": pa.array(np.concatenate((sums[0], np.array([i for i, _ in tails], np.int64)))), "known": pa.array([*sums[1].tolist(), *[0] * t], pa.int64()), "base": pa.array([*sums[2].tolist(), *[0.0] * t], pa.float64()), "score": pa.array([*sums[3].tolist(), *[0.0] * t], pa.float64()), "tail": pa.array([*[None] * n, *[x for _, x in tails]], pa.binary())})
+
+
+def _tails(left: pa.Table, right: pa.Table, m: Model) -> pa.Table:
+    """Words of one bucket with their exact counts and masses, added up by row."""
+    row, word, pair = _met(left, np.dtype(np.float32))
+    h, c, mass = vocabulary(right["words"][0].as_py()) if len(right) else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0))
+    count = exact(h, c, word, 0)
+    return pa.table(dict(zip(("row", "known", "base", "score"), summed(row, count, *m.terms(count, exact(h, mass, word, 0.0), pair.astype(np.float64))), strict=True)))
+
+
+def score(docs: DataFrame, text: str = "text", key: str = "doc_id", folds: int = FOLDS, heavy_words: int = HEAVY, filter_bits: int = FILTER_BITS) -> DataFrame:
     """Every document's length, known tokens, base score and model score; the
     model learns from those outside fold 0."""
     spark = docs.sparkSession
     common.ship(spark)
     folder = common.scratch(spark)
     held = common.fold(F.col(key), folds) == 0
-    model, words = learn(docs.where(~held).select(text), folder, heavy_words)
-    buckets = max(1, (words.select("buckets").first() or [1])[0])
+    model, words, pairs, buckets = learn(docs.where(~held).select(text), folder, heavy_words, filter_bits)
     shared, kind = spark.sparkContext.broadcast(model), docs.select(key).schema[0].dataType.simpleString()
-    scored = docs.select(F.col(key).alias("doc_id"), held.alias("held_out"), F.col(text).alias("text")).mapInArrow(lambda it: _score(it, shared), f"doc_id {kind}, held_out boolean, row long, n_tokens long, known long, base double, score double, tail binary")
+    scored = docs.select(F.col(key).alias("doc_id"), held.alias("held_out"), F.col(text).alias("text")).mapInArrow(lambda it: _score(it, shared), f"doc_id {kind}, held_out boolean, row long, n_tokens long, known long, base double, score double, tail binary, open binary")
     scored = common.written(scored, f"{folder}/scored")
-    total = model.total
-
-    def meet(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        """The sought words of a bucket with their exact counts, summed by row."""
-        got = [unpack(x) for x in right["packed"].to_pylist()]
-        known, counts = merged(np.concatenate([x for x, _ in got]), np.concatenate([y for _, y in got])) if got else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        parts = []
-        for x in left["sought"].to_pylist():
-            n = len(x) // 20
-            row, word, share = np.frombuffer(x, np.int64, n), np.frombuffer(x, np.uint64, n, 8 * n), np.frombuffer(x, np.float32, n, 16 * n)
-            count = np.maximum(exact(known, counts, word), 0)
-            unigram = (count + 0.1) / total
-            parts.append((row, count > 0, np.log10(unigram), np.log10(smoothed(share.astype(np.float64), unigram))))
-        if not parts:
-            return pa.table({"row": pa.array([], pa.int64()), "known": pa.array([], pa.int64()), "base": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
-        row, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        sums = [np.bincount(at, np.concatenate([p[i] for p in parts]), len(row)) for i in (1, 2, 3)]
-        return pa.table({"row": row, "known": sums[0].astype(np.int64), "base": sums[1], "score": sums[2]})
-
-    sought = scored.select("row", "tail").mapInArrow(lambda it: _tails(it, buckets), "bucket long, sought binary")
-    rest = sought.groupBy("bucket").cogroup(words.select("bucket", "packed").groupBy("bucket")).applyInArrow(meet, "row long, known long, base double, score double")
+    tails, sums = scored.select("row", "tail"), None
+    if model.beyond:
+        sought = scored.select("row", "open").mapInArrow(lambda it: _sought(it, PAIR, buckets, 8), "bucket long, sought binary")
+        found = sought.groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(lambda _, a, b: _answered(a, b, shared.value), f"{_SUMS}, tail binary")
+        found = common.written(found, f"{folder}/answered")
+        tails = tails.union(found.where("tail IS NOT NULL").select("row", "tail"))
+        sums = found.where("tail IS NULL").drop("tail")
+    sought = tails.mapInArrow(lambda it: _sought(it, WORD, buckets, 4), "bucket long, sought binary")
+    rest = sought.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(lambda _, a, b: _tails(a, b, shared.value), _SUMS)
+    rest = rest if sums is None else rest.union(sums)
     rest = common.written(rest.groupBy("row").agg(F.sum("known").alias("k2"), F.sum("base").alias("b2"), F.sum("score").alias("s2")), f"{folder}/rest")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return scored.drop("tail").join(rest, "row", "left").select(
+    return scored.drop("tail", "open").join(rest, "row", "left").select(
         F.col("doc_id").alias(key), "held_out", "n_tokens", (F.col("known") + zero("k2")).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + zero("b2")).alias("base_score"), (F.col("score") + zero("s2")).alias("score"),
     )
