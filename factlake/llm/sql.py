@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import secrets
+from . import licenses, secrets
 
 
 def _spans(kind: str, pattern: str, flags: str = "", extra: str = "") -> str:
@@ -50,4 +50,45 @@ SELECT doc_id, {count(0)} AS n_assign, {count(1)} AS n_access, {count(2)} AS n_h
 FROM judged"""
 
 
-ORACLE_SQL: dict[str, str] = {"op2_secret_scan": secret_scan()}
+class Duck(licenses.Dialect):
+    """The license scan's expressions as DuckDB writes them."""
+
+    newline, group, flags, split, size, join = "chr(10)", "\\", "(?im)", "string_split", "len", "array_to_string"
+    each, part, concat = "list_transform({0}, lambda {1}: {2})", "({0})[{1}:{2}]", "flatten([{0}])"
+
+    def literal(self, text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def replaced(self, text: str, pattern: str, to: str) -> str:
+        return f"regexp_replace({text}, {self.literal(pattern)}, {self.literal(to.replace('$', self.group))}, 'g')"
+
+    def matches(self, text: str, pattern: str) -> str:
+        return f"regexp_matches({text}, {self.literal(pattern)})"
+
+    def chosen(self, items: str, name: str, condition: str) -> str:
+        return f"list_filter({items}, lambda {name}: {condition})"
+
+    def sha256(self, text: str) -> str:
+        return f"sha256({text})"
+
+    def places(self, pieces: str) -> str:
+        return f"range(2, len({pieces}) + 1)"
+
+    def none(self) -> str:
+        return "CAST([] AS VARCHAR[])"
+
+
+def license_scan() -> str:
+    d = Duck()
+    known = ", ".join(f"('{digest}', {d.literal(name)})" for digest, name in licenses.digests().items())
+    unit = lambda grain, found: d.each.format(found, "x", f"{{'grain': '{grain}', 'digest': x}}")
+    units = d.concat.format(", ".join((unit("document", "[sha256(c)]"), unit("line", d.found_lines("t")), unit("passage", d.found_passages("c")))))
+    return f"""
+WITH known(digest, license) AS (VALUES {known}),
+d AS (SELECT doc_id, text AS t FROM documents WHERE {d.matches('text', licenses.hint())}),
+w AS (SELECT doc_id, t, {d.canonical('t')} AS c FROM d),
+u AS (SELECT doc_id, unnest({units}) AS x FROM w)
+SELECT doc_id, license, x.grain AS grain, count(*) AS n_matches FROM u JOIN known ON known.digest = x.digest GROUP BY ALL"""
+
+
+ORACLE_SQL: dict[str, str] = {"op2_secret_scan": secret_scan(), "op4_license_scan": license_scan()}
