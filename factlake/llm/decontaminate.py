@@ -5,11 +5,13 @@ other words lose case and outer punctuation. Windows of WINDOW template words
 of the benchmark are hash-joined with those of all documents. Where windows
 meet, the values behind the placeholders are compared along the alignment: each
 benchmark value must stand for one document value throughout, as it does when a
-question was re-parameterised; windows that break this don't count. A document
-is contaminated by an item when at least COVERAGE of the item's windows count, or
-RUN of them in a row. A capitalised word that opens a sentence may be a name or
-not: windows stand in both forms on both sides. A form with too few literal words
-counts only where such words are the same.
+question was re-parameterised, and no two names for one name; windows that break
+this don't count. A document is contaminated by an item when at least COVERAGE of
+the item's windows count, or RUN of them in a row. A capitalised word that opens a
+sentence may be a name or not: windows stand in both forms on both sides. A form with
+too few literal words counts only where such words are the same. Windows with names
+stand in a third form too, in which names are words without case: it finds copies in
+upper case, lower case or title case, where names can't be told by their capitals.
 
 The benchmark is the stated query set: it is sent to the workers in blocks of
 at most BLOCK_BYTES of text, each of which meets all documents.
@@ -17,7 +19,8 @@ at most BLOCK_BYTES of text, each of which meets all documents.
 Defined cases: null and empty texts, of either side, match nothing; an item of
 fewer words than a window is one window of all its words; windows with fewer
 than half literal words are left out unless an item has no others; repeated
-rows are judged each; words of punctuation alone are skipped.
+rows, and items that repeat a text, are judged each; words of punctuation alone are
+skipped; empty tables find nothing; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-WINDOW, COVERAGE, RUN, BLOCK_BYTES = 8, 0.5, 13, 16 << 20
+WINDOW, COVERAGE, RUN, BLOCK_BYTES = 8, 0.5, 13, 2 << 20
 #: Windows whose forms are made at a time.
 FORMS = 1 << 14
 PUNCTUATION = b".,;:!?\"'()[]{}<>*#$%&|/\\~`^_=+-"
@@ -96,6 +99,8 @@ class Template:
         unit = np.zeros(len(flags), bool)
         unit[1:] = (flags[1:] & 4 > 0) & (flags[:-1] & 2 > 0) & (self.doc[1:] == self.doc[:-1])
         self.hash[unit] = UNIT
+        self.free = np.where(unit, UNIT, first[keep])
+        self.names = np.concatenate(([0], np.cumsum(self.hash != self.free)))
         self.open = (starts & (first != later))[keep] & ~unit
         self.slot = (self.hash == NAME) | (self.hash == NUM) | (self.hash == UNIT)
         self.words = list(ids)
@@ -122,14 +127,18 @@ class Template:
                 factor = np.multiply(np.array([factor]), np.uint64(0x9E3779B97F4A7C15))[0]
             new = named > 0
             yield a[new], common.mix(h[new]), named[new]
+        if self.names[-1]:  # names as words
+            at, h = self.windows(size, hashes=self.free)
+            some = self.names[at + size] > self.names[at]
+            yield at[some], h[some], np.zeros(int(some.sum()), np.int64)
 
-    def windows(self, size: int, final: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, size: int, final: bool = True, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Starts of windows within one text, and their hashes."""
         m = len(self.hash) - size + 1
         if m < 1:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         at = np.flatnonzero(self.doc[:m] == self.doc[size - 1 :])
-        mixed = common.mix(self.hash)
+        mixed = common.mix(self.hash if hashes is None else hashes)
         h = np.full(m, size, np.uint64)
         for i in range(size):
             h *= np.uint64(0x9E3779B97F4A7C15)
@@ -145,7 +154,10 @@ class Matcher:
         t = Template([x for _, x in items])
         self.words = [[] for _ in items]
         self.openers = [[] for _ in items]
-        for d, w, s, o in zip(t.doc.tolist(), t.word.tolist(), t.slot.tolist(), t.open.tolist(), strict=True):
+        self.named: list[set[int]] = [set() for _ in items]
+        for d, w, s, o, name in zip(t.doc.tolist(), t.word.tolist(), t.slot.tolist(), t.open.tolist(), (t.hash == NAME).tolist(), strict=True):
+            if name:
+                self.named[d].add(len(self.words[d]))
             self.words[d].append(core_of(t.words[w]) if s else None)
             self.openers[d].append(core_of(t.words[w]) if o else None)
         n = np.bincount(t.doc, minlength=len(items))
@@ -207,6 +219,7 @@ class Matcher:
     def consistent(self, t: Template, item: int, windows: list[tuple[int, int, int, int]]) -> tuple[set[int], int, int]:
         """Along one alignment: item windows without a broken slot, slots, changed slots."""
         values: dict[bytes, Counter] = defaultdict(Counter)
+        names: dict[bytes, Counter] = defaultdict(Counter)
         slots: dict[int, tuple[bytes, bytes]] = {}
         for at, place, size, form in windows:
             for i in range(size):
@@ -214,8 +227,10 @@ class Matcher:
                 if own is not None and place + i not in slots:
                     slots[place + i] = own, core_of(t.words[t.word[at + i]])
                     values[own][slots[place + i][1]] += 1
-        best = {own: c.most_common(1)[0][0] for own, c in values.items()}
-        broken = {p for p, (own, other) in slots.items() if best[own] != other}
+                    if form >> i & 1 or place + i in self.named[item]:
+                        names[slots[place + i][1]][own] += 1
+        best, back = ({k: c.most_common(1)[0][0] for k, c in of.items()} for of in (values, names))
+        broken = {p for p, (own, other) in slots.items() if best[own] != other or back.get(other, own) != own}
         ok = {place for _, place, size, _ in windows if not any(p in broken for p in range(place, place + size))}
         return ok, len(slots), sum(own != other for own, other in slots.values())
 
