@@ -93,7 +93,7 @@ def working(name: str, release: Callable[[], None] | None = None) -> None:
         Generations.in_use.clear()
         Generations.in_use = None
     _working[:] = [name, release]
-    pa.default_memory_pool().release_unused()
+    pa.set_memory_pool(pa.system_memory_pool())  # its memory can be given back
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library keeps or returns memory by itself

@@ -19,18 +19,22 @@ FILTER_BITS = 26
 
 def maybe_in(ids: DataFrame, key: str = "id") -> Callable[[Column], Column]:
     """A predicate over hashes (xxhash64) of longs that holds for all of ``ids``
-    and for few other values; at most 2**FILTER_BITS bits are gathered."""
+    and for few other values. It looks into a bitmap of 2**FILTER_BITS bits that one
+    scalar subquery yields, so it needs no Python worker beside another operator's."""
     at = F.shiftrightunsigned(F.xxhash64(key), 64 - FILTER_BITS)
-    words = ids.select(F.shiftright(at, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(63).cast("int")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(63).cast("int"))
+    words = ids.select(F.shiftright(at, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     bitmap = np.zeros(1 << FILTER_BITS - 6, np.int64)
     bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
-    shared = ids.sparkSession.sparkContext.broadcast(bitmap)
+    spark = ids.sparkSession
+    held = common.written(spark.createDataFrame(pa.table({"bits": pa.array([bitmap], pa.list_(pa.int64()))})), f"{common.scratch(spark)}/bitmap").scalar()
 
-    def probe(hashes: pa.Array) -> pa.Array:
-        h = hashes.to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - FILTER_BITS)
-        return pa.array((shared.value[h >> np.uint64(6)].view(np.uint64) >> (h & np.uint64(63)) & np.uint64(1)).astype(bool))
+    def probe(hashes: Column) -> Column:
+        place = F.shiftrightunsigned(hashes, 64 - FILTER_BITS)
+        word = F.get(held, F.shiftright(place, 6).cast("int"))
+        return F.call_function("shiftrightunsigned", word, place.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
 
-    return F.arrow_udf(probe, "boolean")
+    return probe
 
 
 def only(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:

@@ -51,7 +51,9 @@ FILL = np.uint64(2**64 - 1)
 ESTIMATE = 0.5
 #: Members of a list that meet as a block, bits of a sketch's bitmap, and pairs
 #: that are compared at a time.
-BLOCK, BITMAP, PAIRS = 1024, 1024, 1 << 17
+BLOCK, BITMAP, PAIRS = 1024, 1024, 1 << 16
+#: Rows of wider tables that are handled at a time; bounds a worker's memory.
+CHUNK = 4096
 #: Bytes of full sets that meet as a block, and shared values handled at a time.
 BLOCK_BYTES, COLUMNS = 8 << 20, 2048
 #: Numbers from here on stand for classes without an id of their own.
@@ -179,10 +181,14 @@ def padded(sketches: list[bytes]) -> np.ndarray:
 
 def bitmaps(values: np.ndarray) -> np.ndarray:
     """A row of BITMAP bits for each padded sketch: one for each value."""
-    out = np.zeros((len(values), BITMAP), bool)
-    row, at = np.nonzero(values != FILL)
-    out[row, (values[row, at] % np.uint64(BITMAP)).astype(np.int64)] = True
-    return np.packbits(out, axis=1).view(np.uint64)
+    parts = []
+    for i in range(0, max(1, len(values)), CHUNK):
+        part = values[i : i + CHUNK]
+        out = np.zeros((len(part), BITMAP), bool)
+        row, at = np.nonzero(part != FILL)
+        out[row, (part[row, at] % np.uint64(BITMAP)).astype(np.int64)] = True
+        parts.append(np.packbits(out, axis=1))
+    return np.concatenate(parts).view(np.uint64)
 
 
 def may_link(n: np.ndarray, bits: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -199,6 +205,8 @@ def may_link(n: np.ndarray, bits: np.ndarray, a: np.ndarray, b: np.ndarray, perc
 
 def estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """``union_estimate`` of rows of padded sketches."""
+    if len(x) > CHUNK:
+        return np.concatenate([estimates(x[i : i + CHUNK], y[i : i + CHUNK]) for i in range(0, len(x), CHUNK)])
     both = np.sort(np.concatenate((x, y), 1), 1)
     real = both != FILL
     again = np.zeros(both.shape, bool)
@@ -207,13 +215,19 @@ def estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (again & (rank <= SKETCH)).sum(1) / np.maximum(1, np.minimum(rank[:, -1], SKETCH))
 
 
+def likely(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether pairs of rows have an estimate of ESTIMATE or more."""
+    parts = [estimates(values[a[i : i + CHUNK]], values[b[i : i + CHUNK]]) >= ESTIMATE for i in range(0, len(a), CHUNK)]
+    return np.concatenate(parts) if parts else np.zeros(0, bool)
+
+
 def first_shared(keys: np.ndarray, own: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether the list ``own`` is the least that rows ``a`` and ``b`` share."""
     out = np.zeros(len(a), bool)
-    for i in range(0, len(a), 4096):
-        x, y, k = keys[a[i : i + 4096]], keys[b[i : i + 4096]], own[a[i : i + 4096], None]
+    for i in range(0, len(a), CHUNK):
+        x, y, k = keys[a[i : i + CHUNK]], keys[b[i : i + CHUNK]], own[a[i : i + CHUNK], None]
         before = x < k  # keys fill up with the greatest number, which is never before
-        out[i : i + 4096] = ~((x[:, :, None] == y[:, None, :]).any(2) & before).any(1)
+        out[i : i + CHUNK] = ~((x[:, :, None] == y[:, None, :]).any(2) & before).any(1)
     return out
 
 
@@ -244,6 +258,7 @@ def edges_of(*columns: np.ndarray) -> np.ndarray:
 def _cross(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """(key, id) of members that may link with one of another component there,
     from rows (key, i, j, block, id, label, n, sketch) in order of key, i and j."""
+    common.working("neardup")
     for rows in runs(batches, ("key", "i", "j")):
         key, i, j, block, ids, label, n = (rows[c].to_numpy() for c in ("key", "i", "j", "block", "id", "label", "n"))
         values = padded(rows["sketch"].to_pylist())
@@ -259,7 +274,7 @@ def _cross(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
             x, y = np.concatenate(left), np.concatenate(right)
             apart = (label[x] != label[y]) & ((i[x] == j[x]) | (block[x] != block[y]))
             x, y = x[apart], y[apart]
-            for test in (lambda a, b: may_link(n, bits, a, b, percent), lambda a, b: first_shared(lists, key, a, b), lambda a, b: estimates(values[a], values[b]) >= ESTIMATE):
+            for test in (lambda a, b: may_link(n, bits, a, b, percent), lambda a, b: first_shared(lists, key, a, b), lambda a, b: likely(values, a, b)):
                 near = test(x, y)
                 x, y = x[near], y[near]
             found[x] = found[y] = True
@@ -318,6 +333,7 @@ def joining(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[tuple[int,
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b) of labels that links join, from rows (key, i, j, block, id,
     label, members) in order of key, i and j."""
+    common.working("neardup")
     for rows in runs(batches, ("key", "i", "j")):
         key, i, j, block, label = (rows[c].to_numpy() for c in ("key", "i", "j", "block", "label"))
         sets = [np.frombuffer(x, np.uint64) for x in rows["members"].to_pylist()]
@@ -353,13 +369,17 @@ class Search:
         self.docs = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
         sketches = self.docs.mapInArrow(lambda it: _sketches(it, words), "id long, n long, class binary, sketch binary")
         self.sets = common.written(sketches, f"{self.folder}/sets")
-        named = self.sets.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        named = self.sets.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("id"))
         apart = F.lit(UNNAMED) + F.shiftrightunsigned(F.xxhash64("class"), 2)
         own = F.row_number().over(Window.partitionBy("id").orderBy("class")) == 1
         # a null id would be one window's hot key
         some = named.where("id IS NOT NULL").withColumn("node", F.when(own, F.col("id")).otherwise(apart))
         self.classes = common.written(some.union(named.where("id IS NULL").withColumn("node", apart)), f"{self.folder}/classes")
-        self.sketches = self.classes.where("n >= 4").select(F.col("node").alias("id"), "n", "sketch")
+        # one row of each class, dealt out by class and id, so that copies part and none is shuffled twice
+        some_id = F.coalesce("id", F.lit(-1 << 63)).alias("_id")
+        first = self.sets.where("n >= 4").select("class", some_id, "n", "sketch").join(self.classes.select("class", some_id, "node"), ["class", "_id"])
+        first = first.groupBy("class", "_id").agg(F.first("node").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")).drop("class", "_id")
+        self.sketches = common.written(first, f"{self.folder}/sketches")
 
     def candidates(self) -> DataFrame:
         keys = F.arrow_udf(_keys, "array<bigint>")
@@ -367,7 +387,9 @@ class Search:
 
     def near(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that may reach the threshold."""
-        side = lambda s: self.sketches.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
+        pairs = common.written(pairs, f"{self.folder}/pairs")
+        some = self.sketches.where(idsets.maybe_in(pairs.select(F.explode(F.array("a", "b")).alias("id")))(F.xxhash64("id")))
+        side = lambda s: some.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
         estimate = F.arrow_udf(_estimate, "double")
         near = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
         return common.written(near.where(estimate("sketch_a", "sketch_b") >= ESTIMATE).select("a", "b", "n_a", "n_b"), f"{self.folder}/near")
