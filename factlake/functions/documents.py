@@ -11,16 +11,19 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Status words that mean the same.
-STATUS = {"unknown": "확인불가", "n/a": "확인불가", "none": "확인불가", "확인 불가": "확인불가", "미확인": "확인불가"}
+#: Words that a status may be given in, and the status meant.
+STATUS = {"confirmed": "observed", "detected": "observed", "visible": "observed", "observed": "observed", "computed": "computed", "estimated": "computed", "inferred": "inferred", "unknown": "unknown", "확인불가": "unknown"}
 
 
 def _visit(x: Any) -> Any:
+    """Fields named status, at any depth, in the words that are meant; other values
+    and unlisted words stay."""
     if isinstance(x, dict):
-        return {k: _visit(v) for k, v in x.items()}
-    if isinstance(x, list):
-        return [_visit(v) for v in x]
-    return STATUS.get(x.strip().lower(), x) if isinstance(x, str) else x
+        out = {k: _visit(v) for k, v in x.items()}
+        if isinstance(out.get("status"), str):
+            out["status"] = STATUS.get(out["status"].strip().lower(), out["status"])
+        return out
+    return [_visit(v) for v in x] if isinstance(x, list) else x
 
 
 def guard(text: str | None) -> str | None:

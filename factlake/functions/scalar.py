@@ -6,10 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNKNOWN = "확인불가"
-#: The units and limits of overlay text.
-SPEED = r"(?i)(\d{1,3})\s*(?:km/?h|kph)"
-MOMENT = r"(\d{4})[-./년]\s*(\d{1,2})[-./월]\s*(\d{1,2})일?\s+(\d{1,2}):(\d{2}):(\d{2})"
-GPS = r"(?i)([NS])\s*(\d{1,3}\.\d+)\s*[, ]\s*([EW])\s*(\d{1,3}\.\d+)"
+#: What overlay text looks like, after the replacements below.
+SPEED = r"(?i)(\d{1,3}(?:\.\d+)?)\s*(?:km/?h|kph)"
+MOMENT = r"(\d{4})[-./년\s]+(\d{1,2})[-./월\s]+(\d{1,2})일?\s+(\d{1,2}):(\d{2}):(\d{2})"
+GPS = r"(?i)(?:gps|위치)?\s*[:=]?\s*(?:lat)?\s*([NS])?\s*(-?\d{1,3}\.\d+)[,\s]+(?:lon|lng)?\s*([EW])?\s*(-?\d{1,3}\.\d+)"
+REPLACED = (("㎞", "km"), ("Ｋ", "K"), ("ｍ", "m"), ("／", "/"), ("|", " "))
 SIGN = r"(30|40|50|60|70|80|90|100|110)"
 
 
@@ -51,20 +52,51 @@ def homography(x: Column, y: Column, m: list[list[float]]) -> tuple[Column, Colu
     return F.when(flat, x).otherwise((m[0][0] * x + m[0][1] * y + m[0][2]) / den), F.when(flat, y).otherwise((m[1][0] * x + m[1][1] * y + m[1][2]) / den)
 
 
+def overlay_text(text: Column) -> Column:
+    """OCR text with wide and composed characters made plain, trimmed."""
+    for a, b in REPLACED:
+        text = F.replace(text, F.lit(a), F.lit(b))
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def overlay(text: Column) -> Column:
-    """Struct of datetime, speed and position found in overlay text."""
-    got = lambda i: F.regexp_extract(text, MOMENT, i)
-    moment = F.when(F.rlike(text, F.lit(MOMENT)), F.concat_ws(" ", F.concat_ws("-", got(1), F.lpad(got(2), 2, "0"), F.lpad(got(3), 2, "0")), F.concat_ws(":", F.lpad(got(4), 2, "0"), got(5), got(6))))
-    speed = F.when(F.rlike(text, F.lit(SPEED)), F.regexp_extract(text, SPEED, 1).cast("double"))
-    side = lambda i, neg: F.when(F.upper(F.regexp_extract(text, GPS, i)) == neg, -1.0).otherwise(1.0)
-    lat, lon = F.regexp_extract(text, GPS, 2).try_cast("double") * side(1, "S"), F.regexp_extract(text, GPS, 4).try_cast("double") * side(3, "W")
-    ok = F.rlike(text, F.lit(GPS)) & (F.abs(lat) <= 90) & (F.abs(lon) <= 180)
-    return F.struct(moment.alias("moment"), speed.alias("speed_kmh"), F.when(ok, lat).alias("lat"), F.when(ok, lon).alias("lon"))
-
-
-def redact(text: Column, terms: list[str], mark: str = "") -> Column:
-    """Longest match first: an alternation in order of falling length."""
-    return F.regexp_replace(text, "|".join(sorted(terms, key=lambda t: (-len(t), t))), mark)
+    """Struct of datetime (normalised, not validated), speed and position found in
+    overlay text. The text is searched once for each; groups are cut from the match."""
+    text = overlay_text(text)
+
+    def groups(pattern: str, *at: int) -> tuple[Column, list[Column]]:
+        found = F.regexp_extract(text, pattern, 0)
+        return found != "", [F.regexp_extract(found, pattern, i) for i in at]
+
+    timed, (y, mo, d, h, mi, s) = groups(MOMENT, 1, 2, 3, 4, 5, 6)
+    moment = F.concat_ws(" ", F.concat_ws("-", y, F.lpad(mo, 2, "0"), F.lpad(d, 2, "0")), F.concat_ws(":", F.lpad(h, 2, "0"), mi, s))
+    fast, (speed,) = groups(SPEED, 1)
+    placed, (ns, lat, ew, lon) = groups(GPS, 1, 2, 3, 4)
+    lat, lon = lat.try_cast("double"), lon.try_cast("double")
+    lat, lon = F.when(F.upper(ns) == "S", -F.abs(lat)).otherwise(lat), F.when(F.upper(ew) == "W", -F.abs(lon)).otherwise(lon)
+    ok = placed & (F.abs(lat) <= 90) & (F.abs(lon) <= 180)
+    return F.struct(F.when(timed, moment).alias("moment"), F.when(fast, speed.try_cast("double")).alias("speed_kmh"), F.when(ok, lat).alias("lat"), F.when(ok, lon).alias("lon"))
+
+
+#: Terms of legal judgement and what replaces them.
+LEGAL_TERMS = ("가해", "피해", "과실", "위반", "불법", "책임", "주의의무", "신호위반", "안전거리 미확보")
+LEGAL_MARK = "[법적 판단 표현 제거]"
+
+
+def longest_first(terms: tuple[str, ...] | list[str]) -> str:
+    """An alternation of literal terms in which a longer one wins."""
+    return "|".join("\\Q" + t + "\\E" for t in sorted(terms, key=lambda t: (-len(t), t)))
+
+
+def redact(text: Column, terms: tuple[str, ...] | list[str] = LEGAL_TERMS, mark: str = LEGAL_MARK) -> Column:
+    """Each longest match replaced by ``mark``, literally."""
+    return F.regexp_replace(text, F.lit(longest_first(terms)), F.lit(mark.replace("\\", "\\\\").replace("$", "\\$")))
+
+
+def found_terms(text: Column, terms: tuple[str, ...] | list[str] = LEGAL_TERMS) -> Column:
+    """Terms that stand in a text other than inside a longer match, in the terms' order."""
+    found = F.regexp_extract_all(text, F.lit(longest_first(terms)), F.lit(0))
+    return F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.array_contains(found, t))
 
 
 def confidence_class(share: Column, high: float = 0.7, medium: float = 0.35) -> Column:

@@ -9,9 +9,17 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import clamp, rint
 
-#: Weights of the scan score and of evidence purposes.
+#: Weights of the scan score.
 SCAN = (1.4, 7.0, 3.0, 0.9)
-PURPOSES = {"impact": 90, "pre": 70, "post": 65, "context": 40}
+#: What a purpose of an evidence image counts (others 50), and its source.
+PURPOSES = {
+    "traffic_light_crop": 96, "sign_crop": 94, "event_segment": 92, "event_candidate_overlay": 92, "event_scan_impact_candidate": 91, "impact_candidate": 90, "actor_crop": 88, "pre_impact": 86,
+    "event_scan_pre_impact": 86, "tracking_overlay": 84, "track_overlay": 84, "post_impact": 80, "event_scan_post_impact": 80, "bev_overlay": 78, "lane_segmentation_overlay": 74, "motion_keyframe": 70,
+    "event_window_context": 68, "pre_context": 66, "event_scan_pre_context": 66, "frame_selection_contact_sheet": 64, "regular_context": 58, "failure_case": 52,
+}
+SOURCES = {"traffic_control": 8, "visual_evidence": 6, "tracking_overlay": 6, "actor_crop": 6, "road_geometry": 4, "selected_frame": 2, "ocr_roi": -8}
+#: Purposes whose images aren't judged for quality.
+UNJUDGED = ("frame_selection_contact_sheet", "lane_segmentation_overlay", "bev_overlay", "tracking_overlay", "track_overlay", "failure_case")
 
 
 def scan_score(diff: Column, peak: Column, mean: Column, change: Column) -> Column:
@@ -37,9 +45,28 @@ def event_score(confidence: Column, signals: list[Column], evidence: Column, bon
     return clamp(base + reduce(lambda a, b: a + b, signals) + F.least(F.lit(10), 3 * evidence) + bonus, 0, 100)
 
 
-def evidence_score(purpose: Column, linked: Column, quality: Column) -> Column:
-    base = F.coalesce(*[F.when(purpose == p, v) for p, v in PURPOSES.items()], F.lit(50))
-    return clamp(base + F.when(linked, 8).otherwise(0) - F.when(quality == "low", 12).when(quality == "medium", 4).otherwise(0), 0, 100)
+def looked_up(key: Column, table: dict[str, int], other: int) -> Column:
+    """A value of a small fixed table."""
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key), F.lit(other))
+
+
+def evidence_score(purpose: Column, source: Column, frame_id: Column, track_id: Column, bbox: Column, quality: Column) -> Column:
+    """Struct of a score, 0 to 100, and its reasons: purpose, source, links, and a
+    penalty for poor quality (not judged for some purposes unless it is given)."""
+    purpose, source = F.coalesce(purpose, F.lit("")), F.coalesce(source, F.lit(""))
+    framed, tracked = (F.coalesce(x.cast("string"), F.lit("")) != "" for x in (frame_id, track_id))
+    boxed = F.coalesce(F.size(bbox), F.lit(0)) > 0
+    points = looked_up(purpose, PURPOSES, 50) + looked_up(source, SOURCES, 0)
+    for condition, n in ((framed, 2), (tracked, 4), (boxed, 3), (quality == "low", -12), (quality == "medium", -4)):
+        points = points + F.when(condition, n).otherwise(0)
+    named = lambda what, x: F.concat(F.lit(what), F.when(x == "", "unknown").otherwise(x))
+    reasons = F.array_compact(F.array(named("purpose:", purpose), named("source:", source), F.when(framed, "frame-linked"), F.when(tracked, "actor-linked"), F.when(boxed, "localized"), F.when(quality == "low", "quality_penalty").when(quality == "medium", "quality_caution")))
+    return F.struct(clamp(points, 0, 100).cast("int").alias("score"), reasons.alias("reasons"))
+
+
+def judged(purpose: Column) -> Column:
+    """Whether an image's quality is assessed."""
+    return ~purpose.isin(*UNJUDGED)
 
 
 def supported(fact: Column, evidence: Column, confidence: Column, unknown: str) -> Column:

@@ -35,9 +35,15 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, other:
 
 
 def pairs_at(df: DataFrame, keys: list[str], order: str, columns: list[str]) -> DataFrame:
-    """Unordered pairs of rows that share ``keys``, the earlier as a, the later as b."""
-    side = lambda s: df.select(*keys, *[F.col(c).alias(f"{c}_{s}") for c in [order, *columns]])
-    return side("a").join(side("b"), keys).where(F.col(f"{order}_a") < F.col(f"{order}_b"))
+    """Unordered pairs of rows that share ``keys``, the earlier as a, the later as b:
+    one shuffle, and the pairs are formed inside a key's sorted array. Meant for keys
+    such as one moment of one video, which few rows share; pairs are quadratic in these
+    whatever the form."""
+    row = F.struct(*[F.col(c) for c in [order, *columns]])
+    d = df.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("_l")).where(F.size("_l") > 1)
+    d = d.select(*keys, "_l", F.posexplode("_l").alias("_i", "_a")).select(*keys, "_a", F.explode(F.slice("_l", F.col("_i") + 2, F.size("_l"))).alias("_b"))
+    d = d.where(F.col(f"_a.{order}") < F.col(f"_b.{order}"))
+    return d.select(*keys, *[F.col(f"_{s}.{c}").alias(f"{c}_{s}") for s in "ab" for c in [order, *columns]])
 
 
 def cited(evidence: DataFrame, known: DataFrame, on: list[str], there: bool = True) -> DataFrame:

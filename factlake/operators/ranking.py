@@ -10,7 +10,7 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, name: str
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")).where(F.col(name) <= k)
 
 
-def suppress(df: DataFrame, keys: list[str], score: str, position: str, order: str, gap: int, k: int, candidates: int | None = None) -> DataFrame:
+def suppress(df: DataFrame, keys: list[str], score: str, position: str, order: str, gap: int, k: int) -> DataFrame:
     """Greedy suppression: best score first, skip what lies nearer than ``gap``
     to a chosen position, stop at ``k``. (keys, position, score, order)"""
     item = F.struct((-F.col(score)).alias("s"), F.col(order).alias("o"), F.col(position).alias("p"))
@@ -52,6 +52,6 @@ def even_sample(df: DataFrame, keys: list[str], order: list[Column], n: int) ->
 
 def sampling_plan(df: DataFrame, duration: str, fps: str, interval: float) -> DataFrame:
     """Frames every ``interval`` seconds, rounded half-even, within the clip."""
-    steps = F.explode(F.sequence(F.lit(0), F.floor(F.col(duration) / interval + 1e-9).cast("int"))).alias("_s")
-    frame = F.rint(F.col("_s") * interval * F.col(fps)).cast("bigint").alias("frame_index")
-    return df.select("*", steps).select(*df.columns, frame).where(F.col("frame_index") <= F.floor(F.col(duration) * F.col(fps) + 1e-9)).distinct()
+    steps = F.sequence(F.lit(0), F.floor(F.col(duration) / interval + 1e-9).cast("int"))
+    frames = F.array_distinct(F.transform(steps, lambda s: F.rint(s * interval * F.col(fps)).cast("bigint")))
+    return df.select("*", F.explode(F.filter(frames, lambda x: x <= F.floor(F.col(duration) * F.col(fps) + 1e-9))).alias("frame_index"))

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 def merge_by_key(plans: list[DataFrame], keys: list[str], purpose: str) -> DataFrame:
     """Union of plans; purposes of one key are joined by '+', in plan order, once each."""
     all_ = reduce(DataFrame.unionByName, [p.select(*keys, purpose).withColumn("_o", F.lit(i)) for i, p in enumerate(plans)])
-    first = all_.groupBy(*keys, purpose).agg(F.min("_o").alias("_o"))
-    return first.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_o", purpose))).alias("_p")).select(*keys, F.array_join(F.transform("_p", lambda x: x[purpose]), "+").alias(purpose))
+    found = F.array_sort(F.collect_set(F.struct("_o", purpose)))
+    return all_.groupBy(*keys).agg(found.alias("_p")).select(*keys, F.array_join(F.array_distinct(F.transform("_p", lambda x: x[purpose])), "+").alias(purpose))
 
 
 def first_section(sections: list[DataFrame], key: str) -> DataFrame:

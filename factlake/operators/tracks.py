@@ -1,43 +1,59 @@
 """Sequential rules on boxes: assignment to tracks, first-fit chaining.
 
 These depend on the order of earlier decisions within one video, so they run as
-grouped Arrow functions; a group is one video's detections of one class.
+grouped functions; a group is one video's detections.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-ASSIGNED = "video_id long, label string, frame long, x double, y double, track long"
-CHAINED = "video_id long, label string, track long, chain long"
+ASSIGNED = "video_id long, frame long, ord long, label string, x double, y double, track string, method string"
+CHAINED = "video_id long, label string, track string, chain long"
 
 
 def assign(df: DataFrame, reach: float = 120.0) -> DataFrame:
-    """Each detection (video_id, label, frame, x, y) joins the track whose last
-    position is nearest and nearer than ``reach``; else it starts a track. A
-    track takes one detection of a frame."""
+    """Detections (video_id, frame, ord, label, x, y, detector_id), in order of frame
+    and ord, joined to tracks: the first track that has the detector's id, else of the
+    tracks of its label the one whose last position is nearest and nearer than
+    ``reach``, the earlier on ties; else it starts a track, named by the detector's id
+    or T1, T2 and so on. A track may take several detections of one frame. One video is
+    one task: what a detection joins depends on all before it."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["frame", "x", "y"], kind="stable").reset_index(drop=True)
-        last: list[tuple[float, float, int]] = []
-        out = []
-        for frame, x, y in zip(pdf["frame"], pdf["x"], pdf["y"], strict=True):
-            best, at = reach, -1
-            for i, (px, py, f) in enumerate(last):
-                d = math.hypot(px - x, py - y)
-                if f < frame and d < best:
-                    best, at = d, i
-            if at < 0:
-                at = len(last)
-                last.append((x, y, frame))
-            last[at] = (x, y, frame)
-            out.append(at)
-        return pdf.assign(track=out)[["video_id", "label", "frame", "x", "y", "track"]]
+        pdf = pdf.sort_values(["frame", "ord"], kind="stable").reset_index(drop=True)
+        at_id: dict[str, int] = {}
+        of_label: dict[str, list[int]] = {}
+        names, labels, methods = [], [], []
+        last = np.zeros((64, 2))
+        out, how, number = [], [], 1
+        for label, x, y, own in zip(pdf["label"], pdf["x"], pdf["y"], pdf["detector_id"], strict=True):
+            own = own if isinstance(own, str) and own else None
+            k = at_id.get(own, -1) if own else -1
+            if k < 0 and (rivals := of_label.get(label)):
+                d = np.hypot(last[rivals, 0] - x, last[rivals, 1] - y)
+                best = int(d.argmin())
+                k = rivals[best] if d[best] < reach else -1
+            if k < 0:
+                k = len(names)
+                names.append(own or f"T{number}")
+                number += own is None
+                at_id.setdefault(names[k], k)
+                labels.append(label)
+                methods.append("detector_track_id" if own else "center_distance")
+                of_label.setdefault(label, []).append(k)
+                if k == len(last):
+                    last = np.concatenate((last, np.zeros_like(last)))
+            last[k] = x, y
+            out.append(names[k])
+            how.append(methods[k])
+        return pdf.assign(track=out, method=how)[["video_id", "frame", "ord", "label", "x", "y", "track", "method"]]
 
-    return df.select("video_id", "label", "frame", "x", "y").groupBy("video_id", "label").applyInPandas(run, ASSIGNED)
+    return df.select("video_id", "frame", "ord", "label", "x", "y", "detector_id").groupBy("video_id").applyInPandas(run, ASSIGNED)
 
 
 def chain(df: DataFrame, gap: int = 45, reach: float = 240.0) -> DataFrame:

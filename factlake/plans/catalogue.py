@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -146,6 +147,26 @@ def score_vote(spark: SparkSession, d: str) -> DataFrame:
     return V.score_vote(events(spark, d), ["user_id"], "event_type", "k", "event_id")
 
 
+#: Lamp states by event type; each third user never shows the left arrow.
+_LAMPS = {"click": "적색", "view": "좌회전녹색", "purchase": "녹색", "signup": "황색", "error": "소등"}
+SIGNALS = (
+    f"WITH {EV_SQL}, x AS (SELECT user_id, event_id, k, CASE event_type " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _LAMPS.items()) + " END AS state FROM ev), y AS (SELECT * FROM x WHERE user_id % 3 > 0 OR state <> '좌회전녹색'), "
+    "g AS (SELECT user_id, state, CAST(sum(k) AS BIGINT) AS score, count(*) AS votes, min(event_id) AS o FROM y GROUP BY ALL), "
+    "r AS (SELECT *, row_number() OVER w AS rn, lead(score) OVER w AS nx, max(score) OVER (PARTITION BY user_id) AS top FROM g WINDOW w AS (PARTITION BY user_id ORDER BY score DESC, o)), "
+    "m AS (SELECT user_id, sum(score) AS s, sum(votes) AS n, max(top) AS top FROM r WHERE state IN ('적색', '좌회전녹색') GROUP BY 1 HAVING count(*) = 2) "
+    "SELECT r.user_id, CASE WHEN m.s IS NULL THEN r.state ELSE '적색+좌회전' END AS state, CASE WHEN m.s IS NOT NULL THEN CASE WHEN m.n >= 2 THEN 'medium' ELSE 'low' END WHEN r.votes >= 3 AND r.score - coalesce(r.nx, 0) >= 20 THEN 'high' WHEN r.votes >= 2 AND r.score - coalesce(r.nx, 0) >= 8 THEN 'medium' ELSE 'low' END AS confidence, "
+    "CAST(CASE WHEN m.s IS NULL THEN r.score - coalesce(r.nx, 0) ELSE m.s - m.top END AS BIGINT) AS margin, CAST(CASE WHEN m.s IS NULL THEN r.votes ELSE m.n END AS BIGINT) AS votes FROM r LEFT JOIN m ON m.user_id = r.user_id WHERE r.rn = 1"
+)
+
+
+@query(SIGNALS)
+def signal_vote(spark: SparkSession, d: str) -> DataFrame:
+    e = events(spark, d)
+    state = F.coalesce(*[F.when(F.col("event_type") == a, b) for a, b in _LAMPS.items()])
+    x = e.withColumn("state", state).where((F.col("user_id") % 3 > 0) | (F.col("state") != "좌회전녹색"))
+    return V.signal_vote(x, ["user_id"], "state", "k", "event_id").drop("by_state")
+
+
 @query(f"WITH {EV_SQL}, p AS (SELECT *, count(value) OVER w AS n, median(value) OVER w AS m FROM ev WHERE value BETWEEN 0 AND 180 WINDOW w AS (PARTITION BY user_id)), q AS (SELECT * FROM p WHERE n < 3 OR abs(value - m) <= 35) SELECT user_id, count(value) AS n, median(value) AS middle, min(value) AS least, max(value) AS greatest, max(value) - min(value) AS spread FROM q GROUP BY user_id")
 def median_outlier(spark: SparkSession, d: str) -> DataFrame:
     return V.spread(V.without_outliers(events(spark, d), ["user_id"], "value", 0, 180, 35), ["user_id"], "value")
@@ -156,15 +177,18 @@ def jump_filter(spark: SparkSession, d: str) -> DataFrame:
     return N.jump_filter(events(spark, d), ["user_id"], ["us", "event_id"], "value", 45)
 
 
-@query(f"WITH {EV_SQL}, l AS (SELECT user_id, list({{'s': CAST(k AS BIGINT), 'n': CAST(1 AS BIGINT)}} ORDER BY k) AS l FROM ev WHERE event_id % 7 = user_id % 7 GROUP BY user_id), c AS (SELECT user_id, list_reduce([[x] FOR x IN l], lambda a, x: CASE WHEN abs(a[-1].s - x[1].s * a[-1].n) <= 5 * a[-1].n THEN list_concat(a[1:len(a) - 1], [{{'s': a[-1].s + x[1].s, 'n': a[-1].n + 1}}]) ELSE list_concat(a, x) END) AS c FROM l) SELECT user_id, CAST(i - 1 AS BIGINT) AS cluster, c[i].s AS total, c[i].n AS n FROM c, generate_series(1, len(c)) AS t(i)")
+CLUSTERS = f"WITH {EV_SQL}, l AS (SELECT user_id, list({{'s': CAST(k AS BIGINT), 'n': CAST(1 AS BIGINT)}} ORDER BY k) AS l FROM ev GROUP BY user_id), c AS (SELECT user_id, list_reduce([[x] FOR x IN l], lambda a, x: CASE WHEN abs(a[-1].s - x[1].s * a[-1].n) <= 5 * a[-1].n THEN list_concat(a[1:len(a) - 1], [{{'s': a[-1].s + x[1].s, 'n': a[-1].n + 1}}]) ELSE list_concat(a, x) END) AS c FROM l) SELECT user_id, CAST(i - 1 AS BIGINT) AS cluster, c[i].s AS total, c[i].n AS n FROM c, generate_series(1, len(c)) AS t(i)"
+
+
+@query(CLUSTERS)
 def cluster_1d(spark: SparkSession, d: str) -> DataFrame:
-    return N.clusters(events(spark, d).where("event_id % 7 = user_id % 7"), ["user_id"], "k", 5)
+    return N.clusters(events(spark, d), ["user_id"], "k", 5)
 
 
-@query()
+@query(CLUSTERS)
 def cluster_1d_whole(spark: SparkSession, d: str) -> DataFrame:
-    """The clusters over all events; ``cluster_1d`` and its SQL see a seventh."""
-    return N.clusters(events(spark, d), ["user_id"], "k", 5)
+    """The name that ``cluster_1d`` had while it left rows out."""
+    return cluster_1d(spark, d)
 
 
 @query(f"WITH {EV_SQL}, x AS (SELECT *, sum(k) OVER w AS s, count(k) OVER w AS n FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING)) SELECT user_id, count(k) AS n, bool_or(s < 0.35 * 100 * n) AS ever_low, CASE WHEN sum(k) >= 0.7 * 100 * count(k) THEN 'high' WHEN sum(k) >= 0.35 * 100 * count(k) THEN 'medium' ELSE 'low' END AS confidence FROM x GROUP BY user_id")
@@ -322,11 +346,24 @@ def event_rule_union(spark: SparkSession, d: str) -> DataFrame:
     return EV.rule_union(events(spark, d).select("event_id", "event_type", "value", "k"), rules).select("event_id", "rule", "score")
 
 
-@query(f"WITH {EV_SQL} SELECT event_id, greatest(0, least(100, CASE event_type WHEN 'purchase' THEN 90 WHEN 'click' THEN 70 WHEN 'view' THEN 65 ELSE 50 END + CASE WHEN user_id % 2 = 0 THEN 8 ELSE 0 END - CASE WHEN k < 35 THEN 12 WHEN k < 70 THEN 4 ELSE 0 END)) AS score FROM ev")
+#: Stand-ins for the purposes and sources of evidence images, by number.
+_PURPOSE = ("traffic_light_crop", "sign_crop", "event_segment", "event_scan_impact_candidate", "impact_candidate", "actor_crop", "pre_impact", "tracking_overlay", "post_impact", "bev_overlay", "motion_keyframe", "regular_context", "failure_case", "pre_impact+regular_context", "")
+_SOURCE = ("traffic_control", "visual_evidence", "road_geometry", "selected_frame", "ocr_roi", "another", "")
+_POINTS = {"traffic_light_crop": 96, "sign_crop": 94, "event_segment": 92, "event_scan_impact_candidate": 91, "impact_candidate": 90, "actor_crop": 88, "pre_impact": 86, "tracking_overlay": 84, "post_impact": 80, "bev_overlay": 78, "motion_keyframe": 70, "regular_context": 58, "failure_case": 52, "traffic_control": 8, "visual_evidence": 6, "road_geometry": 4, "selected_frame": 2, "ocr_roi": -8}
+EVIDENCE = (
+    f"WITH {EV_SQL}, x AS (SELECT event_id, k, {list(_PURPOSE)}[event_id % {len(_PURPOSE)} + 1] AS p, {list(_SOURCE)}[event_id % {len(_SOURCE)} + 1] AS s, event_id % 2 = 0 AS f, event_id % 3 = 0 AS t, event_id % 5 = 0 AS b, CASE WHEN k >= 70 THEN 'high' WHEN k >= 35 THEN 'medium' ELSE 'low' END AS q FROM ev) "
+    "SELECT event_id, CAST(greatest(0, least(100, CASE p " + " ".join(f"WHEN '{p}' THEN {_POINTS[p]}" for p in _PURPOSE if p in _POINTS) + " ELSE 50 END + CASE s " + " ".join(f"WHEN '{p}' THEN {_POINTS[p]}" for p in _SOURCE if p in _POINTS) + " ELSE 0 END"
+    " + CASE WHEN f THEN 2 ELSE 0 END + CASE WHEN t THEN 4 ELSE 0 END + CASE WHEN b THEN 3 ELSE 0 END - CASE q WHEN 'low' THEN 12 WHEN 'medium' THEN 4 ELSE 0 END)) AS INTEGER) AS score, "
+    "'purpose:' || CASE p WHEN '' THEN 'unknown' ELSE p END || ',source:' || CASE s WHEN '' THEN 'unknown' ELSE s END || CASE WHEN f THEN ',frame-linked' ELSE '' END || CASE WHEN t THEN ',actor-linked' ELSE '' END || CASE WHEN b THEN ',localized' ELSE '' END || CASE q WHEN 'low' THEN ',quality_penalty' WHEN 'medium' THEN ',quality_caution' ELSE '' END AS reasons FROM x"
+)
+
+
+@query(EVIDENCE)
 def evidence_score(spark: SparkSession, d: str) -> DataFrame:
-    e = events(spark, d)
-    purpose = F.when(F.col("event_type") == "purchase", "impact").when(F.col("event_type") == "click", "pre").when(F.col("event_type") == "view", "post")
-    return e.select("event_id", EV.evidence_score(purpose, F.col("user_id") % 2 == 0, S.confidence_class(F.col("k"), 70, 35)).alias("score"))
+    e, i = events(spark, d), F.col("event_id")
+    pick = lambda names: F.get(F.array(*[F.lit(x) for x in names]), (i % len(names)).cast("int"))
+    x = EV.evidence_score(pick(_PURPOSE), pick(_SOURCE), F.when(i % 2 == 0, i), F.when(i % 3 == 0, i), F.when(i % 5 == 0, F.array(F.lit(1), F.lit(2), F.lit(3), F.lit(4))), S.confidence_class(F.col("k"), 70, 35))
+    return e.select("event_id", x.alias("x")).select("event_id", "x.score", F.array_join("x.reasons", ",").alias("reasons"))
 
 
 @query(f"WITH {EV_SQL} SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY us, CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, event_id) AS slot FROM ev WHERE k >= 50")
@@ -341,13 +378,23 @@ def timecode(spark: SparkSession, d: str) -> DataFrame:
     return c.withColumn("seconds", S.parse_timecode(F.col("code")))
 
 
-OVERLAY = "o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ' SPEED ' || CAST(o_orderkey % 140 AS VARCHAR) || 'km/h N' || CAST(o_orderkey % 95 AS VARCHAR) || '.125 E' || CAST(o_custkey % 190 AS VARCHAR) || '.5' AS t"
+#: Overlay texts in four layouts; what each says follows from the order's numbers.
+_LAYOUTS = ("{d} SPEED {v}.5km/h N{a}.125 E{b}.5", " {e} 속도: {v} ㎞/h GPS {a}.125, {b}.5 ", "{k} 3:04:05|spd={v}.25 ＫPH | lat -{a}.125, lon {b}.5", "no date {v}kmh s{a}.125 W {b}.5 x")
+_DATES = {"d": ("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"), "e": ("yyyy.M.d HH:mm:ss", "%Y.%-m.%-d %H:%M:%S"), "k": ("yyyy년 M월 d일", "%Y년 %-m월 %-d일")}
+OVERLAYS = (
+    "WITH x AS (SELECT o_orderkey, o_orderkey % 4 AS l, o_orderdate AS t, o_orderkey % 140 AS v, o_orderkey % 95 + 0.125 AS a, o_custkey % 190 + 0.5 AS b FROM orders), "
+    "y AS (SELECT *, CASE WHEN l IN (2, 3) THEN -a ELSE a END AS la, CASE WHEN l = 3 THEN -b ELSE b END AS lo FROM x) "
+    "SELECT o_orderkey, CASE l WHEN 2 THEN strftime(t, '%Y-%m-%d') || ' 03:04:05' WHEN 3 THEN NULL ELSE strftime(t, '%Y-%m-%d %H:%M:%S') END AS moment, CAST(v + CASE l WHEN 0 THEN 0.5 WHEN 2 THEN 0.25 ELSE 0 END AS DOUBLE) AS speed_kmh, "
+    "CASE WHEN a <= 90 AND b <= 180 THEN CAST(la AS DOUBLE) END AS lat, CASE WHEN a <= 90 AND b <= 180 THEN CAST(lo AS DOUBLE) END AS lon FROM y"
+)
 
 
-@query(f"WITH x AS (SELECT {OVERLAY} FROM orders), y AS (SELECT *, CAST(regexp_extract(t, 'N(\\d+\\.\\d+)', 1) AS DOUBLE) AS la, CAST(regexp_extract(t, 'E(\\d+\\.\\d+)', 1) AS DOUBLE) AS lo FROM x) SELECT o_orderkey, left(t, 19) AS moment, CAST(o_orderkey % 140 AS DOUBLE) AS speed_kmh, CASE WHEN la <= 90 AND lo <= 180 THEN la END AS lat, CASE WHEN la <= 90 AND lo <= 180 THEN lo END AS lon FROM y")
+@query(OVERLAYS)
 def overlay_parse(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
-    t = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.lit(" SPEED "), F.col("o_orderkey") % 140, F.lit("km/h N"), F.col("o_orderkey") % 95, F.lit(".125 E"), F.col("o_custkey") % 190, F.lit(".5"))
+    parts = {**{n: F.date_format("o_orderdate", java) for n, (java, _) in _DATES.items()}, "v": F.col("o_orderkey") % 140, "a": F.col("o_orderkey") % 95, "b": F.col("o_custkey") % 190}
+    texts = [F.concat(*[parts[x[1:-1]].cast("string") if x.startswith("{") else F.lit(x) for x in re.split(r"(\{.\})", layout) if x]) for layout in _LAYOUTS]
+    t = F.get(F.array(*texts), (F.col("o_orderkey") % 4).cast("int"))
     return o.select("o_orderkey", S.overlay(t).alias("x")).select("o_orderkey", "x.*")
 
 
@@ -361,7 +408,7 @@ def speed_sign(spark: SparkSession, d: str) -> DataFrame:
 def redact_terms(spark: SparkSession, d: str) -> DataFrame:
     terms = ["idiot", "pathetic", "clown", "pathetic clown", "worthless"]
     t = F.col("text")
-    return table(spark, d, "documents").select("doc_id", F.md5(S.redact(t, terms).cast("binary")).alias("clean"), F.size(F.regexp_extract_all(t, F.lit("|".join(sorted(terms, key=lambda x: (-len(x), x)))), F.lit(0))).cast("bigint").alias("found"))
+    return table(spark, d, "documents").select("doc_id", F.md5(S.redact(t, terms, "").cast("binary")).alias("clean"), F.size(F.regexp_extract_all(t, F.lit("|".join(sorted(terms, key=lambda x: (-len(x), x)))), F.lit(0))).cast("bigint").alias("found"))
 
 
 @query("SELECT event_id, coalesce(json_extract_string(props, '$.k'), '확인불가') AS k, json_extract_string(props, '$.k') IS NOT NULL AS known, coalesce(json_extract_string(props, '$.missing'), '확인불가') AS missing FROM events")
@@ -396,7 +443,8 @@ def percentile_rank(spark: SparkSession, d: str) -> DataFrame:
 
 def _positions(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
-    return li.select(F.col("l_suppkey").alias("video_id"), F.col("l_returnflag").alias("label"), (F.col("l_orderkey") % 50).alias("frame"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 100).alias("y"))
+    own = F.when(F.col("l_orderkey") % 9 == 0, F.concat(F.lit("D"), F.col("l_linenumber").cast("string")))
+    return li.select(F.col("l_suppkey").alias("video_id"), F.col("l_returnflag").alias("label"), (F.col("l_orderkey") % 50).alias("frame"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ord"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 100).alias("y"), own.alias("detector_id"))
 
 
 @query()
@@ -410,10 +458,21 @@ def track_chain(spark: SparkSession, d: str) -> DataFrame:
     return TR.chain(t)
 
 
-@query()
+#: Status words of a reply by number, and what they mean; the note stays as it is.
+_STATUS = (" Detected", "confirmed", "VISIBLE", "estimated ", "Inferred", "확인불가", "other", "none")
+_MEANT = ("observed", "observed", "observed", "computed", "inferred", "unknown", "other", "none")
+
+
+@query(f"SELECT event_id, '{{\"items\": [{{\"status\": \"' || {list(_MEANT)}[event_id % 8 + 1] || '\"}}, 1], \"note\": \"none\", \"props\": {{\"k\": ' || json_extract_string(props, '$.k') || '}}, \"status\": \"' || {list(_MEANT)}[event_id % 7 + 1] || '\"}}' AS fact FROM events")
 def json_guard(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events")
-    return e.select("event_id", DOC.json_guard(F.concat(F.lit("```json\n{'status': ' Unknown', 'props': "), F.col("props"), F.lit("}\n```"))).alias("fact"))
+    """Replies in JSON and, each third, as a Python literal, inside fences."""
+    e, i = table(spark, d, "events"), F.col("event_id")
+    word = lambda n: F.get(F.array(*[F.lit(x) for x in _STATUS]), (i % n).cast("int"))
+    q = F.when(i % 3 == 0, "'").otherwise('"')
+    field = lambda name, value: F.concat(q, F.lit(name), q, F.lit(": "), value)
+    text = lambda x: F.concat(q, x, q)
+    reply = F.concat(F.lit("```json\n{"), field("status", text(word(7))), F.lit(", "), field("note", text(F.lit("none"))), F.lit(", "), field("props", F.col("props")), F.lit(", "), field("items", F.concat(F.lit("[{"), field("status", text(word(8))), F.lit("}, 1]"))), F.lit("}\n``` done"))
+    return e.select("event_id", DOC.json_guard(reply).alias("fact"))
 
 
 @query()
