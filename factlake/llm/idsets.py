@@ -5,8 +5,6 @@ from __future__ import annotations
 import itertools
 from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,32 +15,26 @@ from . import common
 FILTER_BITS = 26
 
 
-def maybe_in(ids: DataFrame, key: str = "id") -> Callable[[Column], Column]:
-    """A predicate over hashes (xxhash64) of longs that holds for all of ``ids``
-    and for few other values. It looks into a bitmap of 2**FILTER_BITS bits that one
-    scalar subquery yields, so it needs no Python worker beside another operator's."""
+def maybe_in(ids: DataFrame, key: str = "id") -> Callable[[DataFrame, Column], DataFrame]:
+    """A function that adds to a table a column ``_may`` from hashes (xxhash64) of
+    longs: true for all of ``ids`` and for few other values. The bitmap of
+    2**FILTER_BITS bits is a table of its words that aren't 0, at most
+    2**(FILTER_BITS - 6) rows, which is broadcast: no Python worker runs beside
+    another operator's."""
     at = F.shiftrightunsigned(F.xxhash64(key), 64 - FILTER_BITS)
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(63).cast("int"))
-    words = ids.select(F.shiftright(at, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    bitmap = np.zeros(1 << FILTER_BITS - 6, np.int64)
-    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
-    spark = ids.sparkSession
-    held = common.written(spark.createDataFrame(pa.table({"bits": pa.array([bitmap], pa.list_(pa.int64()))})), f"{common.scratch(spark)}/bitmap").scalar()
+    words = ids.select(F.shiftright(at, 6).alias("_bm_word"), bit.alias("bit")).groupBy("_bm_word").agg(F.bit_or("bit").alias("_bm_bits"))
+    words = common.written(words, f"{common.scratch(ids.sparkSession)}/bitmap")
 
-    def probe(hashes: Column) -> Column:
+    def probe(df: DataFrame, hashes: Column) -> DataFrame:
         place = F.shiftrightunsigned(hashes, 64 - FILTER_BITS)
-        word = F.get(held, F.shiftright(place, 6).cast("int"))
-        return F.call_function("shiftrightunsigned", word, place.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+        held = F.call_function("shiftrightunsigned", F.col("_bm_bits"), place.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+        marked = df.withColumn("_bm_word", F.shiftright(place, 6)).join(F.broadcast(words), "_bm_word", "left")
+        return marked.withColumn("_may", F.coalesce(held, F.lit(False))).drop("_bm_word", "_bm_bits")
 
     return probe
 
 
-def only(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose key is among ``ids`` (one column ``id``)."""
-    probe = maybe_in(ids)
-    return df.where(probe(F.xxhash64(F.col(key).cast("bigint")))).join(ids.withColumnRenamed("id", key), key, "left_semi")
-
-
 def relabelled(nodes: DataFrame, moved: DataFrame, by: str) -> DataFrame:
     """``nodes`` (label, ...) with labels replaced as ``moved`` (node, label) says."""
     to = moved.select(F.col("node").alias("label"), F.col("label").alias("_to"))

@@ -388,7 +388,7 @@ class Search:
     def near(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that may reach the threshold."""
         pairs = common.written(pairs, f"{self.folder}/pairs")
-        some = self.sketches.where(idsets.maybe_in(pairs.select(F.explode(F.array("a", "b")).alias("id")))(F.xxhash64("id")))
+        some = idsets.maybe_in(pairs.select(F.explode(F.array("a", "b")).alias("id")))(self.sketches, F.xxhash64("id")).where("_may")
         side = lambda s: some.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
         estimate = F.arrow_udf(_estimate, "double")
         near = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
@@ -402,7 +402,7 @@ class Search:
         # one row of each class: the set of rows that share an id is told apart by its class
         ids = self.classes.join(nodes.withColumnRenamed("id", "node"), "node", "left_semi").select("id").distinct()
         probe = idsets.maybe_in(ids.select(F.coalesce("id", F.lit(0)).alias("id")))
-        some = self.docs.where(probe(F.xxhash64(F.coalesce("id", F.lit(0).cast("bigint")))))
+        some = probe(self.docs, F.xxhash64(F.coalesce("id", F.lit(0).cast("bigint")))).where("_may")
         sets = some.select("id", "text").mapInArrow(lambda it: _full(it, words), "class binary, members binary")
         return common.written(sets.join(wanted, "class").groupBy("class").agg(F.first("node").alias("id"), F.first("members").alias("members")).drop("class"), f"{self.folder}/full{name}")
 
@@ -423,7 +423,8 @@ class Search:
         size = labelled.select(F.explode("keys").alias("key"), "label").groupBy("key").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
         mixed = common.written(size.where("low <> high").select("key", F.ceil(F.col("rows") / BLOCK).alias("blocks")), f"{self.folder}/mixed")
         probe = idsets.maybe_in(mixed.select("key"), "key")
-        rows = labelled.select(F.explode("keys").alias("key"), "id", "label", "n", "sketch").where(probe(F.xxhash64("key"))).join(mixed, "key")
+        rows = labelled.select(F.explode("keys").alias("key"), "id", "label", "n", "sketch")
+        rows = probe(rows, F.xxhash64("key")).where("_may").join(mixed, "key")
         rows = in_blocks(rows).select("key", "i", "j", "block", "id", "label", "n", "sketch").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
         found = rows.mapInArrow(lambda it: _cross(it, percent), "key long, id long").distinct()
         return common.written(found.join(labelled.select("id", "label", "n"), "id"), f"{self.folder}/unresolved")
@@ -475,10 +476,10 @@ def first_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", word
     ids = found.groupBy("id").agg(F.count("*").alias("rows"), F.min("kept").alias("kept"))
     touched = common.written(ids.where((F.col("rows") > 1) | ~F.col("kept")).select("id"), f"{search.folder}/touched")
     id_ = F.col(key).cast("bigint")
-    may = idsets.maybe_in(touched)(F.xxhash64(id_))
-    apart = docs.where(id_.isNull() | ~may)
+    marked = idsets.maybe_in(touched)(docs, F.xxhash64(id_))
+    apart = marked.where(id_.isNull() | ~F.col("_may"))
     row = F.struct(*docs.columns)
-    near = docs.where(id_.isNotNull() & may).select(id_.alias("_id"), row.alias("_row"), F.arrow_udf(_classes(words), "binary")(F.col(text)).alias("class"))
+    near = marked.where(id_.isNotNull() & F.col("_may")).select(id_.alias("_id"), row.alias("_row"), F.arrow_udf(_classes(words), "binary")(F.col(text)).alias("class"))
     near = near.join(components, "class", "left").where(F.col("_id") == F.coalesce("component", "_id"))
     # texts without words form no component: rows that repeat one id and nothing else are one
     near = near.groupBy("_id", F.col("component").isNull().alias("_alone")).agg(F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row")).select("_row.*")
