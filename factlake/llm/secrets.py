@@ -1,15 +1,17 @@
 """Secret scans: fixed patterns plus sliding-window Shannon entropy, SQL only.
 
 Candidate strings are long runs of token characters. A window of WIDTH
-characters slides over each; its entropy follows from counts that change by one
-character entering and one leaving, kept as the integer sum of c*log2(c) in
-millionths of a bit, so that every engine gets the same decision. The least
-entropy asked for depends on the character class. An allow-list suppresses
-candidates of this method that are known not to be secrets; spans of the fixed
-patterns always stay.
+characters slides over each. An array holds how often each character of the class
+stands in the window: one count goes up as a character enters, one goes down as one
+leaves, and with them the integer sum of c*log2(c) in millionths of a bit, so that
+every engine gets the same decision. The least entropy asked for depends on the
+character class. An allow-list suppresses candidates of this method that are known
+not to be secrets; spans of the fixed patterns always stay, and what an entropy span
+has beyond them on either side is a span too, from PART characters on.
 
 Defined cases: a null text counts as empty and has no spans; repeated rows are
-each scanned; offsets are code points, ends exclusive.
+each scanned; offsets are code points, ends exclusive; an empty table gives an empty
+result; other columns are not read by the scan, and stay as they are in redaction.
 """
 
 from __future__ import annotations
@@ -28,16 +30,20 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 #: Candidates of the entropy scan, the width of its window, and for each
 #: character class (first match wins) its pattern and least bits a character.
-CANDIDATE, WIDTH = r"[A-Za-z0-9+/_=-]{20,}", 20
+CANDIDATE, WIDTH, PART = r"[A-Za-z0-9+/_=-]{20,}", 20, 8
+#: The characters of a candidate, in the order of their counts.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CLASSES = (("hex", r"^[0-9a-fA-F]+$", 2.9), ("upper", r"^[A-Z0-9]+$", 3.3), ("token", r"^[A-Za-z0-9+/_=-]+$", 3.6))
 #: The allow-list: candidates that match any of these are not reported.
 ALLOWED = (
-    r"^[^0-9]+$",  # no digit: a word, a path or a rule of dashes
+    r"^[A-Z+/_=-]+$",  # capitals only: a name, a path or a rule of dashes
     r"^[^A-Za-z]+$",  # no letter: a number, a date or a telephone number
     r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",  # a UUID
     r"^[a-z]+(-[a-z0-9]+)+$",  # a slug
     r"(?i)example|placeholder|changeme|your_?key|x{6}|0{8}|1234567",
 )
+#: Candidates that don't show this are allowed too: words, capitalised or joined.
+NO_WORDS = r"[0-9]|[A-Z]([^a-z]|$)"
 #: WIDTH * log2(WIDTH), and c * log2(c) for each count, in millionths.
 FULL = round(1e6 * WIDTH * math.log2(WIDTH))
 TABLE = [0] + [round(1e6 * c * math.log2(c)) for c in range(1, WIDTH + 1)]
@@ -53,48 +59,47 @@ def _spans(text: Column, pattern: str, kind: int, keep=None, groups=()) -> Colum
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     more = [F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in groups]
     zipped = F.arrays_zip(F.split(text, pattern, -1).alias("piece"), found.alias("hit"), *[m.alias(f"g{i}") for i, m in enumerate(more)])
-    empty = F.expr("CAST(array() AS array<struct<start:bigint,kind:int,end:bigint,hit:string,extra:string>>)")
-
     def step(acc: Column, x: Column) -> Column:
-        start = acc["pos"] + F.length(x["piece"])
-        end = start + F.length(x["hit"])
-        extra = x["g0"] if more else F.lit("")
-        row = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["hit"].alias("hit"), extra.alias("extra"))
-        return F.struct(F.when(x["hit"].isNull(), acc["pos"]).otherwise(end).alias("pos"), F.when(x["hit"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(row))).alias("out"))
-
-    # arrays_zip names its fields by the columns' aliases
-    all_ = F.aggregate(zipped, F.struct(F.lit(0).cast("bigint").alias("pos"), empty.alias("out")), step, lambda acc: acc["out"])
+        end = acc["end"] + F.length(x["piece"]) + F.coalesce(F.length(x["hit"]), F.lit(0))
+        return F.struct(end.alias("end"), F.concat(acc["ends"], F.array(end)).alias("ends"))
+
+    # arrays_zip names its fields by the columns' aliases; where each match ends, then where it starts
+    ends = F.aggregate(zipped, F.struct(F.lit(0).cast("bigint").alias("end"), F.expr("CAST(array() AS array<bigint>)").alias("ends")), step, lambda acc: acc["ends"])
+
+    def row(x: Column, end: Column) -> Column:
+        return F.struct((end - F.length(x["hit"])).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["hit"].alias("hit"), (x["g0"] if more else F.lit("")).alias("extra"))
+
+    all_ = F.filter(F.zip_with(zipped, ends, row), lambda s: s["hit"].isNotNull())
     kept = F.filter(all_, keep) if keep else all_
     return F.when(F.rlike(text, F.lit(pattern)), F.transform(kept, lambda s: F.struct(s["start"], s["kind"], s["end"]))).otherwise(F.expr("CAST(array() AS array<struct<start:bigint,kind:int,end:bigint>>)"))
 
 
 def _entropy_least(hit: Column) -> Column:
-    """The smallest sum of c*log2(c) of any window: its entropy is greatest."""
+    """The smallest sum of c*log2(c) of any window: its entropy is greatest. The fold
+    keeps the counts of the window's characters, two of which change in a step."""
     table = F.array(*[F.lit(v).cast("bigint") for v in TABLE])
-    chars = F.regexp_extract_all(hit, F.lit("."), F.lit(0))
+    place = F.transform(F.regexp_extract_all(hit, F.lit("."), F.lit(0)), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    steps = F.transform(place, lambda p, i: F.struct(p.alias("enter"), F.when(i >= WIDTH, F.get(place, i - WIDTH)).alias("leave")))
+    none = F.array_repeat(F.lit(0), len(ALPHABET))
 
-    def f(n: Column) -> Column:
-        return F.get(table, n)
+    def counted(counts: Column, at: Column, by: int) -> Column:
+        return F.concat(F.slice(counts, F.lit(1), at), F.array(F.get(counts, at) + by), F.slice(counts, at + 2, F.lit(len(ALPHABET))))
 
-    def count(window: Column, char: Column) -> Column:
-        return F.length(window) - F.length(F.replace(window, char))
-
-    def step(acc: Column, char: Column) -> Column:
-        full = F.length(acc["w"]) == WIDTH
-        gone = F.substring(acc["w"], 1, 1)
-        n = count(acc["w"], gone)
-        rest = F.when(full, F.substring(acc["w"], 2, WIDTH)).otherwise(acc["w"])
-        m = count(rest, char)
-        total = F.when(full, acc["s"] - f(n) + f(n - 1)).otherwise(acc["s"]) + f(m + 1) - f(m)
-        whole = F.length(rest) == WIDTH - 1
-        return F.struct(F.concat(rest, char).alias("w"), total.alias("s"), F.when(whole, F.least(acc["low"], total)).otherwise(acc["low"]).alias("low"))
+    def step(acc: Column, x: Column) -> Column:
+        gone = F.get(acc["n"], x["leave"])
+        less = F.when(x["leave"].isNull(), acc["n"]).otherwise(counted(acc["n"], x["leave"], -1))
+        total = acc["s"] - F.coalesce(F.get(table, gone) - F.get(table, gone - 1), F.lit(0).cast("bigint"))
+        held = F.get(less, x["enter"])
+        total = total + F.get(table, held + 1) - F.get(table, held)
+        whole = acc["size"] >= WIDTH - 1
+        return F.struct(counted(less, x["enter"], 1).alias("n"), (acc["size"] + 1).alias("size"), total.alias("s"), F.when(whole, F.least(acc["low"], total)).otherwise(acc["low"]).alias("low"))
 
-    start = F.struct(F.lit("").alias("w"), F.lit(0).cast("bigint").alias("s"), F.lit(2**40).cast("bigint").alias("low"))
-    return F.aggregate(chars, start, step, lambda acc: acc["low"])
+    start = F.struct(none.alias("n"), F.lit(0).alias("size"), F.lit(0).cast("bigint").alias("s"), F.lit(2**40).cast("bigint").alias("low"))
+    return F.aggregate(steps, start, step, lambda acc: acc["low"])
 
 
 def _is_secret(hit: Column) -> Column:
-    allowed = F.lit(False)
+    allowed = ~F.rlike(hit, F.lit(NO_WORDS))
     for pattern in ALLOWED:
         allowed = allowed | F.rlike(hit, F.lit(pattern))
     limit = F.lit(None).cast("bigint")
@@ -111,8 +116,17 @@ def with_spans(docs: DataFrame, text: str = "text", prefix: str = "_secret") ->
     base = F.array_sort(F.concat(assign, _spans(t, ACCESS, 1), _spans(t, HEX, 2)))
     more = _spans(t, CANDIDATE, 3, keep=lambda s: _is_secret(s["hit"]))
     out = docs.withColumns({f"{prefix}_base": base, f"{prefix}_more": more})
-    apart = F.filter(F.col(f"{prefix}_more"), lambda s: ~F.exists(F.col(f"{prefix}_base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return out.withColumn(f"{prefix}_all", F.array_sort(F.concat(F.col(f"{prefix}_base"), apart))).drop(f"{prefix}_more")
+    # what a span has before the first and after the last base span that it meets
+    base_ = F.col(f"{prefix}_base")
+
+    def parts(s: Column) -> Column:
+        met = F.filter(base_, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        span = lambda a, b: F.struct(a.alias("start"), s["kind"].alias("kind"), b.alias("end"))
+        sides = F.array(span(s["start"], F.array_min(F.transform(met, lambda b: b["start"]))), span(F.array_max(F.transform(met, lambda b: b["end"])), s["end"]))
+        return F.when(F.size(met) == 0, F.array(span(s["start"], s["end"]))).otherwise(F.filter(sides, lambda x: x["end"] - x["start"] >= PART))
+
+    apart = F.flatten(F.transform(F.col(f"{prefix}_more"), parts))
+    return out.withColumn(f"{prefix}_all", F.array_sort(F.concat(base_, apart))).drop(f"{prefix}_more")
 
 
 def _joined(spans: Column) -> Column:

@@ -21,13 +21,17 @@ def secret_scan() -> str:
     long = f"length(regexp_extract_all(t, '(?i){assign}', 2)[s.i]) >= {secrets.ASSIGN_LEAST}"
     table = "[" + ", ".join(f"CAST({v} AS BIGINT)" for v in secrets.TABLE) + "]"
     width, low = secrets.WIDTH, 2**40
-    allowed = " OR ".join(f"regexp_matches(hits[s.i], '{q(p)}')" for p in secrets.ALLOWED)
+    allowed = " OR ".join(f"regexp_matches(hits[s.i], '{q(p)}')" for p in secrets.ALLOWED) + f" OR NOT regexp_matches(hits[s.i], '{q(secrets.NO_WORDS)}')"
     limit = "CASE " + " ".join(f"WHEN regexp_matches(hits[s.i], '{q(p)}') THEN {secrets.FULL - secrets.least(bits)}" for _, p, bits in secrets.CLASSES) + " END"
     # the sum over a window, from scratch: for each distinct character the table's value of its count
     window = f"hits[s.i][k:k + {width - 1}]"
     entropy = f"list_min([list_sum([{table}[length({window}) - length(replace({window}, c, '')) + 1] FOR c IN list_distinct(string_split({window}, ''))]) FOR k IN range(1, length(hits[s.i]) - {width - 2})])"
     secret = f"(NOT ({allowed}) AND {entropy} <= {limit})"
     cand = q(secrets.CANDIDATE)
+    met = """[b FOR b IN base IF b."start" < s."end" AND s."start" < b."end"]"""
+    span = lambda a, b: f"{{'start': {a}, 'kind': s.kind, 'end': {b}}}"
+    sides = "[" + span('s."start"', f'list_min([b."start" FOR b IN {met}])') + ", " + span(f'list_max([b."end" FOR b IN {met}])', 's."end"') + "]"
+    parts = f"""CASE WHEN len({met}) = 0 THEN [{span('s."start"', 's."end"')}] ELSE [x FOR x IN {sides} IF x."end" - x."start" >= {secrets.PART}] END"""
     more = _spans("entropy", cand)
     names = "[" + ", ".join(f"'{k}'" for k in secrets.KINDS) + "]"
     joined = lambda c: f"coalesce(array_to_string([{names}[s.kind + 1] || ':' || s.\"start\" || ':' || s.\"end\" FOR s IN list_sort({c})], ','), '')"
@@ -42,8 +46,7 @@ found AS (
 flat AS (
   SELECT doc_id, list_concat({strip % 'a'}, {strip % 'k'}, {strip % 'x'}) AS base, m, hits FROM found),
 judged AS (
-  SELECT doc_id, base, [s FOR s IN m IF {secret}
-    AND len([b FOR b IN base IF b."start" < s."end" AND s."start" < b."end"]) = 0] AS more FROM flat)
+  SELECT doc_id, base, flatten([{parts} FOR s IN m IF {secret}]) AS more FROM flat)
 SELECT doc_id, {count(0)} AS n_assign, {count(1)} AS n_access, {count(2)} AS n_hex,
   sha256({joined('base')}) AS base_sha256, {joined(f"list_concat(base, {strip % 'more'})")} AS spans,
   CAST(len(more) AS BIGINT) AS n_entropy
