@@ -4,12 +4,11 @@ The pages of a host fall into layouts, by the elements and classes that they are
 built of. Of each layout one page (that whose key hashes lowest) is the pivot, and
 all pages of the layout are aligned with its whole tree by simple tree matching.
 An aligned text is recurrent when it stands in one and the same slot of LEAST
-different articles or more (copies of an article count once, by their longest
-text). A slot is template when CONSTANT of its articles hold a recurrent text
+different articles or more (pages of one and the same text count once). A slot is template when CONSTANT of its articles hold a recurrent text
 there; other slots vary, which makes them content. Texts that align with no slot
 follow their path: it is template when all slots on it are. A wrapper that would
-take over VOID of the text of its own pivot, as happens where a host's pages are
-near copies of one article, is void.
+take over VOID of the text of its own pivot (VOID_MARKED, where the page marks its
+article), as happens where a host's pages are near copies of one article, is void.
 
 Every page then gives its blocks, in page order, without template slots. Of slots
 that vary, elements are dropped that are never main text by their kind (menus,
@@ -45,8 +44,8 @@ from . import common
 
 #: The least articles that make a text recurrent and pages that make a wrapper, the
 #: share of recurrent texts that makes a slot template, and the share of a pivot's
-#: text that no wrapper takes.
-LEAST, CONSTANT, VOID = 3, 0.7, 0.5
+#: text, and of a marked article, that no wrapper takes.
+LEAST, CONSTANT, VOID, VOID_MARKED = 3, 0.7, 0.8, 0.3
 #: Cells of an alignment table that are kept at once; beyond it lists are halved.
 CELLS = 1 << 20
 #: Pivots that a worker keeps, and shapes that it keeps for one of them.
@@ -305,7 +304,8 @@ class Pivot:
         self.template = frozenset(template)
         kept = {id(n) for n in blocks(self.root)}
         text = [len(n.text) if id(n) in kept else 0 for n in self.leaves]
-        if sum(text[i] for i in self.template) > VOID * sum(text):
+        marked = any(n.main for n in self.leaves)
+        if sum(text[i] for i in self.template) > (VOID_MARKED if marked else VOID) * sum(text):
             self.template = frozenset()
         varying = {own[id(n)] for i, n in enumerate(self.leaves) if i not in self.template}
         self.template_paths = {own[id(self.leaves[i])] for i in self.template} - varying
@@ -372,7 +372,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, (page, pivot) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
             root = parse(page)
             texts = {id(n): n.text for n in nodes(root) if n.tag == "#"}
-            article = hashed(max(texts.values(), key=len, default=""))
+            article = hashed("\0".join(n.text for n in blocks(root)))
             for leaf, slot in pivot_of(pivot, (), known).aligned(root).items():
                 for col, x in zip(rows, (i, slot, hashed(texts[leaf]), article), strict=True):
                     col.append(x)

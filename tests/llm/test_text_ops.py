@@ -234,7 +234,7 @@ def soup(i, article, extra=""):
 def test_the_template_decides_where_no_kind_tells(spark):
     rows = [(i, f"http://h.example/{i}", soup(i, f"a{i}")) for i in range(5)] + [(9, "http://other.example/", soup(9, "a9"))]
     # a layout of near copies of one article has no wrapper that takes its text
-    rows += [(20 + i, f"http://copies.example/{i}", soup(i, "one").replace("More", f"More{i}")) for i in range(6)]
+    rows += [(20 + i, f"http://copies.example/{i}", soup(i, "one").replace("More", f"More{i}").replace("First", "First and long " * 9)) for i in range(6)]
     # another layout of the first host, and a hot layout whose chrome takes several values
     rows += [(40 + i, f"http://h.example/s/{i}", f"<body><section><p>Shop {i % 2}</p></section><section><p>Item {i} is this one</p><p>It costs {i} coins</p></section></body>") for i in range(12)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
@@ -259,12 +259,12 @@ def test_an_article_keeps_what_its_classes_name():
 
 
 def test_extraction_of_odd_pages(spark):
-    deep, wide = "<div>" * 5000 + "deep" + "</div>" * 5000, "<ul>" + "".join(f"<li>w{i}</li>" for i in range(3000)) + "</ul>"
-    rows = [(i, "http://d.example/", x, "t") for i, x in enumerate([deep, deep.replace("deep", "other"), deep.replace("deep", "third"), wide, wide.replace("w1", "<p>w1</p>"), wide.replace("w2", "<p>w2</p>x"), "", None, "<", "plain"])] + [(None, None, "<p>no url</p>", None)] * 2
+    deep, wide = "<div>" * 5000 + "deep" + "</div>" * 5000, lambda w, p="": "<ul>" + "".join(f"<li>{p * (i % 7 == 0)}{w}{i}</li>" for i in range(3000)) + "</ul>"
+    rows = [(i, "http://d.example/", x, "t") for i, x in enumerate([deep, deep.replace("deep", "other"), deep.replace("deep", "third"), wide("a"), wide("b", "<p>x</p>"), wide("c", "<h3>y</h3>"), "", None, "<", "plain"])] + [(None, None, "<p>no url</p>", None)] * 2
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     got = extract.extract(df).collect()
     texts = {r["page_id"]: r["text"] for r in got}
-    assert len(got) == len(rows) and texts[0] == "deep" and texts[4].count("\n") == 2999 and texts[6] == texts[7] == "" and texts[9] == "plain" and texts[None] == "no url"
+    assert len(got) == len(rows) and texts[0] == "deep" and texts[3].count("\n") == 2999 and texts[4].count("\n") == 2999 + 429 and texts[6] == texts[7] == "" and texts[9] == "plain" and texts[None] == "no url"
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert extract.extract(df.limit(0)).count() == 0
 
