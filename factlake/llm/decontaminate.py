@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from . import common
 
 WINDOW, COVERAGE, RUN, BLOCK_BYTES = 8, 0.5, 13, 2 << 20
-#: Windows whose forms are made at a time.
-FORMS = 1 << 14
+#: Windows whose forms are made at a time, and leading bits by which known ones are marked.
+FORMS, MARKS = 1 << 14, 22
 PUNCTUATION = b".,;:!?\"'()[]{}<>*#$%&|/\\~`^_=+-"
 NUMBER = re.compile(rb"[+-]?\d[\d.,:/]*(?:st|nd|rd|th)?")
 #: Words for numbers and units, lower case.
@@ -178,14 +178,18 @@ class Matcher:
             literals = np.add.reduce([~t.slot[at + i] for i in range(size)], dtype=np.int64) - np.bitwise_count(named)
             weak = (named > 0) & (literals * 2 < size)
             order = np.argsort(h, kind="stable")
-            self.tables[size] = h[order], t.doc[at[order]], (at - first[t.doc[at]])[order], named[order], weak[order]
+            marks = np.zeros(1 << MARKS, bool)
+            marks[h >> np.uint64(64 - MARKS)] = True
+            self.tables[size] = marks, h[order], t.doc[at[order]], (at - first[t.doc[at]])[order], named[order], weak[order]
 
     def hits(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
         """(text, item, windows that count, slots compared, slots changed)."""
         t = Template(texts)
         found: dict[tuple[int, int], dict[int, dict[int, tuple[int, int, int]]]] = {}
-        for size, (known, item, place, named, weak) in self.tables.items():
+        for size, (marks, known, item, place, named, weak) in self.tables.items():
             for at, h, _ in t.forms(size):
+                near = np.flatnonzero(marks[h >> np.uint64(64 - MARKS)])  # all that are known, and few others
+                at, h = at[near], h[near]
                 low, high = np.searchsorted(known, h, "left"), np.searchsorted(known, h, "right")
                 for i in np.flatnonzero(high > low).tolist():
                     for k in range(low[i], high[i]):
