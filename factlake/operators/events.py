@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,10 +37,22 @@ def rule_union(df: DataFrame, rules: dict[str, tuple[Column, Column]]) -> DataFr
     return df.withColumn("_h", F.explode(F.array_compact(F.array(*hit)))).select(*df.columns, "_h.rule", "_h.score")
 
 
-def event_score(confidence: Column, signals: list[Column], evidence: Column, bonus: Column) -> Column:
-    """Additive score: class, signals, up to 10 for evidence, bonus; 0 to 100."""
-    base = F.when(confidence == "high", 50).when(confidence == "medium", 30).otherwise(10)
-    return clamp(base + reduce(lambda a, b: a + b, signals) + F.least(F.lit(10), 3 * evidence) + bonus, 0, 100)
+#: What a signal, a class and a kind add to an event's score.
+SIGNALS = {
+    "bbox_overlap": 35, "speed_drop": 30, "bbox_area_increase": 28, "bbox_area_frame_to_frame_increase": 24, "event_scan_optical_flow": 22, "track_lateral_motion": 18, "object_speed_change": 18,
+    "bbox_aspect_ratio_change": 18, "object_direction_change": 16, "relative_motion": 14, "camera_shake": 12,
+}
+CONFIDENCE = {"high": 30, "medium": 20, "low": 10}
+CONTACTS = ("접촉", "충격후보")
+
+
+def event_score(confidence: Column, signals: Column, evidence: Column, supporting: Column, event_type: Column, candidate_class: Column) -> Column:
+    """Additive score, 0 to 100: class, signals, up to 10 for evidence that isn't empty
+    and for the number of supporting measures, contact or impact, direct contact."""
+    points = looked_up(confidence, CONFIDENCE, 0) + F.aggregate(signals, F.lit(0), lambda acc, s: acc + looked_up(s, SIGNALS, 0))
+    points = points + F.least(F.lit(10), 3 * F.size(F.filter(evidence, lambda e: F.coalesce(e, F.lit("")) != ""))) + F.least(F.lit(10), 2 * supporting)
+    points = points + F.when(event_type.isin(*CONTACTS), 12).otherwise(0) + F.when(candidate_class == "direct_contact_candidate", 8).otherwise(0)
+    return clamp(points, 0, 100).cast("int")
 
 
 def looked_up(key: Column, table: dict[str, int], other: int) -> Column:

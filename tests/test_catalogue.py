@@ -6,7 +6,7 @@ from collections import defaultdict
 import duckdb
 import pytest
 
-from factlake.plans import catalogue
+from factlake.plans import catalogue, facts, media, plans, rules  # noqa: F401
 
 from .conftest import DATA
 
