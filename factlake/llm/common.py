@@ -26,11 +26,13 @@ GROUP_BYTES = 1 << 20
 def scratch(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``, which all machines share.
 
-    Only where the setting is absent (local tests) a folder of this machine is
-    used. The folder goes when the session ends.
+    Only where the setting is absent and the session runs in one process (tests) a
+    folder of this machine is used. The folder goes when the session ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not (spark.sparkContext.master + "[").startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all machines share")
         base = "file:///tmp/checkpoints"
     path = f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm

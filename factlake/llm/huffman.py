@@ -13,7 +13,8 @@ The codebook is a file of its own: one code length (uint8) for each id.
 
 Defined cases: a null text is empty and holds the end id alone; rows with a
 null key come first; rows with one key are ordered by a hash of their ids; an
-empty table gives no files and an empty result.
+empty table gives no files and an empty result; other columns are not read. Keys
+are whole numbers. Codes have up to LIMIT bits, or as many as so many different ids need.
 """
 
 from __future__ import annotations
@@ -33,25 +34,30 @@ from pyspark.sql import functions as F
 from . import common, tokens
 
 MAGIC, LIMIT, BLOCK, END_ID = b"TOKHUF01", 16, 256, 2
+#: The most bits that a code may have: a window of 32 bits holds it from any bit of a byte on.
+MOST = 25
 #: Ids that a file should hold, and the fewest worth a file of their own.
 FILE_IDS, LEAST_IDS = 1 << 26, 1 << 20
 #: Blocks decoded together; bounds a reader's memory.
 STRETCH = 1 << 13
 FOOTER = struct.Struct("<QQQ")
+WHOLE = {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8()}
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
-    """Optimal code lengths up to ``limit`` by package-merge; 0 for absent ids."""
+    """Optimal code lengths up to ``limit``, or as many bits as the number of ids needs,
+    by package-merge; 0 for absent ids."""
     out = np.zeros(len(counts), np.uint8)
     used = np.flatnonzero(counts)
+    limit = max(limit, (len(used) - 1).bit_length() if len(used) else 1)
     if len(used) < 2:
         out[used] = 1
         return out
     used = used[np.argsort(counts[used], kind="stable")]
     coins = counts[used].astype(np.int64)
     n, row, own = len(used), coins, [np.ones(len(used), bool)]
-    if n > 1 << limit:
-        raise ValueError(f"{n} ids don't fit in codes of {limit} bits")
+    if limit > MOST:
+        raise ValueError(f"{n} ids don't fit in codes of {MOST} bits")
     for _ in range(limit - 1):
         half = len(row) // 2
         row = np.concatenate((coins, row[: 2 * half : 2] + row[1 : 2 * half : 2]))
@@ -67,23 +73,29 @@ def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
     return out
 
 
+def width(lengths: np.ndarray) -> int:
+    """Bits by which the decoding table is looked up."""
+    return max(LIMIT, int(lengths.max(initial=0)))
+
+
 def codes(lengths: np.ndarray) -> np.ndarray:
     """Canonical codes: in order of length, then id."""
+    limit = np.uint64(width(lengths))
     out = np.zeros(len(lengths), np.uint64)
     order = np.lexsort((np.arange(len(lengths)), lengths))
     order = order[lengths[order] > 0]
-    span = np.uint64(1) << (np.uint64(LIMIT) - lengths[order].astype(np.uint64))
+    span = np.uint64(1) << (limit - lengths[order].astype(np.uint64))
     left = np.cumsum(span) - span
-    out[order] = left >> (np.uint64(LIMIT) - lengths[order].astype(np.uint64))
+    out[order] = left >> (limit - lengths[order].astype(np.uint64))
     return out
 
 
 def table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each window of LIMIT bits: the id it starts with and its length."""
+    """For each window of ``width`` bits: the id it starts with and its length."""
     order = np.lexsort((np.arange(len(lengths)), lengths))
     order = order[lengths[order] > 0]
-    span = 1 << (LIMIT - lengths[order].astype(np.int64))
-    size = 1 << LIMIT
+    span = 1 << (width(lengths) - lengths[order].astype(np.int64))
+    size = 1 << width(lengths)
     ids, steps = np.zeros(size, np.uint32), np.ones(size, np.int64)
     ids[: span.sum()] = np.repeat(order, span)
     steps[: span.sum()] = np.repeat(lengths[order], span)
@@ -116,15 +128,17 @@ def encode(docs: list[np.ndarray], lengths: np.ndarray, book: np.ndarray) -> tup
 
 def decode(code: bytes, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray, steps: np.ndarray) -> np.ndarray:
     """The ids of blocks one after another; ``starts``: bit offsets in ``code``."""
-    raw = np.frombuffer(code + b"\0\0\0", np.uint8).astype(np.uint32)
-    window = raw[:-2] << np.uint32(16) | raw[1:-1] << np.uint32(8) | raw[2:]
+    raw = np.frombuffer(code + b"\0\0\0\0", np.uint8).astype(np.uint32)
+    window = raw[:-3] << np.uint32(24) | raw[1:-2] << np.uint32(16) | raw[2:-1] << np.uint32(8) | raw[3:]
+    bits = (len(ids) - 1).bit_length()
+    mask, left = np.uint32(len(ids) - 1), 32 - bits
     out = np.zeros(int(sizes.sum()), np.uint32)
     order = np.argsort(-sizes, kind="stable")
     at, to, size = starts[order].copy(), (np.cumsum(sizes) - sizes)[order], sizes[order]
     live = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), "left")
     for step, k in enumerate(live.tolist()):
         p = at[:k]
-        v = window[p >> 3] >> (8 - (p & 7)).astype(np.uint32) & np.uint32(0xFFFF)
+        v = window[p >> 3] >> (left - (p & 7)).astype(np.uint32) & mask
         out[to[:k] + step] = ids[v]
         at[:k] += steps[v]
     return out
@@ -238,6 +252,8 @@ def store(docs: DataFrame, path: str, folder: str, text: str = "text", key: str
     spark = docs.sparkSession
     common.ship(spark)
     kind = docs.select(key).schema[0].dataType.simpleString()
+    if kind not in WHOLE:
+        raise ValueError(f"the key has to be a whole number, not {kind}")
     ids = docs.select(key, text).mapInArrow(lambda it: _tokenise(it, path, end_id), f"doc_id {kind}, ids binary, n long")
     scratch = common.scratch(spark)
     ids = common.written(ids, f"{scratch}/ids")
@@ -265,8 +281,8 @@ def store(docs: DataFrame, path: str, folder: str, text: str = "text", key: str
 def load(spark, folder: str, parts: list[tuple[int, int]], lengths: np.ndarray, kind: str = "bigint", key: str = "doc_id") -> DataFrame:
     """Read the files back: a row for each document."""
     schema = f"doc_id {kind}, start long, n_tokens long, ids_crc32 long"
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8()}[kind]
-    listed = spark.createDataFrame(parts, "part long, base long").repartition(max(1, len(parts)), "part")
+    arrow = WHOLE[kind]
+    listed = spark.createDataFrame(parts, "part long, base long").repartitionByRange(max(1, len(parts)), "part")  # a file a task
     return listed.mapInArrow(lambda it: _load(it, folder, lengths, arrow), schema).withColumnRenamed("doc_id", key)
 
 

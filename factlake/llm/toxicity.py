@@ -6,12 +6,15 @@ window of about WINDOW words is the mean of its words; a linear softmax over
 that decides, and a document counts as its most toxic window: an insult in a
 long text is not averaged away. Vectors and softmax are trained jointly in
 numpy on the driver, from a bounded sample of labelled rows: at most SAMPLE of
-each label, those whose ids hash lowest. All documents are scored on the
-workers, whole, from one number for each n-gram bucket.
+each label, those whose ids hash lowest, and at most SAMPLE_BYTES of text of each
+(a longer text is left out of the sample). Training starts at each bucket's own
+evidence; what it adds is shown by a test that leaves it out. All documents are
+scored on the workers, whole, from one number for each n-gram bucket.
 
 Defined cases: a null or empty text has no words and gets the score of the bias
 alone; rows with a null label or id are not learnt from; an id labelled twice
-takes its greater label; repeated rows are scored each; without rows of both
+takes its greater label; repeated rows are scored each, and learnt from once; other
+columns are not read; empty tables give empty results; without rows of both
 labels every score is the share of label 1, or 0 without labels.
 """
 
@@ -22,7 +25,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -30,6 +33,7 @@ from . import common
 #: Parameters: the sample's bound for each label, hash buckets, dimensions,
 #: n-gram lengths in bytes, words in a window, and the training's course.
 SAMPLE, BUCKETS, DIMENSIONS, GRAMS, WINDOW = 2000, 1 << 16, 8, (3, 4, 5, 6), 3
+SAMPLE_BYTES = 32 << 20
 EPOCHS, RATE, DECAY, SEED = 30, 0.01, 1e-5, 7
 #: The start's scale, and the documents that count as half evidence.
 START, SHRINK = 6.0, 8.0
@@ -187,7 +191,11 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     use = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & (common.fold(F.col(key), FOLDS) != HELD)).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
     some = [use.where(F.col("_label") == c).orderBy(F.xxhash64("_key"), "_key").limit(sample) for c in (0, 1)]
     chosen = F.broadcast(some[0].union(some[1]))  # 2 * sample rows at most
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(chosen, "_key").select("_text", "_label", "_key").collect()
+    found = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(chosen, "_key")
+    # rows that repeat an id count once, by their least text
+    found = common.written(found.groupBy("_key", "_label").agg(F.min("_text").alias("_text"), F.min(F.octet_length("_text")).alias("_n")), f"{common.scratch(docs.sparkSession)}/labelled")
+    held = F.sum(F.coalesce("_n", F.lit(0))).over(Window.partitionBy("_label").orderBy(F.xxhash64("_key"), "_key"))
+    rows = found.withColumn("_held", held).where(F.col("_held") <= SAMPLE_BYTES).select("_text", "_label", "_key").collect()
     rows.sort(key=lambda r: (r[2], r[0] or ""))
     return train([(r[0] or "").encode() for r in rows], np.array([r[1] for r in rows], np.int64))
 

@@ -106,15 +106,19 @@ def test_packing_odd_rows(odd):
     rows = packing.pack(odd, tokenizer("byte_bpe_50k.json")).collect()
     assert sum(r["doc_id"] == 1 for r in rows) == 2 and any(r["doc_id"] is None for r in rows)
     assert len({(r["sequence_id"], r["offset"]) for r in rows}) == len(rows)
+    # every row's ids are placed, also of rows that repeat an id
+    want = Counter((i, zlib.crc32(np.array([*ids, 0][: (len(ids) % 2048) + 1], np.uint32).tobytes())) for (i, _), ids in zip(ODD, ids_of("byte_bpe_50k.json", [t or "" for _, t in ODD]), strict=True))
+    assert Counter((r["doc_id"], r["ids_crc32"]) for r in rows if r["piece"] == 0) == want
+    assert sum(r["length"] for r in rows) == sum(len(x) + 1 for x in ids_of("byte_bpe_50k.json", [t or "" for _, t in ODD]))
     assert packing.pack(odd.limit(0), tokenizer("byte_bpe_50k.json")).count() == 0
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 50, 40_000])
+@pytest.mark.parametrize("n", [1, 2, 3, 50, 40_000, 70_000])
 def test_huffman_round_trip(n):
     rng = np.random.default_rng(n)
     counts = np.append((1e6 / (1 + np.arange(n)) ** 1.3).astype(np.int64) + 1, [0, 0])
     lengths = huffman.code_lengths(counts)
-    assert lengths.max() <= huffman.LIMIT and (lengths[:n] > 0).all() and (lengths[n:] == 0).all()
+    assert lengths.max() <= max(huffman.LIMIT, (n - 1).bit_length()) and (lengths[:n] > 0).all() and (lengths[n:] == 0).all()
     book, (ids, steps) = huffman.codes(lengths), huffman.table(lengths)
     docs = [rng.integers(0, n, k).astype(np.uint32) for k in (0, 1, 255, 256, 257, 3000, 0)]
     code, _, starts = huffman.encode(docs, lengths, book)
@@ -149,6 +153,8 @@ def test_token_files_odd_rows(odd):
     ends = sorted((r["start"], r["start"] + r["n_tokens"]) for r in rows)
     assert all(a[1] == b[0] for a, b in zip(ends, ends[1:], strict=False)) and min(rows, key=lambda r: r["start"])["doc_id"] is None
     assert huffman.round_trip(odd.limit(0), tokenizer("word_bpe_49k.json")).count() == 0
+    with pytest.raises(ValueError, match="whole number"):
+        huffman.round_trip(odd, tokenizer("word_bpe_49k.json"), key="salt")
 
 
 def brute_components(texts, words, percent):

@@ -206,6 +206,28 @@ def test_toxicity_query(spark, odd):
         assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7)
     none = toxicity.score(odd, odd.sparkSession.createDataFrame([], "doc_id long, toxic int")).collect()
     assert len(none) == len(ODD) + 2 and all(r["score"] < 0.01 for r in none)
+    # null and double labels, null ids, no documents at all
+    marked = odd.sparkSession.createDataFrame([(3, 1), (3, 0), (4, 0), (5, None), (None, 1), (7, 0)], "doc_id long, toxic int")
+    assert toxicity.score(odd, marked).count() == len(ODD) + 2 and toxicity.score(odd.limit(0), marked).count() == 0
+
+
+def test_training_adds_to_its_start(monkeypatch):
+    """The start alone against the trained model, on texts that weren't learnt from."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 8)))
+    def text(toxic):
+        w = [word() for _ in range(rng.randint(5, 120))]
+        if toxic:
+            w.insert(rng.randrange(len(w)), rng.choice(["idiot", "moronic", "stupid", "worthless"]))
+        return " ".join(w).encode()
+    y = np.array([i % 4 == 0 for i in range(500)], np.int64)
+    train, held = [text(t) for t in y], [text(t) for t in y]
+    right = {}
+    for epochs in (0, toxicity.EPOCHS):
+        monkeypatch.setattr(toxicity, "EPOCHS", epochs)
+        found = toxicity.scores(held, *toxicity.train(train, y)) >= toxicity.LIMIT
+        right[epochs] = (found == y).mean()
+    assert right[30] > 0.97 and right[30] > right[0] + 0.05
 
 
 def test_extraction_of_pages(spark):
