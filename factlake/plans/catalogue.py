@@ -14,6 +14,7 @@ from ..operators import events as EV
 from ..operators import joins as J
 from ..operators import neighbours as N
 from ..operators import ranking as R
+from ..operators import readings as RE
 from ..operators import sets as SE
 from ..operators import tracks as TR
 from ..operators import votes as V
@@ -514,9 +515,8 @@ def occlusion_rules(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {EV_SQL} SELECT user_id, count(*) FILTER (k >= 60) AS lit, count(*) FILTER (k BETWEEN 20 AND 59) AS off, count(*) FILTER (k < 20) AS missing, CASE WHEN count(*) >= 3 AND count(*) FILTER (k >= 60) >= 2 AND count(*) FILTER (k < 60) >= 1 THEN '점멸' ELSE '확인불가' END AS state FROM ev GROUP BY user_id")
 def flashing_state(spark: SparkSession, d: str) -> DataFrame:
-    k = F.col("k")
-    lit, flash = F.count_if(k >= 60), F.when((F.count("*") >= 3) & (F.count_if(k >= 60) >= 2) & (F.count_if(k < 60) >= 1), "점멸").otherwise(S.UNKNOWN)
-    return events(spark, d).groupBy("user_id").agg(lit.alias("lit"), F.count_if(k.between(20, 59)).alias("off"), F.count_if(k < 20).alias("missing"), flash.alias("state"))
+    status = F.when(F.col("k") >= 60, "lit").when(F.col("k") >= 20, "off").otherwise("missing")
+    return RE.flashing(events(spark, d).withColumn("status", status), ["user_id"], "status")
 
 
 @query("SELECT l_suppkey, round_even(median(l_linenumber), 0) AS lanes, median(l_quantity) AS gap, round_even(median(l_quantity) / 3.2 * 1000, 0) / 1000 AS px_per_metre, CASE WHEN count(*) >= 3 THEN 'medium' ELSE 'low' END AS confidence FROM lineitem GROUP BY 1")
@@ -561,8 +561,7 @@ def fill_rates(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {EV_SQL}, g AS (SELECT user_id, count(DISTINCT event_type) AS n, count(*) FILTER (k >= 35) AS seen, CAST(sum(k) AS BIGINT) AS s, count(*) AS c FROM ev GROUP BY 1) SELECT user_id, round_even(least(1.0, greatest(0.0, 0.45 * (s / (100.0 * c)) + 0.35 * (seen / CAST(c AS DOUBLE)) + 0.20 * least(1.0, n / 3.0))) * 1000, 0) / 1000 AS quality FROM g")
 def reading_quality(spark: SparkSession, d: str) -> DataFrame:
     g = events(spark, d).groupBy("user_id").agg(F.count_distinct("event_type").alias("n"), F.count_if(F.col("k") >= 35).alias("seen"), F.sum("k").alias("s"), F.count("*").alias("c"))
-    q = 0.45 * (F.col("s") / (100.0 * F.col("c"))) + 0.35 * (F.col("seen") / F.col("c").cast("double")) + 0.20 * F.least(F.lit(1.0), F.col("n") / 3.0)
-    return g.select("user_id", S.rint(S.clamp(q, 0.0, 1.0), 3).alias("quality"))
+    return g.select("user_id", RE.final_score(F.col("n"), F.col("s") / (100.0 * F.col("c")), F.col("seen") / F.col("c").cast("double")).alias("quality"))
 
 
 @query("SELECT doc_id, upper(text) LIKE '%STOP%' OR text LIKE '%정지%' AS stop, len(list_distinct(string_split(text, chr(10)))) AS lines FROM documents")

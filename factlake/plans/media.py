@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import media as M
 from ..operators import quality as Q
+from ..operators import readings as RE
 from ..sources.tables import events, table
 from .catalogue import EV_SQL, HOUR, PEAKS, peak_suppression, query
 
@@ -109,3 +110,36 @@ def source_boxes(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", *[c.alias(n) for c, n in zip(whole, ("x1", "y1", "x2", "y2"), strict=True)], moved[0].alias("cx"), moved[1].alias("bottom"))
 
 
+
+
+def _readings(spark: SparkSession, d: str) -> DataFrame:
+    """Observations made of events: a pass by type, failed where the confidence is low."""
+    k, v, kind = F.col("k"), F.col("value"), F.col("event_type")
+    target = F.when(kind == "click", "speed").when(kind == "view", "gps").when(kind == "signup", "datetime").when(kind == "error", "general")
+    return events(spark, d).select(
+        F.col("user_id").alias("video_id"), F.col("event_id").alias("ord"), F.concat(F.lit("f"), F.col("event_id").cast("string")).alias("frame_id"), (k / 100.0).alias("confidence"), target.alias("target_field"), F.when(k < 10, "failed").when(k < 50, "observed").alias("status"),
+        F.when(k % 2 == 0, F.concat(F.lit("t"), (k % 4).cast("string"))).alias("moment"), F.when(k % 3 > 0, v).alias("speed_kmh"), F.when(k % 5 > 0, v / 10).alias("lat"), F.when(k % 5 > 0, v / 5).alias("lon"),
+    )
+
+
+_SEEN = "k >= 10 AND CASE field WHEN 'datetime' THEN k % 2 = 0 WHEN 'speed' THEN k % 3 > 0 ELSE k % 5 > 0 END"
+
+
+@query(f"WITH {EV_SQL} SELECT user_id AS video_id, field, count(*) FILTER ({_SEEN}) AS observed_count, count(*) FILTER (k < 10) AS failure_count, coalesce(round_even(CAST(sum(CAST(k / 100.0 AS DECIMAL(18,6))) FILTER ({_SEEN}) AS DOUBLE) / count(*) FILTER ({_SEEN}) * 1000, 0) / 1000, 0.0) AS mean_confidence FROM ev, (VALUES ('datetime', 'signup'), ('speed', 'click'), ('gps', 'view')) AS f(field, own) WHERE event_type = own OR event_type IN ('error', 'purchase') GROUP BY ALL")
+def reading_fields(spark: SparkSession, d: str) -> DataFrame:
+    return RE.field_votes(_readings(spark, d))
+
+
+@query(f"WITH {EV_SQL}, g AS (SELECT user_id, median(value / 10) AS lat, median(value / 5) AS lon, count(*) AS n, CAST(sum(CAST(k / 100.0 AS DECIMAL(18,6))) AS DOUBLE) / count(*) AS c FROM ev WHERE k % 5 > 0 GROUP BY 1) SELECT user_id AS video_id, lat, lon, CASE WHEN n >= 2 THEN 'medium' ELSE 'low' END AS confidence, n AS sample_count, round_even((c * 0.45::DOUBLE + CASE WHEN n >= 2 THEN 0.8::DOUBLE ELSE 0.45::DOUBLE END * 0.35::DOUBLE + least(1.0::DOUBLE, n / 3.0::DOUBLE) * 0.20::DOUBLE) * 1000, 0) / 1000 AS final_confidence_score FROM g")
+def reading_positions(spark: SparkSession, d: str) -> DataFrame:
+    return RE.positions(_readings(spark, d))
+
+
+@query()
+def reading_speeds(spark: SparkSession, d: str) -> DataFrame:
+    return RE.speeds(_readings(spark, d))
+
+
+@query()
+def reading_summary(spark: SparkSession, d: str) -> DataFrame:
+    return RE.summary(_readings(spark, d))
