@@ -391,13 +391,13 @@ def _extracted(known: dict):
     return extracted
 
 
-_BUILT = r"<(?:div|section|article|main|aside|nav|header|footer|table|ul|ol|form)\b(?:[^>]*?\sclass\s*=\s*[\"'][^\"'>]*)?"
+_BUILT = r"(?i)<(?:div|section|article|main|aside|nav|header|footer|table|ul|ol|form)\b(?:[^>]*?\sclass\s*=\s*[\"'][^\"'>]*)?"
 
 
 def layout_of(page: Column) -> Column:
     """A hash of the block elements, with their classes, that a page is built of."""
-    built = F.regexp_extract_all(F.lower(page), F.lit(_BUILT), F.lit(0))
-    plain = F.transform(built, lambda x: F.regexp_replace(F.regexp_replace(x, r"\s[^>]*class\s*=\s*.", "."), r"\d+", "#"))
+    built = F.array_distinct(F.regexp_extract_all(page, F.lit(_BUILT), F.lit(0)))
+    plain = F.transform(built, lambda x: F.regexp_replace(F.regexp_replace(F.lower(x), r"\s[^>]*class\s*=\s*.", "."), r"\d+", "#"))
     return F.xxhash64(F.array_sort(F.array_distinct(plain)))
 
 
