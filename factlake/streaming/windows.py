@@ -27,3 +27,39 @@ def around(events: DataFrame, marks: DataFrame, key: str, before: str = "6 secon
 def visible(events: DataFrame, time: str, keys: list[str], gap: str = "6 seconds", late: str = "1 minute") -> DataFrame:
     """Sessions broken by gaps."""
     return events.withWatermark(time, late).groupBy(*keys, F.session_window(time, gap)).agg(F.count("*").alias("n"))
+
+
+CHANGES = "video_id long, frame_index long, previous_index long, frame_diff double, histogram_change double"
+
+
+def frame_changes(frames: DataFrame) -> DataFrame:
+    """Each grey frame (video_id, frame_index, width, pixels) against the one before of
+    its video, across batches: the state is one frame. Frames of a batch are put in
+    order; one that comes after a later one was seen, or whose shape differs from the
+    last one's, makes no pair."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+    from ..functions.pixels import frame_change
+
+    def run(key, batches, state: GroupState):
+        last, at, width = (bytes(state.get[0]), state.get[1], state.get[2]) if state.exists else (None, -1, 0)
+        out = []
+        for r in pd.concat(list(batches)).sort_values("frame_index").itertuples():
+            if r.frame_index <= at:
+                continue
+            if last is not None and width == r.width and len(last) == len(r.pixels) and width and len(last) % width == 0:
+                pair = [np.frombuffer(x, np.uint8).reshape(-1, width) for x in (last, r.pixels)]
+                out.append((key[0], r.frame_index, at, *frame_change(*pair)))
+            last, at, width = bytes(r.pixels), int(r.frame_index), int(r.width)
+        if last is not None:
+            state.update((last, at, width))
+        yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in CHANGES.split(", ")])
+
+    return frames.groupBy("video_id").applyInPandasWithState(run, CHANGES, "pixels binary, at long, width long", "append", GroupStateTimeout.NoTimeout)
+
+
+def job_states(updates: DataFrame, key: str = "job_id", order: str = "seq") -> DataFrame:
+    """The last status of each job as updates arrive; for update or complete mode."""
+    return updates.groupBy(key).agg(F.max(order).alias(order), F.max_by("status", order).alias("status"))

@@ -13,3 +13,18 @@ def test_stream_peaks_equal_batch(spark, tmp_path):
     batch = rows.groupBy("user", F.window("ts", "12 hours")).agg(F.max("value").alias("peak"), F.count("*").alias("n"))
     key = lambda df: sorted((r["user"], r["window"]["start"], r["peak"], r["n"]) for r in df.collect())
     assert key(spark.table("peaks")) == key(batch)
+
+
+def test_frame_changes_and_job_states(spark, tmp_path):
+    frames = [[(1, 0, 2, bytes(4)), (2, 5, 2, bytes([9] * 4)), (1, 1, 2, bytes([10] * 4))], [(1, 2, 2, bytes([4] * 4)), (2, 4, 2, bytes(4)), (2, 6, 2, bytes([1] * 6))]]
+    schema = "video_id long, frame_index long, width long, pixels binary"
+    jobs = [[("a", 1, "queued"), ("b", 1, "queued")], [("a", 2, "running")]]
+    for i in range(2):
+        spark.createDataFrame(frames[i], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "f"))
+        spark.createDataFrame(jobs[i], "job_id string, seq long, status string").coalesce(1).write.mode("append").parquet(str(tmp_path / "j"))
+    read = lambda name, s: spark.readStream.schema(s).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name))
+    for name, df, mode in (("changes", windows.frame_changes(read("f", schema)), "append"), ("states", windows.job_states(read("j", "job_id string, seq long, status string")), "complete")):
+        df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start().awaitTermination(120)
+    got = {(r["video_id"], r["frame_index"]): (r["previous_index"], r["frame_diff"]) for r in spark.table("changes").collect()}
+    assert got == {(1, 1): (0, 10.0), (1, 2): (1, 6.0)}
+    assert {r["job_id"]: r["status"] for r in spark.table("states").collect()} == {"a": "running", "b": "queued"}
