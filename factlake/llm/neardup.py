@@ -381,6 +381,11 @@ class Search:
         first = first.groupBy("class", "_id").agg(F.first("node").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")).drop("class", "_id")
         self.sketches = common.written(first, f"{self.folder}/sketches")
 
+    def drop(self, *names: str) -> None:
+        """Delete tables that nothing reads any more: what was made of them is written."""
+        for name in names:
+            common.drop(self.docs.sparkSession, f"{self.folder}/{name}")
+
     def candidates(self) -> DataFrame:
         keys = F.arrow_udf(_keys, "array<bigint>")
         return elected_pairs(self.sketches.select("id", F.explode(keys("sketch")).alias("key")))
@@ -441,11 +446,18 @@ class Search:
     def run(self) -> DataFrame:
         """(class, component): every class that has words, with the least id that
         it reaches; null where none has one."""
-        labels = idsets.components(self.links(self.near(self.candidates())), f"{self.folder}/c1")
-        more = idsets.components(self.joined(self.unresolved(labels)), f"{self.folder}/c2")
+        links = self.links(self.near(self.candidates()))
+        self.drop("pairs", "near", "ids1", "wanted1", "full1")
+        labels = idsets.components(links, f"{self.folder}/c1")
+        rest = self.unresolved(labels)
+        self.drop("labelled", "mixed", "sketches")
+        joined = self.joined(rest)
+        self.drop("unresolved", "ids2", "wanted2", "full2")
+        more = idsets.components(joined, f"{self.folder}/c2")
         first = self.classes.join(labels, "node", "left").select("class", "id", F.coalesce("label", "node").alias("label"))
         last = idsets.relabelled(first, more, "class")
         last = common.written(last, f"{self.folder}/labels")
+        self.drop("links", "joined", "c1", "c2", "classes")
         # components without an id for a number are few: their least id, if any
         unnamed = last.where(F.col("label") >= UNNAMED).groupBy("label").agg(F.min("id").alias("least"))
         named = last.join(unnamed, "label", "left").select("class", F.when(F.col("label") < UNNAMED, F.col("label")).otherwise(F.col("least")).alias("component"))
