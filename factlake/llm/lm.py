@@ -373,7 +373,8 @@ _SUMS = "row long, known long, base double, score double"
 def summed(row: np.ndarray, count: np.ndarray, base: np.ndarray, score: np.ndarray) -> list[np.ndarray]:
     """The columns of _SUMS: occurrences added up by row."""
     rows, at = np.unique(row, return_inverse=True)
-    return [rows, np.bincount(at, count > 0, len(rows)).astype(np.int64), np.bincount(at, base, len(rows)), np.bincount(at, score, len(rows))]
+    added = lambda x: np.bincount(at, x, len(rows)).astype(np.float64)  # noqa: E731  (of nothing at all it would be of integers)
+    return [rows, added(count > 0).astype(np.int64), added(base), added(score)]
 
 
 def _sought(batches: Iterator[pa.RecordBatch], kind: int, buckets: int, width: int) -> Iterator[pa.RecordBatch]:
