@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, extract, huffman, licenses, lm, neardup, packing, quality, secrets, toxicity
+from . import decontaminate, divergence, exactdup, extract, huffman, licenses, lm, merkle, neardup, packing, quality, secrets, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,4 +60,16 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_best_fit_packing, op4_license_scan, op5_toxicity, op6_html_extraction, op7_token_files, op8_minhash_near_dedup, op9_quality_rules, op10_benchmark_decontamination)}
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), seen={"text": merkle.lowered(F.col("text"))}, changed=merkle.tampered(F.col("doc_id")))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_scoring, op2_secret_scan, op3_best_fit_packing, op4_license_scan, op5_toxicity, op6_html_extraction, op7_token_files, op8_minhash_near_dedup, op9_quality_rules, op10_benchmark_decontamination, op11_exact_dedup, op12_merkle_manifest, op13_source_divergence)}
