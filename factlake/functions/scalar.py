@@ -45,8 +45,9 @@ def iou(a: list[Column], b: list[Column]) -> Column:
     return F.when(union > 0, (w * h) / union).otherwise(0.0)
 
 
-def homography(x: Column, y: Column, m: list[list[float]]) -> tuple[Column, Column]:
-    """A point through a 3x3 matrix; unchanged where the divisor vanishes."""
+def homography(x: Column, y: Column, m: list[list[float]] | Column) -> tuple[Column, Column]:
+    """A point through a 3x3 matrix, given or in a column of rows; unchanged where the
+    divisor vanishes."""
     den = m[2][0] * x + m[2][1] * y + m[2][2]
     flat = F.abs(den) < 1e-9
     return F.when(flat, x).otherwise((m[0][0] * x + m[0][1] * y + m[0][2]) / den), F.when(flat, y).otherwise((m[1][0] * x + m[1][1] * y + m[1][2]) / den)

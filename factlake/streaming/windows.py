@@ -29,19 +29,20 @@ def visible(events: DataFrame, time: str, keys: list[str], gap: str = "6 seconds
     return events.withWatermark(time, late).groupBy(*keys, F.session_window(time, gap)).agg(F.count("*").alias("n"))
 
 
-CHANGES = "video_id long, frame_index long, previous_index long, frame_diff double, histogram_change double"
+CHANGES = "video_id long, frame_index long, previous_index long, frame_diff double, histogram_change double, flow_peak double, flow_mean double, compensated double"
 
 
 def frame_changes(frames: DataFrame) -> DataFrame:
     """Each grey frame (video_id, frame_index, width, pixels) against the one before of
     its video, across batches: the state is one frame. Frames of a batch are put in
     order; one that comes after a later one was seen, or whose shape differs from the
-    last one's, makes no pair."""
+    last one's, makes no pair. Flow and the compensated difference are those of
+    ``motion``."""
     import numpy as np
     import pandas as pd
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-    from ..functions.pixels import frame_change
+    from ..functions.motion import clip_motion, scan
 
     def run(key, batches, state: GroupState):
         last, at, width = (bytes(state.get[0]), state.get[1], state.get[2]) if state.exists else (None, -1, 0)
@@ -51,7 +52,7 @@ def frame_changes(frames: DataFrame) -> DataFrame:
                 continue
             if last is not None and width == r.width and len(last) == len(r.pixels) and width and len(last) % width == 0:
                 pair = [np.frombuffer(x, np.uint8).reshape(-1, width) for x in (last, r.pixels)]
-                out.append((key[0], r.frame_index, at, *frame_change(*pair)))
+                out.append((key[0], r.frame_index, at, *scan(*pair), clip_motion(*pair)[1]))
             last, at, width = bytes(r.pixels), int(r.frame_index), int(r.width)
         if last is not None:
             state.update((last, at, width))
