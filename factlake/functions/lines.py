@@ -233,15 +233,17 @@ def _view(*arrays: pa.Array) -> pa.Array:
 
 
 def image_lines(image: Column) -> Column:
-    """``lane_lines`` of a column of Spark's image source; null where there is no image."""
-    return F.arrow_udf(lambda d, h, w, c: _lane_lines(d, h, w, c), "array<struct<x1: bigint, y1: bigint, x2: bigint, y2: bigint>>")(image["data"], image["height"], image["width"], image["nChannels"])
+    """``lane_lines`` of a column of Spark's image source; null where there is no image.
+    Not deterministic to Spark, so that it is computed once."""
+    return F.arrow_udf(lambda d, h, w, c: _lane_lines(d, h, w, c), "array<struct<x1: bigint, y1: bigint, x2: bigint, y2: bigint>>").asNondeterministic()(image["data"], image["height"], image["width"], image["nChannels"])
 
 
 def image_marks(image: Column) -> Column:
-    """``road_marks`` of a column of Spark's image source; null where there is no image."""
-    return F.arrow_udf(lambda d, h, w, c: _road_marks(d, h, w, c), "array<struct<type: string, confidence: string, box: array<bigint>, lines: bigint, yellow_ratio: double>>")(image["data"], image["height"], image["width"], image["nChannels"])
+    """``road_marks`` of a column of Spark's image source; null where there is no image.
+    Not deterministic to Spark, so that it is computed once."""
+    return F.arrow_udf(lambda d, h, w, c: _road_marks(d, h, w, c), "array<struct<type: string, confidence: string, box: array<bigint>, lines: bigint, yellow_ratio: double>>").asNondeterministic()(image["data"], image["height"], image["width"], image["nChannels"])
 
 
 def view_matrix(height: Column, width: Column, left: Column, right: Column, x: Column, y: Column) -> Column:
     """``road_view`` as an array of rows; null where anything is missing."""
-    return F.arrow_udf(lambda a, b, c, d, e, f: _view(a, b, c, d, e, f), "array<array<double>>")(height, width, *[v.cast("double") for v in (left, right, x, y)])
+    return F.arrow_udf(lambda a, b, c, d, e, f: _view(a, b, c, d, e, f), "array<array<double>>").asNondeterministic()(height, width, *[v.cast("double") for v in (left, right, x, y)])

@@ -29,9 +29,10 @@ TRIES, AGREE, SEED = 512, 3.0, 7
 
 
 def filtered(image: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
-    """Correlation with an outer product of two odd kernels; edges are mirrored."""
+    """Correlation with an outer product of two odd kernels; edges are mirrored. Further
+    axes are images of their own."""
     h, w = len(rows) // 2, len(cols) // 2
-    padded = np.pad(image, ((h, h), (w, w)), mode="symmetric")
+    padded = np.pad(image, ((h, h), (w, w), *[(0, 0)] * (image.ndim - 2)), mode="symmetric")
     down = sliding_window_view(padded, len(rows), 0) @ rows
     return sliding_window_view(down, len(cols), 1) @ cols
 
@@ -66,7 +67,10 @@ def quadratic(image: np.ndarray, reach: int = REACH, spread: float = SPREAD) ->
     powers = [(0, 0), (1, 0), (0, 1), (2, 0), (0, 2), (1, 1)]
     basis = np.stack([np.outer(d**j, d**i).ravel() for i, j in powers]).astype(np.float64)
     gram = basis * np.outer(g, g).ravel() @ basis.T
-    moments = np.stack([filtered(image, g * d**j, g * d**i) for i, j in powers], -1)
+    powers_of = np.stack([g, g * d, g * d**2], 1)
+    padded = np.pad(image, reach, mode="symmetric")
+    met = sliding_window_view(sliding_window_view(padded, len(d), 0) @ powers_of, len(d), 1) @ powers_of  # (y, x, power of y, power of x)
+    moments = np.stack([met[..., j, i] for i, j in powers], -1)
     return (moments @ np.linalg.inv(gram))[..., 1:]
 
 
@@ -81,7 +85,7 @@ def _refined(flow: np.ndarray, one: np.ndarray, two: np.ndarray, window: int) ->
     p = (one[..., 0] - there[..., 0]) / 2 + a * flow[..., 0] + c * flow[..., 1]
     q = (one[..., 1] - there[..., 1]) / 2 + c * flow[..., 0] + b * flow[..., 1]
     box = np.full(window, 1 / window)
-    xx, yy, xy, u, v = (filtered(m, box, box) for m in (a * a + c * c, b * b + c * c, c * (a + b), a * p + c * q, c * p + b * q))
+    xx, yy, xy, u, v = np.moveaxis(filtered(np.stack((a * a + c * c, b * b + c * c, c * (a + b), a * p + c * q, c * p + b * q), -1), box, box), -1, 0)
     det = xx * yy - xy * xy
     # without structure there is no evidence of motion: a small ridge pulls it to none
     ridge = 1e-6 * (xx + yy) ** 2 + 1e-9
@@ -128,7 +132,7 @@ def corners(image: np.ndarray, most: int = CORNERS, quality: float = QUALITY, ap
     and at least ``quality`` of the greatest, strongest first, ``apart`` pixels apart."""
     gx, gy = gradients(np.asarray(image, np.float64))
     box = np.ones(3)
-    xx, yy, xy = (filtered(m, box, box) for m in (gx * gx, gy * gy, gx * gy))
+    xx, yy, xy = np.moveaxis(filtered(np.stack((gx * gx, gy * gy, gx * gy), -1), box, box), -1, 0)
     least = (xx + yy) / 2 - np.sqrt(((xx - yy) / 2) ** 2 + xy * xy)
     around = sliding_window_view(np.pad(least, 1, constant_values=-1), (3, 3)).max((2, 3))
     y, x = np.nonzero((least >= around) & (least > max(quality * least.max(initial=0), 1e-9)))
@@ -244,13 +248,15 @@ def scan(before: np.ndarray, after: np.ndarray, area_change: float = 0.0) -> tup
     return diff, apart, *flow_size(dense_flow(before, after))
 
 
-def clip_motion(before: np.ndarray, after: np.ndarray, overlap: bool = False) -> tuple[float, float]:
+def clip_motion(before: np.ndarray, after: np.ndarray, overlap: bool = False, flow: np.ndarray | None = None) -> tuple[float, float]:
     """Mean flow and compensated difference of two frames of a clip's quality, at most
-    MOTION_SIDE pixels wide or high; both 0 where the mean difference is under SKIP_STILL."""
+    MOTION_SIDE pixels wide or high; both 0 where the mean difference is under SKIP_STILL.
+    A flow known for the frames serves where they aren't shrunk."""
     one, two = shrunk(before, MOTION_SIDE), shrunk(after, MOTION_SIDE)
     if float(np.abs(one.astype(np.float64) - two).mean()) < SKIP_STILL:
         return 0.0, 0.0
-    return flow_size(dense_flow(one, two))[1], compensated(one, two, overlap)
+    flow = flow if flow is not None and one.shape == before.shape else dense_flow(one, two)
+    return flow_size(flow)[1], compensated(one, two, overlap)
 
 
 MOTION = "frame_diff double, histogram_change double, flow_peak double, flow_mean double, flow_x double, flow_y double, motion_score double, compensated double"
@@ -271,7 +277,7 @@ def _motion(before: pa.Array, after: pa.Array, width: pa.Array, change: pa.Array
         skip = (c or 0.0) <= 0 and diff < SKIP_DIFF and apart < SKIP_HISTOGRAM
         flow = np.zeros((*one.shape, 2)) if skip else dense_flow(one, two)
         middle = np.median(flow.reshape(-1, 2), 0)
-        rows.append(dict(zip([f.split(" ")[0] for f in MOTION.split(", ")], (diff, apart, *flow_size(flow), *map(float, middle), *clip_motion(one, two)), strict=True)))
+        rows.append(dict(zip([f.split(" ")[0] for f in MOTION.split(", ")], (diff, apart, *flow_size(flow), *map(float, middle), *clip_motion(one, two, flow=None if skip else flow)), strict=True)))
     return pa.array(rows, pa.struct([(f.split(" ")[0], pa.float64()) for f in MOTION.split(", ")]))
 
 

@@ -277,4 +277,4 @@ def image_traffic(image: Column) -> Column:
     """``traffic`` of a column of Spark's image source (blue, green, red); null where there
     is no image, or a grey one."""
     kind = "lamps array<struct<state: string, colour: string, shape: string, score: double, box: array<bigint>>>, heads array<struct<box: array<bigint>, detector: string, score: double, brightness: double>>, signs array<struct<box: array<bigint>>>"
-    return F.arrow_udf(lambda d, h, w, c: _each((d, h, w, c), lambda i: traffic(i) if i.ndim == 3 else None, _TRAFFIC), kind)(image["data"], image["height"], image["width"], image["nChannels"])
+    return F.arrow_udf(lambda d, h, w, c: _each((d, h, w, c), lambda i: traffic(i) if i.ndim == 3 else None, _TRAFFIC), kind).asNondeterministic()(image["data"], image["height"], image["width"], image["nChannels"])

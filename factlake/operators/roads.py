@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lines import image_lines, view_matrix
 from ..functions.scalar import rint
 
 #: How speeds are had, best first, and which wins among equals.
@@ -94,3 +95,53 @@ def scenes(crosswalk: Column, signal: Column, lanes: Column, markings: Column, f
     marked = F.transform(F.filter(markings, lambda m: F.map_contains_key(label, m["type"])), lambda m: F.struct(F.element_at(label, m["type"]).alias("value"), F.coalesce(m["confidence"], F.lit("medium")).alias("confidence"), F.lit("road_marking_candidate").alias("source")))
     found = F.concat(rules, F.coalesce(marked, F.slice(rules, 1, 0)))
     return F.when(F.size(found) > 0, found).otherwise(F.array(one("확인불가", F.lit("unknown"), "not_available")))
+
+
+def middle_of(values: Column) -> Column:
+    """The median of an array of doubles; null for none."""
+    v, n = F.array_sort(values), F.size(values)
+    return F.when(n > 0, (F.get(v, ((n - 1) / 2).cast("int")) + F.get(v, (n / 2).cast("int"))) / 2)
+
+
+def frame_lanes(frames: DataFrame, keys: list[str], image: str = "image") -> DataFrame:
+    """For each decoded frame what its slanted lines say: ``lanes``, the median ``gap``
+    between boundaries in pixels, where the lines meet, and the ``matrix`` of the view
+    from above. Nulls where there are no lines. A frame's lines stay in its row."""
+    f = frames.select(*keys, F.col(f"{image}.height").alias("_h"), F.col(f"{image}.width").alias("_w"), image_lines(F.col(image)).alias("_l"))
+    no = F.expr("CAST(array() AS array<double>)")
+    bottom = lambda l: l["x1"] + (l["x2"] - l["x1"]) / (l["y2"] - l["y1"]) * (F.col("_h") - l["y1"])
+    at = F.array_sort(F.filter(F.transform(F.filter("_l", lambda l: l["y1"] != l["y2"]), bottom), lambda x: (x >= 0) & (x <= F.col("_w"))))
+    f = f.withColumn("_x", F.coalesce(at, no))
+    start = F.struct(F.lit(None).cast("double").alias("last"), F.lit(0).alias("n"))
+    wide = 0.08 * F.col("_w")
+    count = F.aggregate("_x", start, lambda acc, v: F.when(acc["last"].isNull() | (v - acc["last"] > wide), F.struct(v.alias("last"), (acc["n"] + 1).alias("n"))).otherwise(acc), lambda acc: acc["n"])
+    gaps = F.filter(F.zip_with(F.slice("_x", 2, F.greatest(F.size("_x") - 1, F.lit(0))), F.slice("_x", 1, F.greatest(F.size("_x") - 1, F.lit(0))), lambda b, a: b - a), lambda g: g > wide)
+    # each pair of a frame's lines once: a frame has a few dozen at most
+    real = lambda l: [l[c].cast("double") for c in ("x1", "y1", "x2", "y2")]
+
+    def meet(a: Column, b: Column) -> Column:
+        (x1, y1, x2, y2), (x3, y3, x4, y4) = real(a), real(b)
+        d = (x1 - x2) * (y3 - y4) - (y1 - y2) * (x3 - x4)
+        x = ((x1 * y2 - y1 * x2) * (x3 - x4) - (x1 - x2) * (x3 * y4 - y3 * x4)) / d
+        y = ((x1 * y2 - y1 * x2) * (y3 - y4) - (y1 - y2) * (x3 * y4 - y3 * x4)) / d
+        return F.when(F.abs(d) >= 1e-6, F.struct(x.alias("x"), y.alias("y")))
+
+    pairs = F.array_compact(F.flatten(F.transform("_l", lambda a, i: F.transform(F.slice("_l", i + 2, F.size("_l")), lambda b: meet(a, b)))))
+    f = f.withColumns({"_p": pairs, "_n": count, "gap": middle_of(gaps)})
+    some = F.size("_x") >= 2
+    f = f.withColumns({"vanishing_x": rint(middle_of(F.transform("_p", lambda p: p["x"])), 3), "vanishing_y": rint(middle_of(F.transform("_p", lambda p: p["y"])), 3)})
+    matrix = view_matrix(F.col("_h"), F.col("_w"), F.when(some, F.get("_x", F.lit(0))), F.try_element_at("_x", F.lit(-1)), F.col("vanishing_x"), F.col("vanishing_y"))
+    return f.select(*keys, F.when(some, F.greatest(F.lit(1), F.col("_n") - 1)).alias("lanes"), F.when(some, F.col("gap")).alias("gap"), "vanishing_x", "vanishing_y", matrix.alias("matrix"))
+
+
+def geometry(frames: DataFrame, keys: list[str], frame: str, lane_width: Column, image: str = "image") -> DataFrame:
+    """A video's road from its frames: half-even median of lanes with its confidence, the
+    median vanishing point and matrix, pixels a metre from the gaps, and the score."""
+    each = frame_lanes(frames, list(dict.fromkeys([*keys, frame])), image)
+    n = F.count("lanes")
+    cells = F.array(*[F.array(*[rint(F.median(F.col("matrix")[i][j]), 6) for j in range(3)]) for i in range(3)])
+    g = each.groupBy(*keys).agg(
+        F.rint(F.median("lanes")).cast("int").alias("lanes"), n.alias("samples"), F.when(n >= 3, "medium").when(n >= 1, "low").otherwise("unknown").alias("confidence"), rint(F.median("vanishing_x"), 3).alias("vanishing_x"),
+        rint(F.median("vanishing_y"), 3).alias("vanishing_y"), rint(F.median("gap") / lane_width, 3).alias("pixels_per_meter"), F.count("gap").alias("_gaps"), F.when(F.count("matrix") > 0, cells).alias("matrix"),
+    )
+    return g.withColumn("score", geometry_score(F.col("samples"), F.col("matrix").isNotNull(), F.col("_gaps") > 0)).drop("_gaps")
