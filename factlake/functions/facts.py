@@ -161,28 +161,38 @@ def _downgraded(items: Column, bad: Callable[[Column], Column], message: str, **
     return F.transform(items, lambda x: F.when(bad(x), changed(x, **fields)).otherwise(x)), _said(F.coalesce(F.exists(items, bad), F.lit(False)), message)
 
 
+def _checked_signal(signal: Column, detected: Column, name: str) -> Gated:
+    """A signal as it was detected; unknown where none was, or with low confidence."""
+    none, low = F.coalesce(~named_value(detected["value"]), F.lit(True)), rank_of(detected["confidence"]) < 2
+    unknown = changed(signal, value=UNKNOWN, confidence="unknown")
+    seen = changed(signal, value=detected["value"], confidence=detected["confidence"], evidence=F.coalesce(detected["evidence"], signal["evidence"]))
+    held = F.when(signal.isNull(), signal).when(none, unknown).when(low, changed(unknown, evidence=F.expr(_NONE))).otherwise(seen)
+    told = lambda why: F.array(F.lit(f"traffic_control.{name} 값이 {why} 강등됨"))
+    return held, F.when(signal.isNull(), F.expr(_NONE)).when(none, told("전처리 근거 부족으로")).when(low, told("low confidence로")).otherwise(F.expr(_NONE))
+
+
 def verified(record: dict[str, Column], ids: Column, contact_scores: Column, detected: Column) -> dict[str, Column]:
     """A record checked against preprocessing: known evidence ids, the scores of contact
     and impact events, and the signal that was detected (value, confidence, evidence).
-    Sections: timeline, actors, collision, signal, speed_estimates, accident_type."""
+    Sections: timeline, actors (movement, lane, lane_or_position), collision, signal and
+    perhaps traffic_light, speed_estimates (value, numeric_kmh, range_kmh), accident_type.
+    Without a known score of 35 or more, as with a null list, no collision is confirmed."""
     unsure = lambda x: ~some(x["evidence"]) | below_medium(x)
     timeline = _downgraded(_cited(record["timeline"], ids), unsure, "timeline 사건이 근거 부족으로 강등됨", confidence="unknown", event=NO_EVENT)
-    actors = _downgraded(_cited(record["actors"], ids), unsure, "actor 세부 정보가 high-precision 정책으로 강등됨", confidence="unknown", movement=UNKNOWN)
+    actors = _downgraded(_cited(record["actors"], ids), unsure, "actor 세부 정보가 high-precision 정책으로 강등됨", confidence="unknown", movement=UNKNOWN, lane=UNKNOWN, lane_or_position=UNKNOWN)
     collision = changed(record["collision"], evidence=valid_evidence(record["collision"]["evidence"], ids))
-    lost = (collision["detected"] == F.lit(True)) & (~F.exists(contact_scores, lambda s: s >= 35) | below_medium(collision))
+    hit = F.coalesce(F.exists(contact_scores, lambda s: s >= 35), F.lit(False))
+    lost = (collision["detected"] == F.lit(True)) & (~hit | below_medium(collision))
     lost = F.coalesce(lost, F.lit(False))
     collision = F.when(lost, changed(collision, detected=F.lit(False), confidence="unknown", note="전처리 충돌 후보 근거가 부족하여 충돌 확인 불가")).otherwise(collision)
-    signal, none, low = record["signal"], ~named_value(detected["value"]), rank_of(detected["confidence"]) < 2
-    none = F.coalesce(none, F.lit(True))
-    held = F.when(none, changed(signal, value=UNKNOWN, confidence="unknown")).when(low, changed(signal, value=UNKNOWN, confidence="unknown", evidence=F.expr(_NONE))).otherwise(changed(signal, value=detected["value"], confidence=detected["confidence"], evidence=F.coalesce(detected["evidence"], signal["evidence"])))
-    signal_said = F.when(signal.isNull(), F.expr(_NONE)).when(none, F.array(F.lit("traffic_control.signal 값이 전처리 근거 부족으로 강등됨"))).when(low, F.array(F.lit("traffic_control.signal 값이 low confidence로 강등됨"))).otherwise(F.expr(_NONE))
-    speeds = _downgraded(record["speed_estimates"], lambda x: x["numeric_kmh"].isNotNull() & below_medium(x), "speed estimate가 high-precision 정책으로 강등됨", value=NO_SPEED, numeric_kmh=None, confidence="unknown")
+    signals = {name: _checked_signal(record[name], detected, name) for name in ("signal", "traffic_light") if name in record}
+    speeds = _downgraded(record["speed_estimates"], lambda x: x["numeric_kmh"].isNotNull() & below_medium(x), "speed estimate가 high-precision 정책으로 강등됨", value=NO_SPEED, numeric_kmh=None, range_kmh=None, confidence="unknown")
     sure = F.exists(actors[0], lambda x: some(x["evidence"]) & ~below_medium(x))
     hit = F.coalesce((collision["detected"] == F.lit(True)) | named_value(collision["impact_type"]), F.lit(False))
     reset = named_value(record["accident_type"]) & ~F.coalesce(sure, F.lit(False)) & ~hit
-    said = [timeline[1], actors[1], _said(lost, "collision detected 값이 전처리 근거 부족으로 강등됨"), signal_said, speeds[1], _said(F.coalesce(reset, F.lit(False)), "rag_hints.accident_type이 high-precision 정책으로 강등됨")]
+    said = [timeline[1], actors[1], _said(lost, "collision detected 값이 전처리 근거 부족으로 강등됨"), *[said for _, said in signals.values()], speeds[1], _said(F.coalesce(reset, F.lit(False)), "rag_hints.accident_type이 high-precision 정책으로 강등됨")]
     return {
-        "timeline": timeline[0], "actors": actors[0], "collision": collision, "signal": F.when(signal.isNull(), signal).otherwise(held), "speed_estimates": speeds[0],
+        "timeline": timeline[0], "actors": actors[0], "collision": collision, **{name: column for name, (column, _) in signals.items()}, "speed_estimates": speeds[0],
         "accident_type": F.when(reset, UNKNOWN).otherwise(record["accident_type"]), "uncertainties": appended(F.coalesce(record["uncertainties"], F.expr(_NONE)), *said), "precision_policy": precision_policy(),
     }
 

@@ -95,15 +95,17 @@ def lateral_events(tracks: DataFrame, positions: DataFrame) -> DataFrame:
 
 def contact_events(positions: DataFrame, shakes: DataFrame | None = None) -> DataFrame:
     """Pairs of positions of one moment that overlap by 0.05 or more, with the change
-    against the pair's moment before and a shake within 0.75 s of it."""
+    against the pair's moment before and the video's strongest shake within 0.75 s of it;
+    of equally strong ones the earliest."""
     p = pairs_at(positions, ["video_id", "t"], "ord", ["track_id", "frame_id", *BOX])
     p = p.withColumn("v", iou(*[[F.col(f"{c}_{s}") for c in BOX] for s in "ab"]))
     # a pair's moments, whether the boxes overlap or not; pairs of one track have none before
     w = Window.partitionBy("video_id", "track_id_a", "track_id_b").orderBy("t")
     p = p.withColumn("v0", F.when(F.col("track_id_a") != F.col("track_id_b"), F.lag("v").over(w))).where("v >= 0.05")
     near, more, shaken = F.lit(False), F.lit(0), F.expr("CAST(array() AS array<string>)")
-    if shakes is not None:  # one row a video
-        s = shakes.where("value >= 20").select("video_id", F.col("t").alias("ts"), F.struct("value", "compensated", F.col("evidence").alias("seen")).alias("s"))
+    if shakes is not None:
+        one = F.struct("t", "value", "compensated", F.col("evidence").alias("seen"))
+        s = shakes.where("value IS NOT NULL").groupBy("video_id").agg(F.max_by(one, F.struct("value", -F.col("t"))).alias("s")).where("s.value >= 20").withColumn("ts", F.col("s.t"))
         p = p.join(s, "video_id", "left")
         near = F.coalesce(F.abs(F.col("t") - F.col("ts")) <= 0.75, F.lit(False))
         more, shaken = F.when(near, 1 + F.col("s.compensated").isNotNull().cast("int")).otherwise(0), F.when(near, F.col("s.seen")).otherwise(shaken)

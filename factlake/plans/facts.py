@@ -95,31 +95,35 @@ def payload_repair(spark: SparkSession, d: str) -> DataFrame:
 #: Verification: an item's evidence is known where its number is even.
 _EV = "(event_id + j) % 2 = 0"
 _MED = "(event_id + j) % 3 > 0"
-_LOST = "event_id % 2 = 0 AND (event_id % 5 > 2 OR event_id % 3 = 0)"
+#: Scores of contact events: a null list, none, only null, a null and a low one, a null and one of 35.
+_LOST = "event_id % 2 = 0 AND (event_id % 5 < 4 OR event_id % 3 = 0)"
 _SURE = f"len([j FOR j IN {_SEQ.format(4)} IF {_EV} AND {_MED}]) > 0"
 
 
 @query(
     f"WITH x AS (SELECT event_id, ({_LOST}) AS lost, event_id % 7 > 0 AND event_id % 4 > 0 AND NOT ({_SURE}) AND NOT (event_id % 2 = 0 AND NOT ({_LOST})) AND event_id % 11 > 0 AS reset FROM events) SELECT event_id, array_to_string([CASE WHEN {_EV} AND {_MED} THEN '충돌/medium' ELSE '{FA.NO_EVENT}/unknown' END || CASE WHEN {_EV} THEN '/1' ELSE '/0' END FOR j IN {_SEQ.format(4)}], ',') AS timeline, "
-    f"array_to_string([CASE WHEN {_EV} AND {_MED} THEN '접근/medium' ELSE '{UNKNOWN}/unknown' END FOR j IN {_SEQ.format(4)}], ',') AS actors, event_id % 2 = 0 AND NOT lost AS detected, CASE WHEN event_id % 5 = 0 OR event_id % 3 = 0 THEN '{UNKNOWN}' ELSE '녹색' END AS signal, "
-    f"array_to_string([CASE WHEN {_MED} THEN 'v' ELSE '모름' END FOR j IN {_SEQ.format(3)}], ',') AS speeds, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 4 = 0 OR reset THEN '{UNKNOWN}' ELSE '차대차' END AS accident, "
+    f"array_to_string([CASE WHEN {_EV} AND {_MED} THEN '접근/1차로/우측/medium' ELSE '{UNKNOWN}/{UNKNOWN}/{UNKNOWN}/unknown' END FOR j IN {_SEQ.format(4)}], ',') AS actors, event_id % 2 = 0 AND NOT lost AS detected, CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 5 = 0 OR event_id % 3 = 0 THEN '{UNKNOWN}' ELSE '녹색' END AS light, CASE WHEN event_id % 5 = 0 OR event_id % 3 = 0 THEN '{UNKNOWN}' ELSE '녹색' END AS signal, "
+    f"array_to_string([CASE WHEN {_MED} THEN 'v:48-52' ELSE '모름:-' END FOR j IN {_SEQ.format(3)}], ',') AS speeds, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 4 = 0 OR reset THEN '{UNKNOWN}' ELSE '차대차' END AS accident, "
     f"array_to_string(flatten([CASE WHEN len([j FOR j IN {_SEQ.format(4)} IF NOT ({_EV} AND {_MED})]) > 0 THEN ['timeline 사건이 근거 부족으로 강등됨', 'actor 세부 정보가 high-precision 정책으로 강등됨'] ELSE [] END, CASE WHEN lost THEN ['collision detected 값이 전처리 근거 부족으로 강등됨'] ELSE [] END, "
-    f"CASE WHEN event_id % 5 = 0 THEN ['traffic_control.signal 값이 전처리 근거 부족으로 강등됨'] WHEN event_id % 3 = 0 THEN ['traffic_control.signal 값이 low confidence로 강등됨'] ELSE [] END, CASE WHEN len([j FOR j IN {_SEQ.format(3)} IF NOT ({_MED})]) > 0 THEN ['speed estimate가 high-precision 정책으로 강등됨'] ELSE [] END, CASE WHEN reset THEN ['rag_hints.accident_type이 high-precision 정책으로 강등됨'] ELSE [] END]), ';') AS uncertainties FROM x"
+    f"CASE WHEN event_id % 5 = 0 THEN ['traffic_control.signal 값이 전처리 근거 부족으로 강등됨'] WHEN event_id % 3 = 0 THEN ['traffic_control.signal 값이 low confidence로 강등됨'] ELSE [] END, CASE WHEN event_id % 13 = 0 THEN [] WHEN event_id % 5 = 0 THEN ['traffic_control.traffic_light 값이 전처리 근거 부족으로 강등됨'] WHEN event_id % 3 = 0 THEN ['traffic_control.traffic_light 값이 low confidence로 강등됨'] ELSE [] END, CASE WHEN len([j FOR j IN {_SEQ.format(3)} IF NOT ({_MED})]) > 0 THEN ['speed estimate가 high-precision 정책으로 강등됨'] ELSE [] END, CASE WHEN reset THEN ['rag_hints.accident_type이 high-precision 정책으로 강등됨'] ELSE [] END]), ';') AS uncertainties FROM x"
 )
 def payload_verify(spark: SparkSession, d: str) -> DataFrame:
     item = lambda j, *more: F.struct(*more, F.when((_i() + j) % 3 == 0, "low").otherwise("medium").alias("confidence"), F.array(F.lit("made up"), F.when((_i() + j) % 2 == 0, "f1").otherwise("f9")).alias("evidence"))
     record = {
-        "timeline": _items(_i() % 4, lambda j: item(j, F.lit("충돌").alias("event"))), "actors": _items(_i() % 4, lambda j: item(j, F.lit("접근").alias("movement"))),
+        "timeline": _items(_i() % 4, lambda j: item(j, F.lit("충돌").alias("event"))), "actors": _items(_i() % 4, lambda j: item(j, F.lit("접근").alias("movement"), F.lit("1차로").alias("lane"), F.lit("우측").alias("lane_or_position"))),
         "collision": F.struct((_i() % 2 == 0).alias("detected"), F.when(_i() % 11 == 0, "정면").alias("impact_type"), F.when(_i() % 3 == 0, "low").otherwise("high").alias("confidence"), F.array(F.lit("f1")).alias("evidence"), F.lit("").alias("note")),
-        "signal": F.struct(F.lit("적색").alias("value"), F.lit("low").alias("confidence"), F.array(F.lit("f1")).alias("evidence")), "speed_estimates": _items(_i() % 3, lambda j: item(j, F.lit("v").alias("value"), F.lit(50.0).alias("numeric_kmh"))),
+        "signal": F.struct(F.lit("적색").alias("value"), F.lit("low").alias("confidence"), F.array(F.lit("f1")).alias("evidence")), "speed_estimates": _items(_i() % 3, lambda j: item(j, F.lit("v").alias("value"), F.lit(50.0).alias("numeric_kmh"), F.lit("48-52").alias("range_kmh"))),
+        "traffic_light": F.when(_i() % 13 > 0, F.struct(F.lit("황색").alias("value"), F.lit("low").alias("confidence"), F.array(F.lit("f1")).alias("evidence"))),
         "accident_type": F.when(_i() % 7 > 0, F.when(_i() % 4 == 0, UNKNOWN).otherwise("차대차")), "uncertainties": F.lit(None).cast("array<string>"),
     }
     detected = F.struct(F.when(_i() % 5 > 0, "녹색").alias("value"), F.when(_i() % 3 == 0, "low").otherwise("high").alias("confidence"), F.array(F.lit("f2")).alias("evidence"))
-    v = FA.verified(record, F.array(F.lit("f1"), F.lit("f2")), F.array(F.when(_i() % 5 <= 2, 35).otherwise(34)), detected)
+    none = F.lit(None).cast("int")
+    scores = F.when(_i() % 5 == 1, F.array().cast("array<int>")).when(_i() % 5 == 2, F.array(none)).when(_i() % 5 == 3, F.array(none, F.lit(34))).when(_i() % 5 == 4, F.array(none, F.lit(35)))
+    v = FA.verified(record, F.array(F.lit("f1"), F.lit("f2")), scores, detected)
     e = table(spark, d, "events").select("event_id", *[c.alias(n) for n, c in v.items()])
     return e.select(
-        "event_id", F.array_join(F.transform("timeline", lambda x: F.concat_ws("/", x["event"], x["confidence"], F.size(x["evidence"]).cast("string"))), ",").alias("timeline"), F.array_join(F.transform("actors", lambda x: F.concat_ws("/", x["movement"], x["confidence"])), ",").alias("actors"),
-        F.col("collision.detected").alias("detected"), F.col("signal.value").alias("signal"), F.array_join(F.transform("speed_estimates", lambda x: x["value"]), ",").alias("speeds"), F.col("accident_type").alias("accident"), F.array_join("uncertainties", ";").alias("uncertainties"),
+        "event_id", F.array_join(F.transform("timeline", lambda x: F.concat_ws("/", x["event"], x["confidence"], F.size(x["evidence"]).cast("string"))), ",").alias("timeline"), F.array_join(F.transform("actors", lambda x: F.concat_ws("/", x["movement"], x["lane"], x["lane_or_position"], x["confidence"])), ",").alias("actors"),
+        F.col("traffic_light.value").alias("light"), F.col("collision.detected").alias("detected"), F.col("signal.value").alias("signal"), F.array_join(F.transform("speed_estimates", lambda x: F.concat(x["value"], F.lit(":"), F.coalesce(x["range_kmh"], F.lit("-")))), ",").alias("speeds"), F.col("accident_type").alias("accident"), F.array_join("uncertainties", ";").alias("uncertainties"),
     )
 
 

@@ -28,3 +28,34 @@ def test_frame_changes_and_job_states(spark, tmp_path):
     got = {(r["video_id"], r["frame_index"]): (r["previous_index"], r["frame_diff"]) for r in spark.table("changes").collect()}
     assert got == {(1, 1): (0, 10.0), (1, 2): (1, 6.0)}
     assert {r["job_id"]: r["status"] for r in spark.table("states").collect()} == {"a": "running", "b": "queued"}
+
+
+def test_outcomes_of_jobs_until_their_deadline(spark, tmp_path):
+    """A job that ends, one that fails, one that ends too late, and one never heard of again."""
+    from factlake.streaming import polling
+
+    at = "timestamp'2024-01-01 00:00:00' + interval %d seconds"
+    batches = [
+        [("a", 0, "queued", None), ("b", 1, "queued", None), ("late", 2, "queued", None), ("lost", 3, "running", None), (None, 3, "queued", None)],
+        [("a", 5, "running", None), ("b", 6, "failed", "disk"), ("a", 8, "succeeded", "r1")],
+        [("a", 9, "succeeded", "again"), ("clock", 40, "queued", None)],
+        [("late", 41, "succeeded", "r2"), ("clock", 42, "succeeded", "r3")],
+        [("clock2", 200, "queued", None)],
+        [("a", 201, "succeeded", "new life"), ("clock2", 202, "succeeded", None)],
+    ]
+    schema = "job_id string, s long, status string, result string"
+    for rows in batches:
+        df = spark.createDataFrame(rows, schema).select("job_id", F.expr((at % 0).replace("interval 0 seconds", "make_interval(0,0,0,0,0,0,s)")).alias("ts"), "status", "result")
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "u"))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream = spark.readStream.schema("job_id string, ts timestamp, status string, result string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "u"))
+        polling.outcomes(stream, deadline_ms=30_000).writeStream.format("memory").queryName("outcomes").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination(300)
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    got = [(r["job_id"], r["status"], r["result"], r["error"], r["waited_ms"]) for r in spark.table("outcomes").collect()]
+    assert sorted(got, key=repr) == sorted([
+        ("a", "succeeded", "r1", None, 8000), ("b", "failed", None, "disk", 5000), ("late", "failed", None, "timeout after 30 seconds", 30000), ("lost", "failed", None, "timeout after 30 seconds", 30000),
+        ("clock", "succeeded", "r3", None, 2000), ("clock2", "succeeded", None, None, 2000), ("a", "succeeded", "new life", None, 0),
+    ], key=repr)
