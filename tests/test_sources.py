@@ -125,3 +125,43 @@ def test_changes_between_frames(spark):
 
     got = [r["c"] for r in df.withColumn("b", F.lag("p").over(Window.orderBy("f"))).select("f", pixels.change(F.col("b"), F.col("p"), F.col("w")).alias("c")).orderBy("f").collect()]
     assert got[0] is None and got[2] is None and got[3] is None and got[1]["frame_diff"] == 50.0
+
+
+def box(kind, *parts):
+    body = b"".join(parts)
+    return struct.pack(">I4s", 8 + len(body), kind) + body
+
+
+def movie(scale=600, duration=6000, samples=250, size=(1280, 720), turn=(1, 0, 0, 1), audio=True, version=0, pad=0, codec=b"avc1"):
+    """A file of a movie's boxes without its pictures."""
+    times = lambda: struct.pack(">QQIQ", 0, 0, scale, duration) if version else struct.pack(">IIII", 0, 0, scale, duration)
+    head = bytes([version, 0, 0, 0])
+    matrix = struct.pack(">9i", turn[0] << 16, turn[1] << 16, 0, turn[2] << 16, turn[3] << 16, 0, 0, 0, 1 << 30)
+    tkhd = box(b"tkhd", head, bytes(32 if version else 20), bytes(16), matrix, struct.pack(">2I", size[0] << 16, size[1] << 16))
+    media = lambda kind, n: box(b"mdia", box(b"mdhd", head, times(), bytes(4)), box(b"hdlr", bytes(8), kind, bytes(12)), box(b"minf", box(b"stbl", box(b"stsd", bytes(4), struct.pack(">I", 1), struct.pack(">I4s", 16, codec), bytes(8)), box(b"stts", bytes(4), struct.pack(">III", 2, n - 1, 24), struct.pack(">II", 1, 30)))))
+    tracks = [box(b"trak", tkhd, media(b"vide", samples))] + ([box(b"trak", tkhd, media(b"soun", 9))] if audio else [])
+    wide = struct.pack(">I4sQ", 1, b"mdat", 16 + pad) + bytes(pad)
+    return box(b"ftyp", b"isom") + wide + box(b"moov", box(b"mvhd", head, times(), bytes(80)), *tracks)
+
+
+def test_video_headers(spark, tmp_path):
+    from factlake.sources import videos
+
+    (tmp_path / "v/deep").mkdir(parents=True)
+    good = movie(pad=5000)
+    files = {
+        "v/a.mp4": good, "v/deep/B.MOV": movie(version=1, turn=(0, 1, -1, 0), audio=False, samples=300, codec=b"hvc1"), "v/c.txt": good, "v/cut.mp4": good[:-100], "v/empty.mp4": b"", "v/noise.mp4": bytes(range(256)) * 4,
+        "v/sound.mp4": good.replace(b"vide", b"soun"), "v/zero.mp4": movie(scale=0),
+    }
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    got = {r["path"].rsplit("/", 1)[1]: r for r in videos.read_videos(spark, str(tmp_path / "v"), partitions="3").collect()}
+    assert set(got) == {"a.mp4", "B.MOV", "cut.mp4", "empty.mp4", "noise.mp4", "sound.mp4", "zero.mp4"}
+    a, b = got["a.mp4"], got["B.MOV"]
+    assert (a["duration_sec"], a["fps"], a["frame_count"], a["width"], a["height"], a["rotation"], a["video_codec"], a["has_audio"], a["error"], a["size"]) == (10.0, 25.0, 250, 1280, 720, 0, "avc1", True, None, len(good))
+    assert (b["fps"], b["rotation"], b["has_audio"], b["video_codec"]) == (30.0, 90, False, "hvc1")
+    assert got["sound.mp4"]["error"] == "no video stream" and got["empty.mp4"]["error"] == "no movie header" and "doesn't fit" in got["cut.mp4"]["error"] and got["noise.mp4"]["error"]
+    assert (got["zero.mp4"]["fps"], got["zero.mp4"]["error"]) == (0.0, None)
+    (tmp_path / "none").mkdir()
+    assert videos.read_videos(spark, (tmp_path / "none").as_uri()).count() == 0
+    assert videos.read_videos(spark, (tmp_path / "v").as_uri(), suffixes="mov").count() == 1
