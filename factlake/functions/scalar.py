@@ -131,10 +131,10 @@ def movement(dx: Column, dy: Column, step: float = 20.0) -> Column:
 
 
 def padded(box: list[Column], width: Column, height: Column, ratio: float = 0.35, least: int = 8) -> list[Column]:
-    """A box grown by a share of its sides, at least ``least``, and clipped."""
-    px = F.greatest(F.lit(least), F.rint((box[2] - box[0]) * ratio).cast("int"))
-    py = F.greatest(F.lit(least), F.rint((box[3] - box[1]) * ratio).cast("int"))
-    return [F.greatest(F.lit(0), box[0] - px), F.greatest(F.lit(0), box[1] - py), F.least(width, box[2] + px), F.least(height, box[3] + py)]
+    """A box grown on all sides by a share of its greater side, cut to whole pixels and at
+    least ``least``, and clipped."""
+    pad = F.greatest(F.lit(least), (F.greatest(box[2] - box[0], box[3] - box[1]) * ratio).cast("int"))
+    return [F.greatest(F.lit(0), box[0] - pad), F.greatest(F.lit(0), box[1] - pad), F.least(width, box[2] + pad), F.least(height, box[3] + pad)]
 
 
 def safe_id(text: Column, length: int = 48) -> Column:

@@ -48,10 +48,14 @@ def caption(slot: Column, path: Column, phase: Column, why: Column) -> Column:
 
 
 def linked_actors(records: DataFrame, positions: DataFrame, keys: list[str]) -> DataFrame:
-    """Records (track_id, frame_id) with the ids of their actors: their own, else all
-    whose tracks are in their frame, sorted; and the types seen there, first seen first."""
+    """Records (track_id, frame_id and perhaps an array ``tracks``) with the ids of their
+    actors: their own, else all whose tracks are in their frame, sorted; and the types seen there, first seen first."""
     g = positions.groupBy(*keys, "frame_id").agg(F.array_sort(F.collect_set(F.col("track_id").cast("string"))).alias("_ids"), F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("ord", "type"))), lambda x: x["type"])).alias("_types"))
     d = records.join(g, [*keys, "frame_id"], "left")
     none = F.expr("CAST(array() AS array<string>)")
-    own = F.when(F.col("track_id").isNotNull(), F.array(F.col("track_id").cast("string")))
+    own = F.array(F.col("track_id").cast("string"))
+    if "tracks" in records.columns:
+        own = F.concat(own, F.coalesce(F.col("tracks").cast("array<string>"), none))
+    own = F.array_sort(F.array_distinct(F.filter(own, lambda t: t.isNotNull() & (t != ""))))
+    own = F.when(F.size(own) > 0, own)
     return d.withColumns({"linked_actor_ids": F.coalesce(own, "_ids", none), "visible_actor_candidates": F.coalesce(F.filter("_types", lambda t: t != ""), none)}).drop("_ids", "_types")

@@ -499,10 +499,10 @@ def movement_class(spark: SparkSession, d: str) -> DataFrame:
     return p.select("p_partkey", S.movement(F.col("x") - F.col("x0"), F.col("y") - F.col("y0")).alias("movement"))
 
 
-@query(f"WITH p AS (SELECT p_partkey, {PART} FROM part) SELECT p_partkey, greatest(0, x - greatest(8, CAST(round_even(40 * 0.35, 0) AS INTEGER))) AS x1, greatest(0, y - greatest(8, CAST(round_even(10 * 0.35, 0) AS INTEGER))) AS y1, least(640, x + 40 + greatest(8, CAST(round_even(40 * 0.35, 0) AS INTEGER))) AS x2, least(360, y + 10 + greatest(8, CAST(round_even(10 * 0.35, 0) AS INTEGER))) AS y2 FROM p")
+@query(f"WITH p AS (SELECT p_partkey, {PART} FROM part) SELECT p_partkey, greatest(0, x - pad) AS x1, greatest(0, y - pad) AS y1, least(640, x + w + pad) AS x2, least(360, y + 10 + pad) AS y2 FROM (SELECT *, 5 + p_partkey % 50 AS w, greatest(8, CAST(trunc(greatest(5 + p_partkey % 50, 10) * 0.35) AS BIGINT)) AS pad FROM p)")
 def padded_crop(spark: SparkSession, d: str) -> DataFrame:
     x, y = F.col("x"), F.col("y")
-    box = S.padded([x, y, x + 40, y + 10], F.lit(640).cast("bigint"), F.lit(360).cast("bigint"))
+    box = S.padded([x, y, x + 5 + F.col("p_partkey") % 50, y + 10], F.lit(640).cast("bigint"), F.lit(360).cast("bigint"))
     return _points(spark, d).select("p_partkey", *[c.alias(n) for c, n in zip(box, ("x1", "y1", "x2", "y2"), strict=True)])
 
 

@@ -6,7 +6,7 @@ from collections import defaultdict
 import duckdb
 import pytest
 
-from factlake.plans import catalogue, facts, frames, media, plans, records, rules  # noqa: F401
+from factlake.plans import catalogue, evidence, facts, frames, media, plans, records, rules  # noqa: F401
 
 from .conftest import DATA
 
