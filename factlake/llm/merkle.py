@@ -192,7 +192,8 @@ def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, source: str = "sou
         found = leaf([seen.get(f, F.col(f)) for f in fields])
         found = found if changed is None else F.when(changed, found)
     rows = docs.select(F.col(source).cast("string").alias("source"), F.col(key).alias("key"), leaf([F.col(f) for f in fields]).alias("node"), found.alias("seen"))
-    leaves, trees = placed(rows, folder)
+    # written first: the sort reads its rows twice, and texts are hashed once
+    leaves, trees = placed(common.written(rows, f"{folder}/digests"), folder)
     size = trees.agg(F.max("n").alias("most"), F.count("*").alias("trees")).first()
     rounds, roots = climb(leaves.select("tree", "at", "n", "node"), size["most"] or 0, f"{folder}/rows")
     subroots = roots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("at"), F.lit(size["trees"]).cast("long").alias("n"), "node")
