@@ -7,7 +7,8 @@ that decides, and a document counts as its most toxic window: an insult in a
 long text is not averaged away. Vectors and softmax are trained jointly in
 numpy on the driver, from a bounded sample of labelled rows: at most SAMPLE of
 each label, those whose ids hash lowest, and at most SAMPLE_BYTES of text of each
-(a longer text is left out of the sample). Training starts at each bucket's own
+(a text beyond ROW_BYTES is not learnt from and takes no room from others; it is
+scored whole like any). Training starts at each bucket's own
 evidence; what it adds is shown by a test that leaves it out. All documents are
 scored on the workers, whole, from one number for each n-gram bucket.
 
@@ -33,7 +34,7 @@ from . import common
 #: Parameters: the sample's bound for each label, hash buckets, dimensions,
 #: n-gram lengths in bytes, words in a window, and the training's course.
 SAMPLE, BUCKETS, DIMENSIONS, GRAMS, WINDOW = 2000, 1 << 16, 8, (3, 4, 5, 6), 3
-SAMPLE_BYTES = 32 << 20
+SAMPLE_BYTES, ROW_BYTES = 32 << 20, 1 << 20
 EPOCHS, RATE, DECAY, SEED = 30, 0.01, 1e-5, 7
 #: The start's scale, and the documents that count as half evidence.
 START, SHRINK = 6.0, 8.0
@@ -193,9 +194,10 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     chosen = F.broadcast(some[0].union(some[1]))  # 2 * sample rows at most
     found = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(chosen, "_key")
     # rows that repeat an id count once, by their least text
-    found = common.written(found.groupBy("_key", "_label").agg(F.min("_text").alias("_text"), F.min(F.octet_length("_text")).alias("_n")), f"{common.scratch(docs.sparkSession)}/labelled")
-    held = F.sum(F.coalesce("_n", F.lit(0))).over(Window.partitionBy("_label").orderBy(F.xxhash64("_key"), "_key"))
-    rows = found.withColumn("_held", held).where(F.col("_held") <= SAMPLE_BYTES).select("_text", "_label", "_key").collect()
+    found = common.written(found.groupBy("_key", "_label").agg(F.min("_text").alias("_text")).withColumn("_n", F.coalesce(F.octet_length("_text"), F.lit(0))), f"{common.scratch(docs.sparkSession)}/labelled")
+    # a text beyond ROW_BYTES is left out by itself, and takes no room from the others
+    held = F.sum("_n").over(Window.partitionBy("_label").orderBy(F.xxhash64("_key"), "_key"))
+    rows = found.where(F.col("_n") <= ROW_BYTES).withColumn("_held", held).where(F.col("_held") <= SAMPLE_BYTES).select("_text", "_label", "_key").collect()
     rows.sort(key=lambda r: (r[2], r[0] or ""))
     return train([(r[0] or "").encode() for r in rows], np.array([r[1] for r in rows], np.int64))
 

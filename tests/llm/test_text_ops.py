@@ -211,6 +211,19 @@ def test_toxicity_query(spark, odd):
     assert toxicity.score(odd, marked).count() == len(ODD) + 2 and toxicity.score(odd.limit(0), marked).count() == 0
 
 
+def test_long_texts_take_no_room_in_the_sample(spark, monkeypatch):
+    """One huge labelled text, wherever it hashes, leaves the others learnt from."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 8)))
+    texts = [" ".join([word() for _ in range(20)] + ["idiot"] * (i % 2)) for i in range(300)]
+    docs = spark.createDataFrame([(i, t * (400 if i < 6 else 1)) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "ROW_BYTES", 4000)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 40_000)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, labels).collect()}
+    assert np.mean([(got[i] >= 0.5) == bool(i % 2) for i in range(300)]) > 0.95
+
+
 def test_training_adds_to_its_start(monkeypatch):
     """The start alone against the trained model, on texts that weren't learnt from."""
     rng = random.Random(5)
@@ -473,3 +486,10 @@ def test_scores_of_odd_rows(odd):
     assert len(got) == len(ODD) + 2
     assert all(r["n_tokens"] == 1 for r in got if r["doc_id"] in (0, 1, 2)) and len({r["score"] for r in got if r["doc_id"] == 3}) == 1
     assert lm.score(odd.limit(0)).count() == 0
+
+
+def test_scores_where_held_out_texts_hold_known_words_only(spark):
+    """No word is left to look up beside the broadcast model, in any bucket."""
+    docs = spark.createDataFrame([(i, "the same few words again and again") for i in range(60)], "doc_id long, text string")
+    got = lm.score(docs).collect()
+    assert len(got) == 60 and all(r["n_known"] == r["n_tokens"] == 8 for r in got) and len({r["score"] for r in got}) == 1
