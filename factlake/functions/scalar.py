@@ -9,7 +9,8 @@ UNKNOWN = "확인불가"
 #: What overlay text looks like, after the replacements below.
 SPEED = r"(?i)(\d{1,3}(?:\.\d+)?)\s*(?:km/?h|kph)"
 MOMENT = r"(\d{4})[-./년\s]+(\d{1,2})[-./월\s]+(\d{1,2})일?\s+(\d{1,2}):(\d{2}):(\d{2})"
-GPS = r"(?i)(?:gps|위치)?\s*[:=]?\s*(?:lat)?\s*([NS])?\s*(-?\d{1,3}\.\d+)[,\s]+(?:lon|lng)?\s*([EW])?\s*(-?\d{1,3}\.\d+)"
+#: A direction isn't the last letter of the word before the position.
+GPS = r"(?i)(?:(?<!gp)[NS]\s*)?-?\d{1,3}\.\d+[,\s]+(?:lon|lng)?\s*[EW]?\s*-?\d{1,3}\.\d+"
 REPLACED = (("㎞", "km"), ("Ｋ", "K"), ("ｍ", "m"), ("／", "/"), ("|", " "))
 SIGN = r"(30|40|50|60|70|80|90|100|110)"
 
@@ -57,26 +58,24 @@ def overlay_text(text: Column) -> Column:
     """OCR text with wide and composed characters made plain, trimmed."""
     for a, b in REPLACED:
         text = F.replace(text, F.lit(a), F.lit(b))
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
 
 
 def overlay(text: Column) -> Column:
     """Struct of datetime (normalised, not validated), speed and position found in
-    overlay text. The text is searched once for each; groups are cut from the match."""
+    overlay text. The text is searched once for each; parts are cut from the match, and
+    what isn't found is null by itself: nothing is computed again in a branch."""
     text = overlay_text(text)
-
-    def groups(pattern: str, *at: int) -> tuple[Column, list[Column]]:
-        found = F.regexp_extract(text, pattern, 0)
-        return found != "", [F.regexp_extract(found, pattern, i) for i in at]
-
-    timed, (y, mo, d, h, mi, s) = groups(MOMENT, 1, 2, 3, 4, 5, 6)
-    moment = F.concat_ws(" ", F.concat_ws("-", y, F.lpad(mo, 2, "0"), F.lpad(d, 2, "0")), F.concat_ws(":", F.lpad(h, 2, "0"), mi, s))
-    fast, (speed,) = groups(SPEED, 1)
-    placed, (ns, lat, ew, lon) = groups(GPS, 1, 2, 3, 4)
-    lat, lon = lat.try_cast("double"), lon.try_cast("double")
-    lat, lon = F.when(F.upper(ns) == "S", -F.abs(lat)).otherwise(lat), F.when(F.upper(ew) == "W", -F.abs(lon)).otherwise(lon)
-    ok = placed & (F.abs(lat) <= 90) & (F.abs(lon) <= 180)
-    return F.struct(F.when(timed, moment).alias("moment"), F.when(fast, speed.try_cast("double")).alias("speed_kmh"), F.when(ok, lat).alias("lat"), F.when(ok, lon).alias("lon"))
+    timed, fast, placed = (F.regexp_extract(text, p, 0) for p in (MOMENT, SPEED, GPS))
+    all_of = lambda found, pattern: F.regexp_extract_all(found, F.lit(pattern), F.lit(0))
+    y, mo, d, h, mi, s = (F.get(all_of(timed, r"\d+"), F.lit(i)) for i in range(6))
+    two = lambda x: F.lpad(x, 2, "0")
+    moment = F.concat(y, F.lit("-"), two(mo), F.lit("-"), two(d), F.lit(" "), two(h), F.lit(":"), mi, F.lit(":"), s)
+    lat, lon = (F.get(all_of(placed, r"-?\d{1,3}\.\d+"), F.lit(i)).try_cast("double") for i in range(2))
+    lat = F.when(F.upper(F.left(placed, F.lit(1))) == "S", -F.abs(lat)).otherwise(lat)
+    lon = F.when(F.upper(F.regexp_extract(placed, r"(?i)([EW])\s*-?[\d.]+$", 1)) == "W", -F.abs(lon)).otherwise(lon)
+    ok = (F.abs(lat) <= 90) & (F.abs(lon) <= 180)
+    return F.struct(moment.alias("moment"), F.regexp_extract(fast, r"^[\d.]+", 0).try_cast("double").alias("speed_kmh"), F.when(ok, lat).alias("lat"), F.when(ok, lon).alias("lon"))
 
 
 #: Terms of legal judgement and what replaces them.
