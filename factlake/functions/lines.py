@@ -12,7 +12,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .motion import filtered, gaussian, sampled
+from .motion import filtered, gaussian, resized, sampled
 from .pixels import decoded, grey_of, hsv, shrunk
 
 #: Limits of weak and strong edges, the smoothing before, the share of a
@@ -153,6 +153,25 @@ def road_marks(image: np.ndarray) -> list[dict]:
     return found
 
 
+def lane_mask(output: np.ndarray, height: int, width: int) -> np.ndarray:
+    """A segmentation model's first plane at a frame's size, from a half on."""
+    plane = np.asarray(output, np.float64)
+    while plane.ndim > 2:
+        plane = plane[0]
+    return resized(plane, height, width) >= 0.5
+
+
+def mask_lanes(mask: np.ndarray) -> int:
+    """Lanes between the regions of a mask below the horizon that are 20 pixels large:
+    those nearer than 12 pixels to each other are one boundary."""
+    from .shapes import boxes
+
+    b = boxes(mask[int(mask.shape[0] * HORIZON) :])
+    wide, high = b[:, 2] - b[:, 0], b[:, 3] - b[:, 1]
+    middles = (b[:, 0] + wide / 2)[wide * high >= 20]
+    return max(1, len(clusters([float(int(x)) for x in middles], 12)) - 1)
+
+
 def homography(one: np.ndarray, two: np.ndarray) -> np.ndarray | None:
     """The 3 x 3 matrix, its last cell 1, that carries points of ``one`` into ``two``: exact
     for four, by least squares of centred and scaled points for more; null where they
