@@ -16,16 +16,16 @@ def in_window(points: DataFrame, windows: DataFrame, keys: list[str], position:
 
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, other: str, tie: str, reach: int | None = None) -> DataFrame:
     """For each left row the right row nearest in position, the earlier, then the
-    lesser ``tie``: the last at or before and the first after, by one sort of the
-    union, so that no pairs are formed."""
+    lesser ``tie``: the last at or before and the next one after, both by one sort of
+    the union, so that no pairs are formed."""
     names = right.columns
     l = left.withColumn("_l", F.struct(*left.columns)).select(*keys, F.col(at).alias("_p"), F.lit(1).alias("_side"), "_l", F.lit(None).cast(right.select(F.struct(*names).alias("r")).schema["r"].dataType).alias("_r"), F.lit(None).cast("bigint").alias("_t"))  # noqa: E741
     one = right.groupBy(*keys, F.col(other).alias("_o")).agg(F.min_by(F.struct(*names), tie).alias("_r"))
     r = one.select(*keys, F.col("_o").alias("_p"), F.lit(0).alias("_side"), F.lit(None).cast(l.schema["_l"].dataType).alias("_l"), "_r", F.lit(0).cast("bigint").alias("_t"))
     both = l.unionByName(r)
     back = Window.partitionBy(*keys).orderBy("_p", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*keys).orderBy(F.desc("_p"), F.desc("_side")).rowsBetween(Window.unboundedPreceding, 0)
-    d = both.withColumn("_b", F.last("_r", ignorenulls=True).over(back)).withColumn("_a", F.last("_r", ignorenulls=True).over(ahead)).where("_side = 1")
+    ahead = F.expr(f"lead(_r, 1) IGNORE NULLS OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys) or 'NULL'} ORDER BY _p, _side)")
+    d = both.withColumns({"_b": F.last("_r", ignorenulls=True).over(back), "_a": ahead}).where("_side = 1")
     behind, before = F.col("_p") - F.col(f"_b.{other}"), F.col(f"_a.{other}") - F.col("_p")
     use_back = F.col("_a").isNull() | (F.col("_b").isNotNull() & (behind <= before))
     d = d.withColumn("_m", F.when(use_back, F.col("_b")).otherwise(F.col("_a"))).withColumn("distance", F.abs(F.col("_p") - F.col(f"_m.{other}")))

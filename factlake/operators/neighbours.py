@@ -52,13 +52,20 @@ def jump_filter(df: DataFrame, keys: list[str], order: list[str], value: str, li
 def clusters(df: DataFrame, keys: list[str], value: str, tolerance: int) -> DataFrame:
     """One-dimensional clusters of whole numbers: a value starts a new one when
     it is over ``tolerance`` from the mean of the last."""
+    # equal values are in one cluster, and one over the tolerance from the value before is
+    # as far from any mean of those before: each such stretch is folded by itself
+    v = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("bigint").alias("_v")).agg(F.count("*").alias("_n"))
+    at = Window.partitionBy(*keys).orderBy("_v")
+    v = v.withColumn("_new", F.coalesce(F.col("_v") - F.lag("_v").over(at) > tolerance, F.lit(False)).cast("int"))
+    v = v.withColumn("_stretch", F.sum("_new").over(at.rowsBetween(Window.unboundedPreceding, 0)))
     start = F.expr("CAST(array() AS array<struct<s:bigint,n:bigint>>)")
 
     def fold(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        near = (F.size(acc) > 0) & (F.abs(last["s"] - x * last["n"]) <= tolerance * last["n"])
-        grown = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct((last["s"] + x).alias("s"), (last["n"] + 1).alias("n"))))
-        return F.when(F.size(acc) == 0, F.array(F.struct(x.alias("s"), F.lit(1).cast("bigint").alias("n")))).when(near, grown).otherwise(F.concat(acc, F.array(F.struct(x.alias("s"), F.lit(1).cast("bigint").alias("n")))))
-
-    g = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.col(value).cast("bigint"))).alias("_v")).select(*keys, F.aggregate("_v", start, fold).alias("_c"))
-    return g.select(*keys, F.posexplode("_c").alias("cluster", "_x")).select(*keys, F.col("cluster").cast("bigint").alias("cluster"), F.col("_x.s").alias("total"), F.col("_x.n").alias("n"))
+        last, one = F.element_at(acc, -1), F.struct((x["_v"] * x["_n"]).alias("s"), x["_n"].alias("n"))
+        grown = F.struct((last["s"] + one["s"]).alias("s"), (last["n"] + one["n"]).alias("n"))
+        near = F.abs(last["s"] - x["_v"] * last["n"]) <= tolerance * last["n"]
+        return F.when(F.size(acc) == 0, F.array(one)).when(near, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(grown))).otherwise(F.concat(acc, F.array(one)))
+
+    g = v.groupBy(*keys, "_stretch").agg(F.array_sort(F.collect_list(F.struct("_v", "_n"))).alias("_l")).select(*keys, "_stretch", F.posexplode(F.aggregate("_l", start, fold)).alias("_i", "_x"))
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("_stretch", "_i")) - 1
+    return g.select(*keys, number.cast("bigint").alias("cluster"), F.col("_x.s").alias("total"), F.col("_x.n").alias("n"))

@@ -11,14 +11,21 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, name: str
 
 
 def suppress(df: DataFrame, keys: list[str], score: str, position: str, order: str, gap: int, k: int) -> DataFrame:
-    """Greedy suppression: best score first, skip what lies nearer than ``gap``
-    to a chosen position, stop at ``k``. (keys, position, score, order)"""
+    """Greedy suppression: best score first, skip what lies nearer than ``gap`` to a
+    chosen position, stop at ``k``. (keys, position, score, order) Rows that are ``gap``
+    or more from all others before them in position don't touch these, so the fold runs
+    over each such stretch, and the best ``k`` of a key's stretches are what one greedy
+    pass would choose. One shuffle, by the keys."""
+    at = Window.partitionBy(*keys).orderBy(position)
+    apart = F.coalesce(F.col(position) - F.lag(position).over(at) >= gap, F.lit(False)).cast("int")
+    d = df.select(*keys, position, score, order).withColumn("_new", apart)
+    d = d.withColumn("_stretch", F.sum("_new").over(at.rowsBetween(Window.unboundedPreceding, 0)))
     item = F.struct((-F.col(score)).alias("s"), F.col(order).alias("o"), F.col(position).alias("p"))
-    sorted_ = F.array_sort(F.collect_list(item))
     kind = df.select(item.alias("i")).schema["i"].dataType.simpleString()
     keep = F.aggregate(F.col("_c"), F.expr(f"CAST(array() AS array<{kind}>)"), lambda acc, x: F.when((F.size(acc) < k) & ~F.exists(acc, lambda y: F.abs(y["p"] - x["p"]) < gap), F.concat(acc, F.array(x))).otherwise(acc))
-    out = df.groupBy(*keys).agg(sorted_.alias("_c")).select(*keys, F.explode(keep).alias("_x"))
-    return out.select(*keys, F.col("_x.o").alias(order), F.col("_x.p").alias(position), (-F.col("_x.s")).alias(score))
+    out = d.groupBy(*keys, "_stretch").agg(F.array_sort(F.collect_list(item)).alias("_c")).select(*keys, F.explode(keep).alias("_x"))
+    out = out.select(*keys, F.col("_x.o").alias(order), F.col("_x.p").alias(position), (-F.col("_x.s")).alias(score))
+    return top_k(out, keys, [-F.col(score), F.col(order), F.col(position)], k, "_rank").drop("_rank")
 
 
 def capped(df: DataFrame, keys: list[str], purpose: str, order: list[Column], caps: dict[str, int], total: int) -> DataFrame:
@@ -50,8 +57,13 @@ def even_sample(df: DataFrame, keys: list[str], order: list[Column], n: int) ->
     return d.where((F.col("_last") < n) | hit).drop("_i", "_last")
 
 
+def plan_frames(duration: Column, fps: Column, interval: float) -> Column:
+    """Frames every ``interval`` seconds, rounded half-even, within the clip, ascending."""
+    steps = F.sequence(F.lit(0), F.floor(duration / interval + 1e-9).cast("int"))
+    frames = F.array_distinct(F.transform(steps, lambda s: F.rint(s * interval * fps).cast("bigint")))
+    return F.filter(frames, lambda x: x <= F.floor(duration * fps + 1e-9))
+
+
 def sampling_plan(df: DataFrame, duration: str, fps: str, interval: float) -> DataFrame:
-    """Frames every ``interval`` seconds, rounded half-even, within the clip."""
-    steps = F.sequence(F.lit(0), F.floor(F.col(duration) / interval + 1e-9).cast("int"))
-    frames = F.array_distinct(F.transform(steps, lambda s: F.rint(s * interval * F.col(fps)).cast("bigint")))
-    return df.select("*", F.explode(F.filter(frames, lambda x: x <= F.floor(F.col(duration) * F.col(fps) + 1e-9))).alias("frame_index"))
+    """A row for each frame of ``plan_frames``."""
+    return df.select("*", F.explode(plan_frames(F.col(duration), F.col(fps), interval)).alias("frame_index"))
