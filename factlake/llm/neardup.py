@@ -12,14 +12,23 @@ Each of a list's salted parts elects a member, and those elect one of them, by
 an order that differs between lists; members are compared with the elected, by
 the union sketch and then on full sets. The links of this round join most of
 what belongs together. Then every list whose members are not yet in one component
-is resolved: its members meet in blocks, and all pairs of different components
-are compared, each pair in the least list that it shares, first by bitmaps of the
-sketches, then by the union sketch. Members that have a partner left meet once
-more, with their full sets, and all their pairs are verified inside the block:
-only links that join components leave it, at most one fewer than its members. So
-a pair that shares a list is left unverified only where it is connected anyway
-or its union sketch is five standard deviations below the threshold, and what is
-shuffled grows with the members of lists, not with their pairs.
+is resolved. The members of a list of up to BLOCK rows meet, and all pairs of
+different components are compared, each pair in the least list that it shares,
+first by bitmaps of the sketches, then by the union sketch. A longer list comes
+from what many texts share, such as a header: its members stand instead in a list
+for each of their rarest sketch values, so many that any two that may reach the
+threshold share one (prefix filtering: of two sketches that have half their values
+in common, one common value is among the rarest half and one of either). What all
+texts share is never among the rarest as long as it is less than about half of a
+text, so these lists are short and hold texts that share more than that; those
+that are long nevertheless are dealt to blocks, each pair of which meets. Members
+that have a partner left meet once more, with their full sets, and all their pairs
+are verified inside the block: only links that join components leave it, at most
+one fewer than its members. So a pair that shares a list is left unverified only
+where it is connected anyway or its union sketch is five standard deviations below
+the threshold. What is shuffled grows with the members of lists, not with their
+pairs; only rare-value lists of over BLOCK texts, whose sketches coincide by half
+and more without a link, grow with their square.
 
 Defined cases: a text without words (null, empty, white space) has an empty
 set and is linked with nothing; with fewer words than a shingle, the sequence
@@ -38,6 +47,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +64,11 @@ ESTIMATE = 0.5
 BLOCK, BITMAP, PAIRS = 1024, 1024, 1 << 16
 #: Rows of wider tables that are handled at a time; bounds a worker's memory.
 CHUNK = 4096
+#: Counters of how often sketch values occur, by which the rarest are told; and the
+#: most lists of one kind that a sketch stands in.
+COUNTERS = 1 << 20
+LISTS = max(INDEXED, SKETCH - int(SKETCH * ESTIMATE) + 1)
+NO_LIST = np.iinfo(np.int64).max
 #: Bytes of full sets that meet as a block, and shared values handled at a time.
 BLOCK_BYTES, COLUMNS = 8 << 20, 2048
 #: Numbers from here on stand for classes without an id of their own.
@@ -104,6 +119,50 @@ def list_keys(values: np.ndarray) -> np.ndarray:
     return common.mix(v[:-1] * np.uint64(3) + v[1:]).view(np.int64)
 
 
+def pair_lists(values: np.ndarray) -> np.ndarray:
+    """``list_keys`` of padded sketches, a row each; NO_LIST fills up."""
+    out = np.full((len(values), LISTS), NO_LIST)
+    for row, v in zip(out, values, strict=True):
+        own = list_keys(v[v != FILL])
+        row[: len(own)] = own
+    return out
+
+
+def rare_lists(values: np.ndarray, n: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
+    """The lists of the rarest values of padded sketches of sets of ``n`` values, a
+    row each. Two that have ESTIMATE of their union sketch in common share one: of
+    their common values the rarest is behind at most len - ESTIMATE * len others.
+    Sets whose linked partners fit a sketch too have ``percent`` in common."""
+    held = np.minimum(n, SKETCH)
+    least = np.where(n * 100 <= SKETCH * percent, -(-held * percent // 100), np.ceil(held * ESTIMATE).astype(np.int64))
+    rank = levels[(values % np.uint64(COUNTERS)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | common.mix(values) >> np.uint64(8)
+    rank[values == FILL] = FILL
+    first = np.take_along_axis(values, np.argsort(rank, axis=1, kind="stable")[:, :LISTS], 1)
+    out = common.mix(first ^ np.uint64(0x5851F42D4C957F2D)).view(np.int64)
+    out[np.arange(first.shape[1]) >= (held - least + 1)[:, None]] = NO_LIST
+    return out
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(slot, n): how many sketch values fall to each of COUNTERS counters."""
+    n = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        for x in batch.column(0).to_pylist():
+            n[np.frombuffer(x, np.uint64) % np.uint64(COUNTERS)] += 1  # a sketch rarely meets a counter twice
+    slot = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array(n[slot], pa.int64())], ["slot", "n"])
+
+
+def _rare(batches: Iterator[pa.RecordBatch], levels: Broadcast, percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (id, n, sketch, label) with their ``rare_lists``."""
+    common.working("neardup")
+    for batch in batches:
+        for at in range(0, len(batch), CHUNK):
+            part = batch.slice(at, CHUNK)
+            lists = rare_lists(padded(part.column(2).to_pylist()), part.column(1).to_numpy(), levels.value, percent)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array([x[x != NO_LIST] for x in lists], pa.list_(pa.int64()))], ["id", "n", "sketch", "label", "keys"])
+
+
 def _sketches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     common.working("neardup")
     for batch in batches:
@@ -255,18 +314,16 @@ def edges_of(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], change, [True])))
 
 
-def _cross(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _cross(batches: Iterator[pa.RecordBatch], percent: int, levels: Broadcast | None) -> Iterator[pa.RecordBatch]:
     """(key, id) of members that may link with one of another component there,
-    from rows (key, i, j, block, id, label, n, sketch) in order of key, i and j."""
+    from rows (key, i, j, block, id, label, n, sketch) in order of key, i and j. The
+    lists are those of the rarest values if ``levels`` are given."""
     common.working("neardup")
     for rows in runs(batches, ("key", "i", "j")):
         key, i, j, block, ids, label, n = (rows[c].to_numpy() for c in ("key", "i", "j", "block", "id", "label", "n"))
         values = padded(rows["sketch"].to_pylist())
         bits = bitmaps(values)
-        lists = np.full((len(values), INDEXED), np.iinfo(np.int64).max)
-        for row, v in enumerate(values):
-            own = list_keys(v[v != FILL])
-            lists[row, : len(own)] = own
+        lists = rare_lists(values, n, levels.value, percent) if levels else pair_lists(values)
         found = np.zeros(len(ids), bool)
         left, right, held = [], [], 0
 
@@ -419,19 +476,50 @@ class Search:
         found = both.select("a", "b", "n_a", "n_b", inter("members_a", "members_b").alias("inter")).withColumn("total", F.col("n_a") + F.col("n_b") - F.col("inter"))
         return common.written(found.where(F.col("inter") * 100 >= F.col("total") * self.percent).select("a", "b").distinct(), f"{self.folder}/links")
 
+    def mixed(self, labelled: DataFrame, name: str) -> DataFrame:
+        """(key, rows): lists whose members are not in one component."""
+        size = labelled.select(F.explode("keys").alias("key"), "label").groupBy("key").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
+        return common.written(size.where("low <> high").select("key", "rows"), f"{self.folder}/{name}")
+
+    def dealt(self, labelled: DataFrame, mixed: DataFrame) -> DataFrame:
+        """The members of some lists, dealt to blocks of which any two meet."""
+        probe = idsets.maybe_in(mixed.select("key"), "key")
+        rows = labelled.select(F.explode("keys").alias("key"), "id", "label", "n", "sketch")
+        rows = probe(rows, F.xxhash64("key")).where("_may").join(mixed.select("key", F.ceil(F.col("rows") / BLOCK).alias("blocks")), "key")
+        return in_blocks(rows).select("key", "i", "j", "block", "id", "label", "n", "sketch")
+
+    def met(self, rows: DataFrame, levels: Broadcast | None = None) -> DataFrame:
+        """(key, id): members that may link with one of another component where they meet."""
+        percent = self.percent
+        rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        return rows.mapInArrow(lambda it: _cross(it, percent, levels), "key long, id long").distinct()
+
+    def by_rarest(self, labelled: DataFrame, long: DataFrame) -> tuple[DataFrame, Broadcast]:
+        """Members of ``long`` lists (and by the bitmaps' chance few others) with the
+        lists of their rarest values, and the levels of how frequent values are."""
+        percent, spark = self.percent, labelled.sparkSession
+        entries = labelled.select("id", F.explode("keys").alias("key"))
+        ids = idsets.maybe_in(long.select("key"), "key")(entries, F.xxhash64("key")).where("_may").select("id")
+        members = idsets.maybe_in(ids)(labelled, F.xxhash64("id")).where("_may").select("id", "n", "sketch", "label")
+        counts = members.select("sketch").mapInArrow(_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+        counts = counts.toArrow()  # at most COUNTERS rows
+        n = np.zeros(COUNTERS, np.int64)
+        n[counts["slot"].to_numpy()] = counts["n"].to_numpy()
+        levels = spark.sparkContext.broadcast(np.frexp(n.astype(np.float64))[1].astype(np.uint8))
+        rare = members.mapInArrow(lambda it: _rare(it, levels, percent), "id long, n long, sketch binary, label long, keys array<long>")
+        return common.written(rare, f"{self.folder}/rare"), levels
+
     def unresolved(self, labels: DataFrame) -> DataFrame:
         """(key, id, label): members of lists that may link with one of another
         component there, each pair in one of the lists that it shares."""
-        keys, percent = F.arrow_udf(_keys, "array<bigint>"), self.percent
+        keys = F.arrow_udf(_keys, "array<bigint>")
         labelled = self.sketches.join(labels.withColumnRenamed("node", "id"), "id", "left").select("id", "n", "sketch", F.coalesce("label", "id").alias("label"))
         labelled = common.written(labelled.select("*", keys("sketch").alias("keys")), f"{self.folder}/labelled")
-        size = labelled.select(F.explode("keys").alias("key"), "label").groupBy("key").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
-        mixed = common.written(size.where("low <> high").select("key", F.ceil(F.col("rows") / BLOCK).alias("blocks")), f"{self.folder}/mixed")
-        probe = idsets.maybe_in(mixed.select("key"), "key")
-        rows = labelled.select(F.explode("keys").alias("key"), "id", "label", "n", "sketch")
-        rows = probe(rows, F.xxhash64("key")).where("_may").join(mixed, "key")
-        rows = in_blocks(rows).select("key", "i", "j", "block", "id", "label", "n", "sketch").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        found = rows.mapInArrow(lambda it: _cross(it, percent), "key long, id long").distinct()
+        mixed = self.mixed(labelled, "mixed")
+        found, long = self.met(self.dealt(labelled, mixed.where(F.col("rows") <= BLOCK))), mixed.where(F.col("rows") > BLOCK)
+        if not long.isEmpty():
+            rare, levels = self.by_rarest(labelled, long)
+            found = found.union(self.met(self.dealt(rare, self.mixed(rare, "mixed2")), levels))
         return common.written(found.join(labelled.select("id", "label", "n"), "id"), f"{self.folder}/unresolved")
 
     def joined(self, rest: DataFrame) -> DataFrame:
@@ -450,7 +538,7 @@ class Search:
         self.drop("pairs", "near", "ids1", "wanted1", "full1")
         labels = idsets.components(links, f"{self.folder}/c1")
         rest = self.unresolved(labels)
-        self.drop("labelled", "mixed", "sketches")
+        self.drop("labelled", "mixed", "rare", "mixed2", "sketches")
         joined = self.joined(rest)
         self.drop("unresolved", "ids2", "wanted2", "full2")
         more = idsets.components(joined, f"{self.folder}/c2")

@@ -233,6 +233,62 @@ def test_near_duplicates_of_a_family_of_families(spark):
     assert found == brute_components(rows, 2, 80) and len({c for _, c, _ in found.values()}) == 14
 
 
+def with_header(rng, n, own=80, shared=40):
+    """Texts of own words around words that all share; no two are near-duplicates."""
+    header = " ".join(f"h{i}" for i in range(shared))
+    return [" ".join(f"u{rng.randrange(10**9)}" for _ in range(own // 2)) + f" {header} " + " ".join(f"u{rng.randrange(10**9)}" for _ in range(own // 2)) for _ in range(n)]
+
+
+def test_rows_dealt_grow_with_documents_that_share_a_header(spark, monkeypatch):
+    dealt, met = [], neardup.Search.met
+
+    def counted(self, rows, levels=None):
+        dealt[-1] += rows.count()
+        return met(self, rows, levels)
+
+    monkeypatch.setattr(neardup.Search, "met", counted)
+    for n in (3000, 6000):
+        dealt.append(0)
+        rows = list(enumerate(with_header(random.Random(n), n)))
+        got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), words=2)
+        assert got.where("kept").count() == n
+    assert dealt[1] <= 2.3 * max(dealt[0], 3000), dealt
+
+
+def test_long_lists_are_met_by_rarest_values(spark, monkeypatch):
+    """Lists count as long from 17 members on: links among texts with one header
+    are those of brute force."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    rng = random.Random(11)
+    texts = with_header(rng, 150)
+    texts += [t for base in texts[:20] for t in near_family(rng, base, 6, 9)]
+    texts += with_header(rng, 60, 40, 80) + [t for base in with_header(rng, 4, 30, 30) for t in near_family(rng, base, 10, 5)]
+    texts += [" ".join(f"h{i}" for i in range(k, k + m)) for k in range(0, 20, 2) for m in (6, 20, 33)]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    for words in (2, 5):
+        got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=words)
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got.collect()} == brute_components(rows, words, 80)
+
+
+def test_linked_sets_share_a_list_of_rarest_values():
+    rng = np.random.default_rng(9)
+    levels = rng.integers(0, 9, neardup.COUNTERS).astype(np.uint8)
+    for n in (4, 5, 17, 50, 51, 52, 64, 65, 80, 300):
+        base = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        sets = [base] + [np.unique(np.concatenate((rng.permutation(base)[: -k or None], rng.integers(0, 2**63, k + extra).astype(np.uint64)))) for k in (0, n // 10, n // 5) for extra in (0, n // 9, n // 4) for _ in range(4)]
+        rows, sizes = neardup.padded([s[: neardup.SKETCH].tobytes() for s in sets]), np.array([len(s) for s in sets])
+        lists = neardup.rare_lists(rows, sizes, levels, 80)
+        near = 0
+        for i, j in ((i, j) for i in range(len(sets)) for j in range(i)):
+            shared = len(np.intersect1d(sets[i], sets[j]))
+            linked = 100 * shared >= 80 * (sizes[i] + sizes[j] - shared)
+            if linked and neardup.union_estimate(sets[i][: neardup.SKETCH], sets[j][: neardup.SKETCH]) >= neardup.ESTIMATE:
+                near += 1
+                assert len(set(lists[i].tolist()) & set(lists[j].tolist()) - {neardup.NO_LIST})
+        assert near
+
+
 def test_in_block_verification_equals_sets():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 400, rng.integers(4, 300)).astype(np.uint64)) for _ in range(40)] + [np.arange(5000, dtype=np.uint64), np.arange(2500, 7500, dtype=np.uint64)]
