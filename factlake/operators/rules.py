@@ -1,8 +1,8 @@
 """Event candidates from tracks, pairs of tracks and clip measures: one DataFrame for
-each rule, all with the same columns, and their union with scores.
+the rules over each kind of row, all with the same columns, and their union with scores.
 
 Positions come as (video_id, track_id, type, ord, t, frame_id, x1, y1, x2, y2), ``ord``
-in order of tracks, then of positions. Each rule is a window or a join by video; events
+in order of tracks, then of positions. Rules are windows or joins by video; events
 carry ``rule`` (the rules' order), the measure that fired, and how many measures
 support it.
 """
@@ -25,14 +25,26 @@ BOX = ("x1", "y1", "x2", "y2")
 STATE = "post_event_state_candidate"
 
 
-def _event(df: DataFrame, rule: int, event_type: str, time: Column, actors: list[Column], confidence: Column, signals: Column | list[str], supporting: Column | int, evidence: Column, measure: Column, candidate_class: str | None = None) -> DataFrame:
+def _of(rule: int, event_type: str, time: Column, actors: list[Column], confidence: Column, signals: Column | list[str], supporting: Column | int, evidence: Column, measure: Column, candidate_class: str | None = None) -> list[Column]:
     signals = F.array(*[F.lit(s) for s in signals]) if isinstance(signals, list) else signals
     supporting = F.lit(supporting) if isinstance(supporting, int) else supporting
     ids = F.array(*[a.cast("string") for a in actors]) if actors else F.expr("CAST(array() AS array<string>)")
-    return df.select(
-        "video_id", F.lit(rule).alias("rule"), time.cast("double").alias("t"), F.lit(event_type).alias("event_type"), F.lit(candidate_class).cast("string").alias("candidate_class"), ids.alias("actors"), confidence.alias("confidence"),
+    return [
+        F.lit(rule).alias("rule"), time.cast("double").alias("t"), F.lit(event_type).alias("event_type"), F.lit(candidate_class).cast("string").alias("candidate_class"), ids.alias("actors"), confidence.alias("confidence"),
         signals.alias("signals"), supporting.cast("int").alias("supporting"), evidence.alias("evidence"), measure.cast("double").alias("measure"),
-    )
+    ]
+
+
+def _event(df: DataFrame, *of) -> DataFrame:
+    """An event of one rule for each row."""
+    return df.select("video_id", *_of(*of))
+
+
+def _fired(df: DataFrame, rules: list[tuple[Column, tuple]]) -> DataFrame:
+    """The events of several rules over the same rows, in one pass. The outer form of
+    explode, as the plain one infers a filter that evaluates all rules once more."""
+    found = F.array_compact(F.array(*[F.when(hit, F.struct(*_of(*of))) for hit, of in rules]))
+    return df.select("video_id", F.explode_outer(found).alias("_e")).where("_e IS NOT NULL").select("video_id", "_e.*")
 
 
 def _class(strong: Column) -> Column:
@@ -43,47 +55,37 @@ def area(box: list[Column]) -> Column:
     return F.greatest(F.lit(0), box[2] - box[0]) * F.greatest(F.lit(0), box[3] - box[1])
 
 
-def track_events(positions: DataFrame) -> list[DataFrame]:
-    """Growth of a track's box, over the track and from step to step, and falls."""
-    box = [F.col(c) for c in BOX]
-    d = positions.withColumns({"area": area(box), "ratio": F.greatest(F.lit(0), box[3] - box[1]) / F.greatest(F.lit(1), box[2] - box[0])})
-    w = Window.partitionBy("video_id", "track_id").orderBy("ord")
-    steps = d.withColumns({"before": F.lag("area").over(w), "frame_before": F.lag("frame_id").over(w)}).where((F.col("before") > 0) & (F.col("area") >= F.col("before") * 1.8))
-    ends = d.groupBy("video_id", "track_id").agg(F.count("*").alias("n"), F.first("type").alias("type"), *[f(F.struct("area", "ratio", "t", "frame_id"), "ord").alias(n) for f, n in ((F.min_by, "a"), (F.max_by, "b"))])
-    both = F.array("a.frame_id", "b.frame_id")
-    grown = ends.where((F.col("n") >= 2) & (F.col("a.area") > 0) & (F.col("b.area") >= F.col("a.area") * 2.5))
-    fallen = ends.where((F.col("n") >= 3) & F.lower("type").isin(*VULNERABLE) & (F.col("a.ratio") > 0) & (F.col("b.ratio") < F.col("a.ratio") * 0.65))
-    actor = [F.col("track_id")]
-    return [
-        _event(grown, 2, "급접근", F.col("b.t"), actor, _class(F.col("b.area") >= F.col("a.area") * 4), ["bbox_area_increase"], 3, both, F.col("b.area") / F.col("a.area")),
-        _event(steps, 3, "급접근후보", F.col("t"), actor, _class(F.col("area") >= F.col("before") * 2.8), ["bbox_area_frame_to_frame_increase"], 3, F.array("frame_before", "frame_id"), F.col("area") / F.col("before")),
-        _event(fallen, 6, "낙상후보", F.col("b.t"), actor, _class(F.col("b.ratio") <= F.col("a.ratio") * 0.45), ["bbox_aspect_ratio_change"], 3, both, F.col("a.ratio") - F.col("b.ratio"), STATE),
-    ]
-
-
-def motion_samples(positions: DataFrame) -> DataFrame:
-    """Speed and angle between a track's neighbouring moments; of equal moments none.
-    Tracks of three positions or more."""
-    w = Window.partitionBy("video_id", "track_id")
-    d = positions.withColumns({"cx": (F.col("x1") + F.col("x2")) / 2, "cy": (F.col("y1") + F.col("y2")) / 2, "n": F.count("*").over(w)})
-    o = w.orderBy("t", "ord")
-    d = d.withColumns({f"{c}0": F.lag(c).over(o) for c in ("cx", "cy", "t")}).where((F.col("n") >= 3) & (F.col("t") > F.col("t0")))
+def track_events(positions: DataFrame) -> DataFrame:
+    """What single tracks show, each dealt once: growth of the box over the track and
+    from step to step, falls, sudden stops and changes of direction.
+
+    Motion is measured between neighbouring moments of tracks of three positions or more
+    (of equal moments none is) and compared with the measured moment before."""
+    box, track = [F.col(c) for c in BOX], Window.partitionBy("video_id", "track_id")
+    o, m = track.orderBy("ord"), track.orderBy("t", "ord")
+    d = positions.withColumns({
+        "area": area(box), "ratio": F.greatest(F.lit(0), box[3] - box[1]) / F.greatest(F.lit(1), box[2] - box[0]),
+        "cx": (F.col("x1") + F.col("x2")) / 2, "cy": (F.col("y1") + F.col("y2")) / 2,
+    })
+    d = d.withColumns({
+        "n": F.count("*").over(track), "last": F.lead("ord").over(o).isNull(), "a": F.first(F.struct("area", "ratio", "frame_id", "type")).over(o),
+        "area0": F.lag("area").over(o), "frame0": F.lag("frame_id").over(o), **{f"{c}0": F.lag(c).over(m) for c in ("cx", "cy", "t")},
+    })
     dx, dy = F.col("cx") - F.col("cx0"), F.col("cy") - F.col("cy0")
-    return d.select("video_id", "track_id", "ord", "t", "frame_id", (F.sqrt(dx * dx + dy * dy) / (F.col("t") - F.col("t0"))).alias("speed"), angle(dx, dy).alias("angle"))
-
-
-def motion_events(positions: DataFrame) -> list[DataFrame]:
-    """Sudden stops and changes of direction between neighbouring samples."""
-    o = Window.partitionBy("video_id", "track_id").orderBy("t", "ord")
-    m = motion_samples(positions)
-    m = m.withColumns({f"{c}_before": F.lag(c).over(o) for c in ("speed", "angle", "frame_id")}).where("speed_before IS NOT NULL").withColumn("turn", angle_delta(F.col("angle_before"), F.col("angle")))
-    before, seen = F.col("speed_before"), F.array("frame_id_before", "frame_id")
-    stops = m.where((before >= 20) & (F.col("speed") <= before * 0.35))
-    turns = m.where((F.col("turn") >= 60) & (before >= 10) & (F.col("speed") >= 10))
-    return [
-        _event(stops, 4, "사고후정지후보", F.col("t"), [F.col("track_id")], _class(before >= 35), ["object_speed_change"], 3, seen, F.col("speed") - before, STATE),
-        _event(turns, 5, "방향변화후보", F.col("t"), [F.col("track_id")], _class(F.col("turn") >= 90), ["object_direction_change"], 3, seen, F.col("turn"), STATE),
-    ]
+    d = d.withColumn("now", F.when((F.col("n") >= 3) & (F.col("t") > F.col("t0")), F.struct((F.sqrt(dx * dx + dy * dy) / (F.col("t") - F.col("t0"))).alias("speed"), angle(dx, dy).alias("angle"), "frame_id")))
+    d = d.withColumn("old", F.last("now", ignorenulls=True).over(m.rowsBetween(Window.unboundedPreceding, -1))).withColumn("turn", angle_delta(F.col("old.angle"), F.col("now.angle")))
+    whole, moved, actor = F.array("a.frame_id", "frame_id"), F.array("old.frame_id", "frame_id"), [F.col("track_id")]
+    size, size0, start, ratio, ratio0 = (F.col(c) for c in ("area", "area0", "a.area", "ratio", "a.ratio"))
+    t, speed, speed0, turn = (F.col(c) for c in ("t", "now.speed", "old.speed", "turn"))
+    grown = F.col("last") & (F.col("n") >= 2) & (start > 0) & (size >= start * 2.5)
+    fallen = F.col("last") & (F.col("n") >= 3) & F.lower("a.type").isin(*VULNERABLE) & (ratio0 > 0) & (ratio < ratio0 * 0.65)
+    return _fired(d, [
+        (grown, (2, "급접근", t, actor, _class(size >= start * 4), ["bbox_area_increase"], 3, whole, size / start)),
+        ((size0 > 0) & (size >= size0 * 1.8), (3, "급접근후보", t, actor, _class(size >= size0 * 2.8), ["bbox_area_frame_to_frame_increase"], 3, F.array("frame0", "frame_id"), size / size0)),
+        ((speed0 >= 20) & (speed <= speed0 * 0.35), (4, "사고후정지후보", t, actor, _class(speed0 >= 35), ["object_speed_change"], 3, moved, speed - speed0, STATE)),
+        ((turn >= 60) & (speed0 >= 10) & (speed >= 10), (5, "방향변화후보", t, actor, _class(turn >= 90), ["object_direction_change"], 3, moved, turn, STATE)),
+        (fallen, (6, "낙상후보", t, actor, _class(ratio <= ratio0 * 0.45), ["bbox_aspect_ratio_change"], 3, whole, ratio0 - ratio, STATE)),
+    ])
 
 
 def lateral_events(tracks: DataFrame, positions: DataFrame) -> DataFrame:
@@ -121,11 +123,11 @@ def speed_drop(speeds: DataFrame) -> DataFrame:
     return _event(d.where("n >= 2 AND drop >= 20"), 8, "급감속", F.col("b.t"), [F.lit("ego_vehicle")], _class(F.col("drop") >= 30), ["speed_drop"], 3, F.concat("a.evidence", "b.evidence"), F.col("drop"))
 
 
-def approaches(motion: DataFrame) -> list[DataFrame]:
+def approaches(motion: DataFrame) -> DataFrame:
     """Two events for each relative motion (video_id, actor_id, trend, confidence, t) that approaches."""
-    d = motion.where("trend = '접근'")
-    none = F.expr("CAST(array() AS array<string>)")
-    return [_event(d, 9 + i, kind, F.col("t"), [F.col("actor_id")], F.coalesce("confidence", F.lit("low")), ["relative_motion"], 1, none, F.lit(None), cls) for i, (kind, cls) in enumerate((("접근", None), ("비접촉후보", "non_contact_candidate")))]
+    near, none = F.col("trend") == "접근", F.expr("CAST(array() AS array<string>)")
+    kinds = (("접근", None), ("비접촉후보", "non_contact_candidate"))
+    return _fired(motion, [(near, (9 + i, kind, F.col("t"), [F.col("actor_id")], F.coalesce("confidence", F.lit("low")), ["relative_motion"], 1, none, F.lit(None), cls)) for i, (kind, cls) in enumerate(kinds)])
 
 
 def shake_events(shakes: DataFrame) -> DataFrame:
@@ -140,10 +142,10 @@ def flow_events(scans: DataFrame) -> DataFrame:
 
 def event_candidates(positions: DataFrame, tracks: DataFrame | None = None, speeds: DataFrame | None = None, motion: DataFrame | None = None, shakes: DataFrame | None = None, scans: DataFrame | None = None) -> DataFrame:
     """All rules' events with their scores; a video's best first by ``rank``."""
-    found = [*track_events(positions), *motion_events(positions), contact_events(positions, shakes)]
+    found = [track_events(positions), contact_events(positions, shakes)]
     found += [lateral_events(tracks, positions)] if tracks is not None else []
     found += [speed_drop(speeds)] if speeds is not None else []
-    found += approaches(motion) if motion is not None else []
+    found += [approaches(motion)] if motion is not None else []
     found += [shake_events(shakes)] if shakes is not None else []
     found += [flow_events(scans)] if scans is not None else []
     e = reduce(DataFrame.unionByName, found)

@@ -15,6 +15,20 @@ def merge_by_key(plans: list[DataFrame], keys: list[str], purpose: str) -> DataF
     return all_.groupBy(*keys).agg(found.alias("_p")).select(*keys, F.array_join(F.array_distinct(F.transform("_p", lambda x: x[purpose])), "+").alias(purpose))
 
 
+def merged_in_row(plans: list[tuple[Column, str]]) -> Column:
+    """Plans of one row (an array of frames and the plan's purpose) as a map from frame to
+    its purposes joined by '+', in plan order, once each: no shuffle. Null frames and
+    null arrays add nothing."""
+    none = F.expr("CAST(array() AS array<string>)")
+
+    def one(frames: Column, purpose: str) -> Column:
+        keys = F.array_distinct(F.filter(F.coalesce(frames, F.expr("CAST(array() AS array<bigint>)")), lambda f: f.isNotNull()))
+        return F.map_from_arrays(keys, F.transform(keys, lambda f: F.array(F.lit(purpose))))
+
+    both = reduce(lambda a, b: F.map_zip_with(a, b, lambda k, x, y: F.array_distinct(F.concat(F.coalesce(x, none), F.coalesce(y, none)))), [one(*p) for p in plans])
+    return F.transform_values(both, lambda k, v: F.array_join(v, "+"))
+
+
 def first_section(sections: list[DataFrame], key: str) -> DataFrame:
     """Union; a key found in several sections keeps the first section's row."""
     all_ = reduce(DataFrame.unionByName, [s.withColumn("section", F.lit(i)) for i, s in enumerate(sections)])

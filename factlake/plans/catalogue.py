@@ -298,8 +298,9 @@ def window_plan(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH a AS (SELECT p_partkey, frame_index, 'regular' AS purpose, 0 AS o FROM ({PLAN}) UNION ALL SELECT p_partkey, frame_index, 'impact' AS purpose, 1 AS o FROM ({PLAN.replace('s * 0.5', 's * 0.75').replace('/ 0.5', '/ 0.75')})) SELECT p_partkey, frame_index, string_agg(purpose, '+' ORDER BY o) AS purpose FROM a GROUP BY ALL")
 def merge_union(spark: SparkSession, d: str) -> DataFrame:
-    plans = [_plan(spark, d, s).withColumn("purpose", F.lit(p)) for s, p in ((0.5, "regular"), (0.75, "impact"))]
-    return SE.merge_by_key(plans, ["p_partkey", "frame_index"], "purpose")
+    duration, fps = F.col("p_size").cast("double"), F.lit(30.0)
+    plans = [(R.plan_frames(duration, fps, s), p) for s, p in ((0.5, "regular"), (0.75, "impact"))]
+    return table(spark, d, "part").select("p_partkey", F.explode(SE.merged_in_row(plans)).alias("frame_index", "purpose"))
 
 
 @query("WITH s AS (SELECT l_suppkey, l_partkey, bool_or(l_returnflag = 'R') AS a, bool_or(l_returnflag = 'A') AS b FROM lineitem GROUP BY ALL) SELECT l_suppkey, count(*) FILTER (a AND b) AS common, count(*) FILTER (a AND NOT b) AS only_a, count(*) FILTER (NOT a AND b) AS only_b FROM s GROUP BY 1")
