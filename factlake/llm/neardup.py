@@ -1,7 +1,8 @@
 """Near-duplicates by bottom-k sketches from one hash function.
 
 A text's set of word shingles is hashed by one function; its sketch is the k
-least hashes. Texts with one and the same set are one class, whose least id
+least hashes, of which the upper half is kept: their order stays, equal ones stay
+equal, and where different ones become equal a pair is verified that needn't be. Texts with one and the same set are one class, whose least id
 stands for it. Sketches are indexed in inverted lists: an entry is two values
 that stand next to each other in the sketch. In the merged sketch of two sets
 of similarity s, an entry is shared wherever two neighbours are both common, so
@@ -56,6 +57,8 @@ from . import common, idsets
 #: Values in a sketch, values that are indexed, parts of a list, election orders.
 SKETCH, INDEXED, SALTS, ORDERS = 64, 32, 64, 8
 FILL = np.uint64(2**64 - 1)
+#: What a sketch's values are stored as: the upper half of a hash.
+STORED, UPPER = np.uint32, np.uint64(32)
 #: A pair is verified from this estimate on: over five standard deviations
 #: below the threshold.
 ESTIMATE = 0.5
@@ -148,7 +151,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = np.zeros(COUNTERS, np.int64)
     for batch in batches:
         for x in batch.column(0).to_pylist():
-            n[np.frombuffer(x, np.uint64) % np.uint64(COUNTERS)] += 1  # a sketch rarely meets a counter twice
+            n[sketch_values(x) % np.uint64(COUNTERS)] += 1  # a sketch rarely meets a counter twice
     slot = np.flatnonzero(n)
     yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array(n[slot], pa.int64())], ["slot", "n"])
 
@@ -159,7 +162,7 @@ def _rare(batches: Iterator[pa.RecordBatch], levels: Broadcast, percent: int) ->
     for batch in batches:
         for at in range(0, len(batch), CHUNK):
             part = batch.slice(at, CHUNK)
-            lists = rare_lists(padded(part.column(2).to_pylist()), part.column(1).to_numpy(), levels.value, percent)
+            lists = rare_lists(padded(part.column(2).to_pylist(), STORED), part.column(1).to_numpy(), levels.value, percent)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array([x[x != NO_LIST] for x in lists], pa.list_(pa.int64()))], ["id", "n", "sketch", "label", "keys"])
 
 
@@ -174,12 +177,21 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
                     batch.column(0).slice(a, b - a),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([class_of(s) for s in sets], pa.binary()),
-                    pa.array([s[:SKETCH].tobytes() for s in sets], pa.binary()),
+                    pa.array([stored(s) for s in sets], pa.binary()),
                 ],
                 ["id", "n", "class", "sketch"],
             )
 
 
+def stored(members: np.ndarray) -> bytes:
+    """The sketch of a sorted set."""
+    return (members[:SKETCH] >> UPPER).astype(STORED).tobytes()
+
+
+def sketch_values(sketch: bytes) -> np.ndarray:
+    return np.frombuffer(sketch, STORED).astype(np.uint64)
+
+
 def class_of(members: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(members.tobytes()) if len(members) else None
 
@@ -202,17 +214,17 @@ def _classes(words: int):
 
 
 def _keys(sketch: pa.Array) -> pa.Array:
-    return pa.array([list_keys(np.frombuffer(x, np.uint64)) for x in sketch.to_pylist()], pa.list_(pa.int64()))
+    return pa.array([list_keys(sketch_values(x)) for x in sketch.to_pylist()], pa.list_(pa.int64()))
 
 
 def union_estimate(a: np.ndarray, b: np.ndarray) -> float:
     """The share of the union's least SKETCH values that both sketches hold."""
     union = np.union1d(a, b)[:SKETCH]
-    return len(np.intersect1d(np.intersect1d(a, b, assume_unique=True), union, assume_unique=True)) / max(1, len(union))
+    return len(np.intersect1d(np.intersect1d(a, b), union, assume_unique=True)) / max(1, len(union))
 
 
 def _estimate(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array([union_estimate(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.float64())
+    return pa.array([union_estimate(sketch_values(x), sketch_values(y)) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.float64())
 
 
 def _common(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -223,18 +235,21 @@ def elected_pairs(entries: DataFrame) -> DataFrame:
     """From list entries (key, id): each member with the elected of its part, and
     those with the elected of the list. Distinct (a, b), a < b."""
     order = F.xxhash64("id", F.pmod(F.col("key"), F.lit(ORDERS)))
-    e = entries.select("key", "id", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"), order.alias("rank"))
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS))
+    # only key and id are shuffled: what follows from them is computed where they arrive
+    e = entries.select("key", "id").repartition("key", salt).select("key", "id", salt.alias("salt"), order.alias("rank"))
     part = e.withColumn("first", F.first("id").over(Window.partitionBy("key", "salt").orderBy("rank", "id")))
-    heads = part.where("id = first").withColumn("head", F.first("id").over(Window.partitionBy("key").orderBy("rank", "id")))
+    heads = part.where("id = first").select("key", "id").repartition("key").withColumn("rank", order).withColumn("head", F.first("id").over(Window.partitionBy("key").orderBy("rank", "id")))
     pairs = part.where("id <> first").select("id", "first").union(heads.where("id <> head").select("id", "head"))
     return pairs.select(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b")).distinct()
 
 
-def padded(sketches: list[bytes]) -> np.ndarray:
-    """Sketches as rows of SKETCH values; the greatest number fills up."""
+def padded(sketches: list[bytes], kind: type = np.uint64) -> np.ndarray:
+    """Sketches of values of some kind as rows of SKETCH; the greatest number fills up."""
     out = np.full((len(sketches), SKETCH), FILL, np.uint64)
     for row, x in zip(out, sketches, strict=True):
-        row[: len(x) // 8] = np.frombuffer(x, np.uint64)
+        v = np.frombuffer(x, kind)
+        row[: len(v)] = v
     return out
 
 
@@ -321,7 +336,7 @@ def _cross(batches: Iterator[pa.RecordBatch], percent: int, levels: Broadcast |
     common.working("neardup")
     for rows in runs(batches, ("key", "i", "j")):
         key, i, j, block, ids, label, n = (rows[c].to_numpy() for c in ("key", "i", "j", "block", "id", "label", "n"))
-        values = padded(rows["sketch"].to_pylist())
+        values = padded(rows["sketch"].to_pylist(), STORED)
         bits = bitmaps(values)
         lists = rare_lists(values, n, levels.value, percent) if levels else pair_lists(values)
         found = np.zeros(len(ids), bool)

@@ -343,3 +343,13 @@ def test_pipeline_stages(spark, documents):
     rows = by["best_fit_packing"](spark, four, DATA).collect()
     texts = {r["doc_id"]: x + [0] for r, x in zip(four.collect(), ids_of("byte_bpe_50k.json", [r["text"] for r in four.collect()]), strict=True)}
     assert packed(rows, texts) <= -(-sum(map(len, texts.values())) // 2048) + 1
+
+
+def test_near_duplicates_shuffle_half_hashes_and_no_orders(spark, documents):
+    """A sketch has four bytes a value, and the members of lists are dealt out by
+    key and id alone, once by part and once by list."""
+    search = neardup.Search(spark.createDataFrame(documents, "doc_id long, text string"), "text", "doc_id", 2, 80)
+    assert {len(r["sketch"]) - 4 * min(r["n"], neardup.SKETCH) for r in search.sets.collect()} == {0}
+    plan = search.candidates()._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(dealt) == len([line for line in dealt if "REPARTITION_BY_COL" in line]) + 1 and "rank" not in "".join(dealt)
