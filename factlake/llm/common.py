@@ -144,12 +144,15 @@ class Generations:
     def clear(self) -> None:
         self.young, self.old = {}, {}
 
-    def missing(self, keys) -> list:
-        """Those of the distinct ``keys`` not known; known old ones get young."""
+    def use(self) -> None:
         if Generations.in_use is not self:
             if Generations.in_use:
                 Generations.in_use.clear()
             Generations.in_use = self
+
+    def missing(self, keys) -> list:
+        """Those of the distinct ``keys`` not known; known old ones get young."""
+        self.use()
         young, old, out = self.young, self.old, []
         for k in keys - young.keys():
             v = old.get(k)

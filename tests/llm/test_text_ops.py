@@ -493,3 +493,28 @@ def test_scores_where_held_out_texts_hold_known_words_only(spark):
     docs = spark.createDataFrame([(i, "the same few words again and again") for i in range(60)], "doc_id long, text string")
     got = lm.score(docs).collect()
     assert len(got) == 60 and all(r["n_known"] == r["n_tokens"] == 8 for r in got) and len({r["score"] for r in got}) == 1
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_chunks_give_the_library_ids(name, monkeypatch):
+    """Also where lower case makes the string of a special token, where a chunk falls
+    apart before its punctuation, and with a memo that forgets."""
+    plain = Tokenizer.from_file(tokenizer(name))
+    texts = ["a <|EndOfText|> b", "<|STARTOFTEXT|>.", "<|endoftext|>", "it's. don't' x'' '. 12. 1,2, a1. A.", "Word word. Word, WORD!!! word?! ***", "é. É, ß; ǆ. ǅ, ª. ͅ. İ. ΑΣ. ά, é. ʹ.", "字. 字字,  ”. x”, ʼ. ꭠ."]
+    texts += [a + b + c + d for a in ("", " ", "\n", "  ", "\0") for b in ("w", "7", "é", "_", "”") for c in ("", ".", "'", "'s", ".'s") for d in ("", " ", "\n\n", " y", "\t.")]
+    monkeypatch.setattr(tokens, "MEMO", 20)
+    encoder = tokens.Encoder(tokenizer(name))
+    for size in (1, 5, len(texts)):
+        got = [x for i in range(0, len(texts), size) for x in encoder.ids([t.encode() for t in texts[i : i + size]])]
+        assert [np.frombuffer(x, np.uint32).tolist() for x in got] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_words_known_without_their_punctuation_are_not_asked_for(monkeypatch):
+    asked = []
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        encoder = tokens.Encoder(tokenizer(name))
+        encoder.ids([b"x zorblat frumious , . x, x."])
+        for f in ("each", "together"):
+            monkeypatch.setattr(encoder, f, lambda chunks, *a: asked.append(chunks))
+        encoder.ids([b"x zorblat, frumious. zorblat."])
+    assert not asked
