@@ -118,14 +118,19 @@ def blobs(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 
 def groups(texts: list[bytes], limit: int = GROUP_BYTES):
     """Consecutive runs of texts of about ``limit`` bytes: (from, to)."""
+    return runs(list(map(len, texts)), limit)
+
+
+def runs(sizes: list[int], limit: int = GROUP_BYTES):
+    """Consecutive runs whose sizes sum up to about ``limit``: (from, to)."""
     start = total = 0
-    for i, t in enumerate(texts):
-        total += len(t)
+    for i, n in enumerate(sizes):
+        total += n
         if total >= limit:
             yield start, i + 1
             start, total = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 class Generations:

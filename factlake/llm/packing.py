@@ -23,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import common, tokens
+from . import bytelevel, common
 
 CAPACITY, END_ID = 2048, 0
 #: Groups that pieces of one length are numbered in. At 10^11 pieces of one
@@ -186,12 +187,12 @@ def slots(patterns: list[tuple[int, Bin]], capacity: int) -> dict[str, np.ndarra
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     end = np.array([end_id], np.uint32).tobytes()
-    encoder = tokens.encoder(path)
+    encoder = bytelevel.encoder(path)
     for batch in batches:
-        texts, keys = common.blobs(batch.column(1)), batch.column(0)
-        for a, b in common.groups(texts):
+        texts, keys = batch.column(1), batch.column(0)
+        for a, b in common.runs(pc.binary_length(texts).fill_null(0).to_pylist()):
             doc, cols = [], ([], [], [], [])
-            for i, ids in zip(range(a, b), encoder.ids(texts[a:b]), strict=True):
+            for i, ids in zip(range(a, b), encoder.ids(common.blobs(texts.slice(a, b - a))), strict=True):
                 ids += end
                 n = len(ids) // 4
                 cut = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]

@@ -6,17 +6,19 @@ import math
 import random
 import re
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from factlake.llm import common, decontaminate, extract, licenses, lm, quality, secrets, sql, tokens, toxicity
+from factlake.llm import bytelevel, common, decontaminate, extract, licenses, lm, packing, quality, secrets, sql, tokens, toxicity
 from factlake.llm.queries import QUERIES, tokenizer
 
 from ..conftest import DATA
@@ -518,3 +520,41 @@ def test_words_known_without_their_punctuation_are_not_asked_for(monkeypatch):
             monkeypatch.setattr(encoder, f, lambda chunks, *a: asked.append(chunks))
         encoder.ids([b"x zorblat, frumious. zorblat."])
     assert not asked
+
+
+def test_byte_level_chunks_give_the_library_ids(documents, monkeypatch):
+    """Also cut before punctuation, in chunks too long for a key, and with a memo that forgets."""
+    path = tokenizer("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    texts = ["", " ", "\n\n", "a   b", "  x \n\n y\x1c z w 's don't '  ", "a <|endoftext|> b", "<|endoftext|>", "<|EndOfText|>", "it's. don't'll x'' '. 12. 1,2, a1. A.", "é. É, ß; ×, ÷! ª. İ. ά, é. ʹ.", "字. 字字,  ”. x”, ʼ. (£5) …\" \u200b/\u200b", "a\0 a\0\0 a\0\0. \0", "x\x85 y\xa0\xa0 z\u3000\u2028w", "мир, Мир. мир!", " " + "w" * 14 + " " + "w" * 15 + " " + "w" * 63 + " " + "w" * 64 + " " + "w" * 5000]
+    texts += [a + b + c + d for a in ("", " ", "\n", "  ", "\0") for b in ("w", "7", "é", "_", "”") for c in ("", ".", "'", "'s", ".'s") for d in ("", " ", "\n\n", " y", "\t.")]
+    want = [e.ids for e in plain.encode_batch(texts + [t for _, t in documents], add_special_tokens=False)]
+    texts = [t.encode() for t in texts + [t for _, t in documents]]
+    for memo, block, size in ((1 << 20, 1 << 18, 100), (3000, 1 << 18, len(texts)), (20, 7, 5)):
+        monkeypatch.setattr(bytelevel, "MEMO", memo)
+        monkeypatch.setattr(bytelevel, "BLOCK", block)
+        encoder = bytelevel.ByteEncoder(path)
+        assert encoder.bare
+        few = texts if memo > 20 else texts[:200]
+        for _ in range(2):
+            got = [x for i in range(0, len(few), size) for x in encoder.ids(few[i : i + size])]
+            assert [np.frombuffer(x, np.uint32).tolist() for x in got] == want[: len(few)]
+        assert encoder.memo.n <= memo
+    invalid = [b"a\xc3 b\xff. \xe2\x80", b"ok"]
+    assert [np.frombuffer(x, np.uint32).tolist() for x in encoder.ids(invalid)] == [plain.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids for t in invalid]
+
+
+def test_packing_keeps_little_of_many_words():
+    """What a worker that packs remembers of 500,000 different words; 65 MB before."""
+    words = [f" {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{i}" for i in range(500_000)]
+    batch = pa.record_batch([pa.array(range(40), pa.int64()), pa.array(["".join(words[i::40]) for i in range(40)])], ["doc_id", "text"])
+    common.working("test")
+    tracemalloc.start()
+    try:
+        for _ in packing._pieces(iter([batch]), tokenizer("byte_bpe_50k.json"), 2048, 0):
+            pass
+        kept = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+        common.working("")
+    assert kept < 60e6
