@@ -558,3 +558,14 @@ def test_packing_keeps_little_of_many_words():
         tracemalloc.stop()
         common.working("")
     assert kept < 60e6
+
+
+def test_new_words_reach_the_library_many_in_one_string(monkeypatch):
+    """Each was a chunk of its own calls and of the tokenizer's pattern before, once for each punctuation after it."""
+    encoder, asked = bytelevel.ByteEncoder(tokenizer("byte_bpe_50k.json")), []
+    each = encoder.each
+    monkeypatch.setattr(encoder, "each", lambda strings, *a: asked.extend(strings) or each(strings, *a))
+    text = "x" + "".join(f" zor{a}{b}{c}" for a in "abc" for b in "déf" for c in ("", ",", "."))
+    ids = encoder.ids([text.encode()])
+    assert sorted(asked) == [",", ".", "x"] and encoder.memo.n == 9 + 3
+    assert np.frombuffer(ids[0], np.uint32).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
