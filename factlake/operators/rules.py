@@ -9,8 +9,10 @@ support it.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,9 @@ VULNERABLE = ("person", "보행자", "bicycle", "자전거", "motorcycle", "오
 LATERAL = ("차로변경_좌", "차로변경_우", "끼어들기")
 BOX = ("x1", "y1", "x2", "y2")
 STATE = "post_event_state_candidate"
+#: Turns in degrees that make an event and a strong one, and how near to
+#: them the JVM's arc tangent isn't trusted.
+TURN, SHARP, UNSURE = 60, 90, 1e-9
 
 
 def _of(rule: int, event_type: str, time: Column, actors: list[Column], confidence: Column, signals: Column | list[str], supporting: Column | int, evidence: Column, measure: Column, candidate_class: str | None = None) -> list[Column]:
@@ -55,6 +60,24 @@ def area(box: list[Column]) -> Column:
     return F.greatest(F.lit(0), box[2] - box[0]) * F.greatest(F.lit(0), box[3] - box[1])
 
 
+def _turns(*arrays: pa.Array) -> pa.Array:
+    if arrays[0].null_count == len(arrays[0]):
+        return pa.nulls(len(arrays[0]), pa.float64())
+    rows = zip(*(a.to_pylist() for a in arrays), strict=True)
+    delta = lambda x0, y0, x, y: abs(math.degrees(math.atan2(y0, x0)) - math.degrees(math.atan2(y, x))) % 360
+    return pa.array([None if None in r else min(d := delta(*r), 360 - d) for r in rows], pa.float64())
+
+
+def turn_between(old: Column, now: Column) -> Column:
+    """The turn in degrees between two moves (dx, dy, angle). The last bits of the JVM's arc
+    tangent aren't the C library's, and a right angle lies on a limit: turns next to one
+    are taken from the C library, as SQL engines have them."""
+    turn = angle_delta(old["angle"], now["angle"])
+    unsure = (F.abs(turn - TURN) < UNSURE) | (F.abs(turn - SHARP) < UNSURE)
+    given = [F.when(unsure, m[c]) for m in (old, now) for c in ("dx", "dy")]
+    return F.coalesce(F.arrow_udf(lambda a, b, c, d: _turns(a, b, c, d), "double").asNondeterministic()(*given), turn)
+
+
 def track_events(positions: DataFrame) -> DataFrame:
     """What single tracks show, each dealt once: growth of the box over the track and
     from step to step, falls, sudden stops and changes of direction.
@@ -72,8 +95,8 @@ def track_events(positions: DataFrame) -> DataFrame:
         "area0": F.lag("area").over(o), "frame0": F.lag("frame_id").over(o), **{f"{c}0": F.lag(c).over(m) for c in ("cx", "cy", "t")},
     })
     dx, dy = F.col("cx") - F.col("cx0"), F.col("cy") - F.col("cy0")
-    d = d.withColumn("now", F.when((F.col("n") >= 3) & (F.col("t") > F.col("t0")), F.struct((F.sqrt(dx * dx + dy * dy) / (F.col("t") - F.col("t0"))).alias("speed"), angle(dx, dy).alias("angle"), "frame_id")))
-    d = d.withColumn("old", F.last("now", ignorenulls=True).over(m.rowsBetween(Window.unboundedPreceding, -1))).withColumn("turn", angle_delta(F.col("old.angle"), F.col("now.angle")))
+    d = d.withColumn("now", F.when((F.col("n") >= 3) & (F.col("t") > F.col("t0")), F.struct((F.sqrt(dx * dx + dy * dy) / (F.col("t") - F.col("t0"))).alias("speed"), dx.alias("dx"), dy.alias("dy"), angle(dx, dy).alias("angle"), "frame_id")))
+    d = d.withColumn("old", F.last("now", ignorenulls=True).over(m.rowsBetween(Window.unboundedPreceding, -1))).withColumn("turn", turn_between(F.col("old"), F.col("now")))
     whole, moved, actor = F.array("a.frame_id", "frame_id"), F.array("old.frame_id", "frame_id"), [F.col("track_id")]
     size, size0, start, ratio, ratio0 = (F.col(c) for c in ("area", "area0", "a.area", "ratio", "a.ratio"))
     t, speed, speed0, turn = (F.col(c) for c in ("t", "now.speed", "old.speed", "turn"))
@@ -83,7 +106,7 @@ def track_events(positions: DataFrame) -> DataFrame:
         (grown, (2, "급접근", t, actor, _class(size >= start * 4), ["bbox_area_increase"], 3, whole, size / start)),
         ((size0 > 0) & (size >= size0 * 1.8), (3, "급접근후보", t, actor, _class(size >= size0 * 2.8), ["bbox_area_frame_to_frame_increase"], 3, F.array("frame0", "frame_id"), size / size0)),
         ((speed0 >= 20) & (speed <= speed0 * 0.35), (4, "사고후정지후보", t, actor, _class(speed0 >= 35), ["object_speed_change"], 3, moved, speed - speed0, STATE)),
-        ((turn >= 60) & (speed0 >= 10) & (speed >= 10), (5, "방향변화후보", t, actor, _class(turn >= 90), ["object_direction_change"], 3, moved, turn, STATE)),
+        ((turn >= TURN) & (speed0 >= 10) & (speed >= 10), (5, "방향변화후보", t, actor, _class(turn >= SHARP), ["object_direction_change"], 3, moved, turn, STATE)),
         (fallen, (6, "낙상후보", t, actor, _class(ratio <= ratio0 * 0.45), ["bbox_aspect_ratio_change"], 3, whole, ratio0 - ratio, STATE)),
     ])
 

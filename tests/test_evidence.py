@@ -1,4 +1,5 @@
 import json
+import math
 
 from pyspark.sql import functions as F
 
@@ -48,3 +49,18 @@ def test_one_shake_a_video(spark):
     found = lambda *rows: [r["signals"] for r in rules.contact_events(positions, shakes(*rows)).collect()]
     assert found((0.5, 30.0), (0.2, 25.0)) == found((0.2, 25.0)) == [["bbox_overlap", "camera_shake"]]
     assert found((9.0, 40.0), (0.2, 25.0)) == found((0.2, 19.0)) == [["bbox_overlap"]]
+
+
+def test_right_angles_as_the_c_library_has_them(spark):
+    # moves at right angles, which rounding puts at 90 degrees or next to it
+    moves = [((-40.5, 3.0), (-2.0, -27.0)), ((-39.5, -13.0), (-13.0, 39.5)), ((-6.0, 19.5), (65.0, 20.0))]
+    rows = []
+    for v, ((ax, ay), (bx, by)) in enumerate(moves):
+        for i, (x, y) in enumerate(((0.0, 0.0), (ax, ay), (ax + bx, ay + by))):
+            x1, y1 = int(x // 1) - 10, int(y // 1) - 10
+            rows.append((v, "a", "car", i, float(i), f"f{i}", x1, y1, int(2 * x) - x1, int(2 * y) - y1))
+    positions = spark.createDataFrame(rows, "video_id int, track_id string, type string, ord int, t double, frame_id string, x1 int, y1 int, x2 int, y2 int")
+    degrees = lambda m: math.degrees(math.atan2(m[1], m[0]))
+    apart = [abs(degrees(a) - degrees(b)) % 360 for a, b in moves]
+    want = {v: "medium" if min(d, 360 - d) >= 90 else "low" for v, d in enumerate(apart)}
+    assert {r["video_id"]: r["confidence"] for r in rules.track_events(positions).where("rule = 5").collect()} == want
