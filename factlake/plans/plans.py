@@ -9,6 +9,7 @@ from ..functions import storyboard as SB
 from ..operators import jobs, roads, sampling
 from ..sources.tables import events, table
 from .catalogue import EV_SQL, query
+from .frames import dealt
 
 #: Clips made of parts: length, rate, frames, and an event's time (none each seventh).
 _CLIPS = "c AS (SELECT p_partkey, CAST(p_size + p_partkey % 3 * 0.5 AS DOUBLE) AS dur, CAST(floor((p_size + p_partkey % 3 * 0.5) * 10.0) AS BIGINT) AS n, CASE WHEN p_partkey % 7 > 0 THEN CAST(p_partkey % 23 * p_size / 23.0::DOUBLE AS DOUBLE) END AS center FROM part)"
@@ -56,7 +57,7 @@ def event_window_plan(spark: SparkSession, d: str) -> DataFrame:
     "k AS (SELECT *, CASE WHEN hit THEN kept ELSE 20 - kept END AS most FROM r) SELECT p_partkey, frame, purpose, l <= 20 OR last < most OR i IN (SELECT CAST(round_even(j * last / CAST(most - 1 AS DOUBLE), 0) AS BIGINT) FROM generate_series(0, most - 1) AS t(j)) AS selected FROM k"
 )
 def precision_plan(spark: SparkSession, d: str) -> DataFrame:
-    return sampling.precision_plan(_clips(spark, d), "center", "dur", "fps", "n").select("p_partkey", "frame", "purpose", "selected")
+    return sampling.precision_plan(dealt(_clips(spark, d), "p_partkey"), "center", "dur", "fps", "n").select("p_partkey", "frame", "purpose", "selected")
 
 
 @query(f"WITH {EV_SQL}, s AS (SELECT user_id, event_id, least(20, k // 3 + 1) AS n FROM ev), t AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s) SELECT user_id, event_id, event_id + 3 * j AS frame FROM t, generate_series(0, 19) AS g(j) WHERE j < least(n, 300 - before)")

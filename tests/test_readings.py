@@ -4,7 +4,7 @@ from statistics import median
 from pyspark.sql import functions as F
 
 from factlake.functions import scalar
-from factlake.operators import readings
+from factlake.operators import readings, sampling
 
 SCHEMA = "video_id long, ord long, frame_id string, confidence double, target_field string, status string, moment string, speed_kmh double, lat double, lon double"
 
@@ -70,3 +70,15 @@ def test_target_and_flashing(spark):
     df = spark.createDataFrame([(1, s) for s in ("lit", "off", "lit")] + [(2, "lit")] * 3 + [(3, "lit"), (3, "missing")], "v int, s string")
     got = {r["v"]: (r["lit"], r["off"], r["missing"], r["state"]) for r in readings.flashing(df, ["v"], "s").collect()}
     assert got == {1: (2, 1, 0, "점멸"), 2: (3, 0, 0, "확인불가"), 3: (1, 0, 1, "확인불가")}
+
+
+def test_precision_plans_search_no_entries(spark):
+    # a filter inside the transform over frames is quadratic in a clip's frames
+    clips = spark.createDataFrame([(i, 400.0 + i, 800.0, 10.0, 8000) for i in range(2)], "id int, center double, dur double, fps double, n long")
+    plan = sampling.precision_plan(clips, "center", "dur", "fps", "n", before=40.0, after=40.0)
+    made = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in made and "exists(" not in made
+    rows = plan.groupBy("id").agg(F.count("*").alias("n"), F.countDistinct("frame").alias("frames"), F.sum(F.col("selected").cast("int")).alias("kept")).collect()
+    assert len(rows) == 2 and all(r["n"] == r["frames"] > 750 and r["kept"] == 20 for r in rows)
+    # where two groups meet in a frame it has both purposes, in the groups' order
+    assert plan.where("frame = 3998 AND id = 0").first()["purpose"] == "event_scan_pre_impact+event_scan_impact_candidate"
