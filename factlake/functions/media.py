@@ -36,29 +36,51 @@ def frame_rate(x: Column) -> Column:
     return F.when((rate > 0) & (rate < float("inf")), rate)
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is named: as the variable
+    of a function over an array of it. A plain name would stand for the whole expression."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def probe(text: Column) -> Column:
     """Struct of duration, fps, resolution, frame count and audio from a media probe's
-    JSON, or the first reason why it can't be had (``error``)."""
-    raw = F.get_json_object(text, "$.streams")
-    listed = F.ltrim(raw).startswith("[")
-    streams = F.when(listed, F.from_json(raw, _STREAMS))
-    video = F.get(F.filter(streams, lambda s: s["codec_type"] == "video"), F.lit(0))
-    width, height, frames = (positive_int(video[c]) for c in ("width", "height", "nb_frames"))
-    fps = F.coalesce(frame_rate(video["avg_frame_rate"]), frame_rate(video["r_frame_rate"]))
-    duration = F.coalesce(non_negative(video["duration"]), non_negative(F.get_json_object(text, "$.format.duration")), F.when(frames.isNotNull(), F.lit(0.0)))
-    error = (
-        F.when(raw.isNotNull() & ~listed, "Malformed ffprobe payload: streams must be a list")
-        .when(video.isNull(), "No video stream found in ffprobe payload")
-        .when(width.isNull(), "Invalid width: expected positive integer")
-        .when(height.isNull(), "Invalid height: expected positive integer")
-        .when(fps.isNull(), "Invalid frame rate: expected positive avg_frame_rate or r_frame_rate")
-        .when(duration.isNull(), "Missing valid duration and nb_frames; cannot compute frame_count")
-    )
-    values = {
-        "duration_sec": duration, "fps": fps, "resolution": F.concat_ws("x", width.cast("string"), height.cast("string")), "frame_count": F.coalesce(frames, F.rint(duration * fps).cast("bigint")),
-        "has_audio": F.exists(streams, lambda s: s["codec_type"] == "audio"),
-    }
-    return F.struct(*[F.when(error.isNull(), v).alias(n) for n, v in values.items()], error.alias("error"))
+    JSON, or the first reason why it can't be had (``error``). Each step is computed once
+    a row: the text is parsed once, then its values are read, then judged."""
+
+    def parsed(raw: Column) -> Column:
+        listed = F.ltrim(raw).startswith("[")
+        return F.struct((raw.isNotNull() & ~listed).alias("malformed"), F.when(listed, F.from_json(raw, _STREAMS)).alias("streams"))
+
+    def read(p: Column) -> Column:
+        return _once(F.get(F.filter(p["streams"], lambda s: s["codec_type"] == "video"), F.lit(0)), lambda video: F.struct(
+            p["malformed"].alias("malformed"), video.isNull().alias("none"), *[positive_int(video[c]).alias(n) for n, c in (("width", "width"), ("height", "height"), ("frames", "nb_frames"))],
+            F.coalesce(frame_rate(video["avg_frame_rate"]), frame_rate(video["r_frame_rate"])).alias("fps"), non_negative(video["duration"]).alias("duration"),
+            F.exists(p["streams"], lambda s: s["codec_type"] == "audio").alias("has_audio"),
+        ))
+
+    def timed(v: Column) -> Column:
+        return v.withField("duration", F.coalesce(v["duration"], non_negative(F.get_json_object(text, "$.format.duration")), F.when(v["frames"].isNotNull(), F.lit(0.0))))
+
+    def judged(v: Column) -> Column:
+        error = (
+            F.when(v["malformed"], "Malformed ffprobe payload: streams must be a list")
+            .when(v["none"], "No video stream found in ffprobe payload")
+            .when(v["width"].isNull(), "Invalid width: expected positive integer")
+            .when(v["height"].isNull(), "Invalid height: expected positive integer")
+            .when(v["fps"].isNull(), "Invalid frame rate: expected positive avg_frame_rate or r_frame_rate")
+            .when(v["duration"].isNull(), "Missing valid duration and nb_frames; cannot compute frame_count")
+        )
+        return _once(error, lambda e: said(v, e))
+
+    def said(v: Column, error: Column) -> Column:
+        values = {
+            "duration_sec": v["duration"], "fps": v["fps"], "resolution": F.concat_ws("x", v["width"].cast("string"), v["height"].cast("string")),
+            "frame_count": F.coalesce(v["frames"], F.rint(v["duration"] * v["fps"]).cast("bigint")), "has_audio": v["has_audio"],
+        }
+        return F.struct(*[F.when(error.isNull(), x).alias(n) for n, x in values.items()], error.alias("error"))
+
+    whole = _once(F.get_json_object(text, "$.streams"), lambda raw: _once(parsed(raw), read))
+    return _once(_once(whole, timed), judged)
 
 
 def enabled(name: Column) -> Column:

@@ -10,6 +10,7 @@ from ..operators import quality as Q
 from ..operators import readings as RE
 from ..sources.tables import events, table
 from .catalogue import EV_SQL, HOUR, PEAKS, peak_suppression, query
+from .frames import dealt
 
 #: Probe outputs by number; {w} is a width. With what each has to give.
 _PROBES = (
@@ -34,7 +35,7 @@ _GIVEN = ", ".join("({}, {})".format(i, ", ".join(f"'{x}'" if isinstance(x, str)
 def video_probe(spark: SparkSession, d: str) -> DataFrame:
     i = F.col("p_partkey")
     text = F.replace(F.get(F.array(*[F.lit(t) for t, _ in _PROBES]), (i % len(_PROBES)).cast("int")), F.lit("{w}"), (640 + i % 7).cast("string"))
-    return table(spark, d, "part").select("p_partkey", M.probe(text).alias("m")).select("p_partkey", "m.*")
+    return dealt(table(spark, d, "part").select("p_partkey"), "p_partkey").select("p_partkey", M.probe(text).alias("m")).select("p_partkey", "m.*")
 
 
 #: Stand-in measures of frames, in SQL and as columns.

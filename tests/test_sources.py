@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factlake.functions import pixels
+from factlake.functions import media, pixels
 from factlake.operators import jobs
 from factlake.sources import tables
 
@@ -165,3 +165,13 @@ def test_video_headers(spark, tmp_path):
     (tmp_path / "none").mkdir()
     assert videos.read_videos(spark, (tmp_path / "none").as_uri()).count() == 0
     assert videos.read_videos(spark, (tmp_path / "v").as_uri(), suffixes="mov").count() == 1
+
+
+def test_a_probe_is_parsed_once(spark):
+    none, listed = "No video stream found in ffprobe payload", "Malformed ffprobe payload: streams must be a list"
+    given = [(None, none), ("", none), ("no json", none), ('{"streams": null}', none), ('{"streams": []}', none), ('{"streams": [null]}', none), ('{"streams": "x"}', listed), ('{"streams": [{"codec_type": "video", "width": 2, "height": 1, "avg_frame_rate": "50/2", "duration": "2"}]}', None)]
+    df = spark.createDataFrame([(i, t, e) for i, (t, e) in enumerate(given)], "i int, t string, want string").select("i", "want", media.probe(F.col("t")).alias("m"))
+    assert df.select("m.*")._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    rows = df.orderBy("i").collect()
+    assert [r["m"]["error"] for r in rows] == [e for _, e in given]
+    assert rows[-1]["m"][:5] == (2.0, 25.0, "2x1", 50, False) and all(r["m"][:5] == (None,) * 5 for r in rows[:-1])
