@@ -14,14 +14,15 @@ from .ranking import suppress
 SHAKE, GROWTH, MOST_GROWTH = (0.8, 4.0), 10.0, 25.0
 
 
-def steps(frames: DataFrame, keys: list[str], order: list[str], pixels: str = "pixels", width: str = "width", area_change: Column | None = None) -> DataFrame:
+def steps(frames: DataFrame, keys: list[str], order: list[str], pixels: str = "pixels", width: str = "width", area_change: Column | None = None, clip: bool = True) -> DataFrame:
     """Each grey frame with ``motion`` (the struct of ``frame_motion``) against the one
-    before of its video; null for the first and where shapes differ. Flow costs far
+    before of its video; null for the first and where shapes differ. Without ``clip`` the
+    measures of a clip's quality stay null, for those who don't read them. Flow costs far
     more than the bytes of a frame tell, so the parts are as many as set and stay so."""
     parts = int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     w = Window.partitionBy(*keys).orderBy(*order)
     paired = frames.repartition(parts, *keys).withColumn("_before", F.lag(pixels).over(w))
-    return paired.withColumn("motion", frame_motion(F.col("_before"), F.col(pixels), F.col(width), area_change)).drop("_before")
+    return paired.withColumn("motion", frame_motion(F.col("_before"), F.col(pixels), F.col(width), area_change, clip)).drop("_before")
 
 
 def scan_events(stepped: DataFrame, keys: list[str], time: str, order: str, area_change: Column | None = None, least: float = 8.0, gap: float = 1.0, most: int = 5) -> DataFrame:

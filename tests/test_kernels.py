@@ -279,3 +279,18 @@ def test_fixed_and_found_regions():
     assert [n for n, kind, *_ in found if kind == "fixed"] == list(regions.REGIONS) and found[0][2] == [0, 0, 200, 100] and found[4][2] == [110, 0, 200, 25]
     assert [(n, b) for n, kind, b, _ in found if kind != "fixed"] == [("auto_top_text", [112, 2, 184, 22])]
     assert regions.prepared(image, "general") is image and regions.prepared(image[:20, :50], "speed").shape == (40, 100)
+
+
+def test_flows_of_many_frames_at_once(spark):
+    pairs = [(texture(*shape), texture(*shape, 1, i % 2)) for i, shape in enumerate([(24, 32), (54, 96), (24, 32), (9, 17), (24, 32)] * 9)]
+    for (one, two), flow in zip(pairs, motion._flows(pairs), strict=True):
+        assert flow.shape == (*one.shape, 2) and np.abs(flow - motion.dense_flow(one, two)).max() < 1e-9
+    # filters by one product are those by shifted sums, also where edges are mirrored twice
+    for shape in ((24, 32), (3, 5), (1, 40)):
+        image, kernel = texture(*shape).astype(float), motion.gaussian(5, 1.2)
+        assert np.abs(motion.filtered(image, kernel, kernel[3:-3]) - motion.tapped(image, kernel, kernel[3:-3])).max() < 1e-9
+    # measures that nobody reads aren't computed
+    df = spark.createDataFrame([(i, texture(24, 32, i).tobytes(), 32) for i in range(3)], "ord int, pixels binary, width int").withColumn("v", F.lit(1))
+    for clip in (True, False):
+        rows = [r["motion"] for r in moves.steps(df, ["v"], ["ord"], clip=clip).orderBy("ord").collect()]
+        assert rows[0] is None and all((m["compensated"] is not None) == clip and m["flow_peak"] > 0 for m in rows[1:])
