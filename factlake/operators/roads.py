@@ -103,11 +103,11 @@ def middle_of(values: Column) -> Column:
     return F.when(n > 0, (F.get(v, ((n - 1) / 2).cast("int")) + F.get(v, (n / 2).cast("int"))) / 2)
 
 
-def frame_lanes(frames: DataFrame, keys: list[str], image: str = "image") -> DataFrame:
-    """For each decoded frame what its slanted lines say: ``lanes``, the median ``gap``
+def frame_lanes(frames: DataFrame, keys: list[str], image: str = "image", lines: str | None = None) -> DataFrame:
+    """For each decoded frame (or its height, width and the ``lines`` already found in it) what its slanted lines say: ``lanes``, the median ``gap``
     between boundaries in pixels, where the lines meet, and the ``matrix`` of the view
     from above. Nulls where there are no lines. A frame's lines stay in its row."""
-    f = frames.select(*keys, F.col(f"{image}.height").alias("_h"), F.col(f"{image}.width").alias("_w"), image_lines(F.col(image)).alias("_l"))
+    f = frames.select(*keys, F.col(f"{image}.height").alias("_h"), F.col(f"{image}.width").alias("_w"), (image_lines(F.col(image)) if lines is None else F.col(lines)).alias("_l"))
     no = F.expr("CAST(array() AS array<double>)")
     bottom = lambda l: l["x1"] + (l["x2"] - l["x1"]) / (l["y2"] - l["y1"]) * (F.col("_h") - l["y1"])
     at = F.array_sort(F.filter(F.transform(F.filter("_l", lambda l: l["y1"] != l["y2"]), bottom), lambda x: (x >= 0) & (x <= F.col("_w"))))
@@ -134,10 +134,10 @@ def frame_lanes(frames: DataFrame, keys: list[str], image: str = "image") -> Dat
     return f.select(*keys, F.when(some, F.greatest(F.lit(1), F.col("_n") - 1)).alias("lanes"), F.when(some, F.col("gap")).alias("gap"), "vanishing_x", "vanishing_y", matrix.alias("matrix"))
 
 
-def geometry(frames: DataFrame, keys: list[str], frame: str, lane_width: Column, image: str = "image") -> DataFrame:
+def geometry(frames: DataFrame, keys: list[str], frame: str, lane_width: Column, image: str = "image", lines: str | None = None) -> DataFrame:
     """A video's road from its frames: half-even median of lanes with its confidence, the
     median vanishing point and matrix, pixels a metre from the gaps, and the score."""
-    each = frame_lanes(frames, list(dict.fromkeys([*keys, frame])), image)
+    each = frame_lanes(frames, list(dict.fromkeys([*keys, frame])), image, lines)
     n = F.count("lanes")
     cells = F.array(*[F.array(*[rint(F.median(F.col("matrix")[i][j]), 6) for j in range(3)]) for i in range(3)])
     g = each.groupBy(*keys).agg(

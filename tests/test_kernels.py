@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from factlake.functions import lines, motion, regions, shapes
 from factlake.operators import motion as moves
+from factlake.operators import roads
+from factlake.plans import frames
 
 
 def texture(h, w, ox=0.0, oy=0.0, turn=0.0, seed=3):
@@ -294,3 +297,27 @@ def test_flows_of_many_frames_at_once(spark):
     for clip in (True, False):
         rows = [r["motion"] for r in moves.steps(df, ["v"], ["ord"], clip=clip).orderBy("ord").collect()]
         assert rows[0] is None and all((m["compensated"] is not None) == clip and m["flow_peak"] > 0 for m in rows[1:])
+
+
+def test_votes_and_peaks_hold_no_frame_of_neighbours():
+    r = np.random.default_rng(3)
+    count = r.integers(0, 9, (180, 61))
+    ring = np.pad(np.vstack((count[-2:, ::-1], count, count[:2, ::-1])), ((0, 0), (2, 2)))
+    order = np.arange(ring.size, 0, -1).reshape(ring.shape)
+    want = {(a, k) for a, k in np.ndindex(count.shape) if count[a, k] >= 7 and max((ring[a + i, k + j], order[a + i, k + j]) for i in range(5) for j in range(5)) == (count[a, k], order[a + 2, k + 2])}
+    assert {tuple(p) for p in lines.peaks(count, 7).tolist()} == want and want
+    empty = np.zeros((180, 4001), np.int32)
+    tracemalloc.start()
+    found = lines.peaks(empty, 1)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not len(found) and most < 3 * 180 * 4001  # no copies of the counts, nor windows over them
+
+
+def test_roads_of_found_lines(spark):
+    image = {"height": 160, "width": 240, "nChannels": 1, "data": frames.road(3, 4, 2).tobytes()}
+    df = spark.createDataFrame([(1, image), (2, None)], "id int, image struct<height: int, width: int, nChannels: int, data: binary>")
+    want = [r.asDict(True) for r in roads.geometry(df, ["id"], "id", F.lit(3.2)).orderBy("id").collect()]
+    found = df.select("id", "image", lines.image_lines(F.col("image")).alias("l")).cache()
+    assert [r.asDict(True) for r in roads.geometry(found, ["id"], "id", F.lit(3.2), lines="l").orderBy("id").collect()] == want
+    assert want[0]["lanes"] == 2 and want[1]["lanes"] is None
