@@ -52,16 +52,32 @@ def walked(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     return out
 
 
+def leaves(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+    """Those rows of ``walked`` that hold no others, without ``depth``, in one pass over the
+    texts: each step puts the values of an object or array in its place and leaves the rest
+    as it is. No row is walked to from the root once more for every level."""
+    deepest = df.agg(F.max(depth_of(F.col(text)))).first()[0] or 0
+    spark = df.sparkSession
+    level = df.select(*keys, F.expr("CAST(array() AS array<string>)").alias("path"), F.lit(None).cast("string").alias("key"), F.try_parse_json(text).alias("value")).where("value IS NOT NULL")
+    for _ in range(deepest):
+        step = level.withColumnsRenamed({"value": "_v", "key": "_k", "path": "_p"}).lateralJoin(spark.tvf.variant_explode_outer(F.col("_v").outer()))
+        inner = lambda a, b: F.when(F.col("pos").isNotNull(), a).otherwise(b)
+        path = F.concat("_p", F.array(F.coalesce("key", F.col("pos").cast("string"))))
+        level = step.select(*keys, inner(path, F.col("_p")).alias("path"), inner(F.col("key"), F.col("_k")).alias("key"), inner(F.col("value"), F.col("_v")).alias("value"))
+    return level
+
+
 def file_paths(df: DataFrame, keys: Sequence[str], text: str, names: Sequence[str] = PATHS) -> DataFrame:
     """Each file that a record names at any depth, once, where it stands first: parents
     before what they hold, array items in order, keys by name. (keys, file, path)"""
-    found = walked(df, keys, text).where(F.col("key").isin(*names) & is_text(F.col("value")))
+    found = leaves(df, keys, text).where(F.col("key").isin(*names) & is_text(F.col("value")))
     found = found.select(*keys, "path", "key", F.variant_get("value", "$", "string").alias("file")).where("file <> ''")
     rank = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("key"))
+    # names are kept from the cast, which fails by an exception for each
     # an object's own files come before those of what it holds, in the order of the names
-    place = F.transform("path", lambda p, i: F.struct((i < F.size("path") - 1).alias("deep"), F.when(i == F.size("path") - 1, rank).otherwise(0).alias("rank"), F.coalesce(p.try_cast("int"), F.lit(0)).alias("pos"), p.alias("key")))
-    first = F.min_by("path", place)
-    return found.groupBy(*keys, "file").agg(first.alias("path"))
+    place = F.transform("path", lambda p, i: F.struct((i < F.size("path") - 1).alias("deep"), F.when(i == F.size("path") - 1, rank).otherwise(0).alias("rank"), F.coalesce(F.when(F.rlike(p, F.lit(r"^\s*[+-]?\d+\s*$")), p.try_cast("int")), F.lit(0)).alias("pos"), p.alias("key")))
+    # the places' keys are the path; min_by would make each place several times
+    return found.groupBy(*keys, "file").agg(F.min(place).alias("_place")).select(*keys, "file", F.transform("_place", lambda p: p["key"]).alias("path"))
 
 
 def merged(base: Column, over: Column, depth: int) -> Column:

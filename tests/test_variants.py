@@ -89,3 +89,13 @@ def test_depth(spark):
     texts = ["1", "[]", '{"a":"[[["}', '{"a":[{"b":[1]}],"c":{}}', '["\\\\\\"{"]']
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(variants.depth_of(F.col("t"))).collect()]
     assert got == [0, 1, 1, 4, 1]
+
+
+def test_files_by_one_walk(spark):
+    text = '{"path": "a", "12": {"path": "late"}, "frames": [{"crops": [{"image_path": "c", "path": "a"}, {}], "mask_path": ""}, {"path": "late", "deep": [[["x"], {"path": "e"}]]}, [], null], "path_": "no", "image_path": 5}'
+    df = spark.createDataFrame([(1, text), (2, "[]"), (3, "broken {"), (4, '"path"'), (5, None)], "id int, t string")
+    found = variants.file_paths(df, ["id"], "t")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate variant_explode") == 6 and "Union" not in plan  # as many as levels, not a chain for each level
+    got = {(r["id"], r["file"]): "/".join(r["path"]) for r in found.collect()}
+    assert got == {(1, "a"): "path", (1, "late"): "frames/1/path", (1, "c"): "frames/0/crops/0/image_path", (1, "e"): "frames/1/deep/0/1/path"}
