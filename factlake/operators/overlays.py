@@ -52,7 +52,8 @@ def reader_rows(reader: Reader):
                         moved = None if inner is None else [inner[0] + box[0], inner[1] + box[1], inner[2] + box[0], inner[3] + box[1]]
                         yield name, kind, field, box, moved, text, float(confidence), "observed", None
 
-    return F.udtf(Rows, returnType=ROWS, useArrow=True)
+    # rows as they are: the Arrow form makes a table of its own for every frame
+    return F.udtf(Rows, returnType=ROWS, useArrow=False)
 
 
 def observations(frames: DataFrame, reader: Reader = no_reader, image: str = "image", parsed: bool = True) -> DataFrame:

@@ -336,3 +336,13 @@ def test_pixels_of_a_batch_are_not_held(spark):
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert got.to_pylist() == [120_000] * 150 + [None] and most < 2_000_000
+
+
+def test_readings_of_a_frame_make_no_table(spark):
+    plan = frames.overlay_readings(spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPythonUDTF" in plan and "ArrowEvalPythonUDTF" not in plan
+    image = texture(30, 50)
+    g = motion.gaussian(15, 0.3 * (30 * 0.5 - 1) + 0.8)
+    wide = np.pad(image.astype(float), 15, mode="edge")
+    want = np.array([[(wide[y : y + 31, x : x + 31] * np.outer(g, g)).sum() for x in range(50)] for y in range(30)])
+    assert np.abs(regions.local_mean(image) - want).max() < 1e-9
